@@ -53,6 +53,11 @@ def number_in(col: str, pattern: str, dtype: str) -> Column:
     return F.regexp_extract(F.col(col), pattern, 1).try_cast(dtype)
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def proper(col: str | Column) -> Column:
     return F.initcap(F.trim(F.col(col) if isinstance(col, str) else col))
 

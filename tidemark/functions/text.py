@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import presets
+from tidemark.functions.columns import let
 
 
 def render(parts: Sequence[tuple[str, str]]) -> Column:
@@ -36,16 +37,24 @@ def chunk_array(
         raise ValueError("need 0 <= overlap < size")
     if overlap <= stride:
         blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{stride}}}"), F.lit(0))
-        chunks = F.transform(
-            blocks,
-            lambda b, i: F.concat(b, F.coalesce(F.substring(F.get(blocks, i + 1), 1, overlap), F.lit(""))),
-        )
+
+        def extended(bs: Column) -> Column:
+            def head(i: Column) -> Column:
+                return F.coalesce(F.substring(F.get(bs, i + 1), 1, overlap), F.lit(""))
+
+            return F.transform(bs, lambda b, i: F.concat(b, head(i)))
+
+        chunks = let(blocks, extended)
     else:
         starts = F.when(F.length(text) > 0, F.sequence(F.lit(0), F.length(text) - 1, F.lit(stride)))
         chunks = F.transform(starts, lambda s: F.substring(text, s + 1, F.lit(size)))
     if drop_contained:
-        last_is_inside = (F.size(chunks) > 1) & (F.length(F.element_at(chunks, -1)) <= overlap)
-        chunks = F.when(last_is_inside, F.slice(chunks, F.lit(1), F.size(chunks) - 1)).otherwise(chunks)
+
+        def trimmed(cs: Column) -> Column:
+            last_is_inside = (F.size(cs) > 1) & (F.length(F.element_at(cs, -1)) <= overlap)
+            return F.slice(cs, F.lit(1), F.size(cs) - last_is_inside.cast("int"))
+
+        chunks = let(chunks, trimmed)
     return chunks
 
 

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import let
+
 
 def dot(a: Column, b: Column) -> Column:
     pairs = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
@@ -34,9 +36,9 @@ def hashed_words(col: str | Column, dims: int = 64) -> Column:
     places = F.transform(
         words, lambda w: F.conv(F.substring(F.md5(w), 1, 4), 16, 10).cast("int") % F.lit(dims)
     )
-    zero = F.array_repeat(F.lit(0.0), dims)
-    return F.transform(
-        zero, lambda _, i: F.size(F.filter(places, lambda p: p == i)).cast("double")
+    return let(
+        places,
+        lambda p: F.array(*[(F.size(p) - F.size(F.array_remove(p, i))).cast("double") for i in range(dims)]),
     )
 
 

@@ -13,21 +13,30 @@ from tidemark.operators import infer, rules
 from tidemark.operators.specs import IssueSpec
 
 
-def first_match(pairs: Iterable[tuple[str, str]], otherwise: str) -> Column:
+def first_match(pairs: Iterable[tuple[str, Column]], otherwise: Column) -> Column:
     """The value paired with the first condition that is TRUE."""
-    whens = [F.when(F.expr(cond), F.lit(value)) for cond, value in pairs]
-    return F.coalesce(*whens, F.lit(otherwise))
+    chain = None
+    for condition, value in pairs:
+        chain = F.when(F.expr(condition), value) if chain is None else chain.when(F.expr(condition), value)
+    return otherwise if chain is None else chain.otherwise(otherwise)
 
 
 def classify(df: DataFrame, spec: IssueSpec) -> DataFrame:
     """Add ``column_name``, ``issue_description`` and ``severity``."""
+
+    def label(column: str, description: str) -> Column:
+        return F.struct(F.lit(column).alias("column"), F.lit(description).alias("description"))
+
+    cases = [(condition, label(column, text)) for condition, column, text in spec.cases]
+    levels = [(condition, F.lit(level)) for condition, level in spec.levels]
     return df.withColumns(
         {
-            "column_name": first_match([(c, col) for c, col, _ in spec.cases], spec.other_column),
-            "issue_description": first_match([(c, d) for c, _, d in spec.cases], spec.other_description),
-            "severity": first_match(spec.levels, spec.other_level),
+            "_label": first_match(cases, label(spec.other_column, spec.other_description)),
+            "severity": first_match(levels, F.lit(spec.other_level)),
         }
-    )
+    ).withColumns(
+        {"column_name": F.col("_label.column"), "issue_description": F.col("_label.description")}
+    ).drop("_label")
 
 
 def issue_log(

@@ -51,7 +51,7 @@ CLAIM_AMOUNTS = {"injury_amount": "injury", "property_amount": "property", "vehi
 
 def rank(col: Column, mapping: Mapping[str, int]) -> Column:
     pairs = [F.lit(x) for pair in mapping.items() for x in pair]
-    return F.create_map(*pairs).getItem(col)
+    return F.try_element_at(F.create_map(*pairs), col)
 
 
 def _flag(cond: Column) -> Column:

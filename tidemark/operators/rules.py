@@ -33,8 +33,22 @@ def passes(rules: Rules) -> Column:
     return reduce(lambda a, b: a & b, checks, F.lit(True))
 
 
+def _where(df: DataFrame, condition: Column) -> DataFrame:
+    """Filter on columns as they are, each evaluated once.
+
+    Rules read a cleaned column many times. Pushed below the cleaning step, every mention
+    would repeat that column's whole expression; the partition id ties the filter to its
+    place above it.
+    """
+    return (
+        df.withColumns({"_hit": condition, "_part": F.spark_partition_id()})
+        .filter(F.col("_hit") & (F.col("_part") >= 0))
+        .drop("_hit", "_part")
+    )
+
+
 def keep_valid(df: DataFrame, rules: Rules) -> DataFrame:
-    return df.filter(passes(rules))
+    return _where(df, passes(rules))
 
 
 def quarantine(df: DataFrame, rules: Rules, null_policy: str = "strict") -> DataFrame:
@@ -44,10 +58,10 @@ def quarantine(df: DataFrame, rules: Rules, null_policy: str = "strict") -> Data
     to NULL does not count as broken, so such a row is neither kept nor reported.
     """
     if null_policy == "strict":
-        return df.filter(~passes(rules))
+        return _where(df, ~passes(rules))
     if null_policy != "literal":
         raise ValueError(f"unknown null_policy: {null_policy}")
-    return df.filter(reduce(lambda a, b: a | b, [~F.expr(r) for r in rules.values()]))
+    return _where(df, reduce(lambda a, b: a | b, [~F.expr(r) for r in rules.values()]))
 
 
 def violation_counts(rules: Rules) -> list[Column]:

@@ -58,7 +58,9 @@ def insert(df: DataFrame, name: str) -> None:
 
 
 def truncate(spark: SparkSession, name: str) -> None:
-    spark.sql(f"TRUNCATE TABLE {name}")
+    """Empty a table, also one whose files lie outside the warehouse."""
+    empty = spark.createDataFrame([], spark.table(name).schema)
+    empty.write.insertInto(name, overwrite=True)
 
 
 def overwrite_table(df: DataFrame, name: str) -> None:

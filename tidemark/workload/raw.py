@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.sources.tables import read_table
+
 _DAY = "CAST(CAST(o_orderdate AS DATE) AS STRING)"
 _DAY_MONTH_YEAR = f"SUBSTR({_DAY}, 9, 2) || '-' || SUBSTR({_DAY}, 6, 2) || '-' || SUBSTR({_DAY}, 1, 4)"
 _LATER = "CAST(CAST(o_orderdate + INTERVAL '30' DAY AS DATE) AS STRING)"
@@ -147,10 +149,24 @@ TEXTS = {"policy": POLICY, "claims": CLAIMS, "sales": SALES, "cars": CARS, "cust
 BASE_TABLES = ("orders", "lineitem", "part", "customer", "nation", "region")
 
 
+_PLANS: dict[tuple, DataFrame] = {}
+
+
+def planned(build):
+    """Build a frame once per session and folder; only the plan is kept, never rows."""
+
+    def get(spark: SparkSession, folder: str, *args) -> DataFrame:
+        key = (build.__name__, spark.sparkContext.applicationId, id(spark), folder, *args)
+        if key not in _PLANS:
+            _PLANS[key] = build(spark, folder, *args)
+        return _PLANS[key]
+
+    return get
+
+
+@planned
 def raw(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """The raw input ``name`` as a DataFrame over the Parquet tables in ``folder``."""
-    from tidemark.sources.tables import read_table
-
     text = TEXTS[name].replace("{q}", "`")
     used = [t for t in BASE_TABLES if "{" + t + "}" in text]
     return spark.sql(text, **{t: read_table(spark, folder, t) for t in used})
