@@ -37,9 +37,9 @@ def left_join_unique(
 ) -> DataFrame:
     """``left LEFT JOIN right USING (keys)`` for a right side with one row per key.
 
-    Rows with a hot key are answered from a broadcast of at most HOT_KEYS right rows, then
-    spread over the join's partitions under a salt that cannot match. All others take the
-    ordinary join. ``sketch_of`` may name a cheaper frame with the same keys (for example
+    Rows with a hot key are answered from a broadcast of at most HOT_KEYS right rows. They, and
+    rows with a NULL key, are spread over the join's partitions under a salt that cannot match.
+    All others take the ordinary join. ``sketch_of`` may name a cheaper frame with the same keys (for example
     the stored table behind ``left``) to look for hot keys in.
     """
     keys = list(keys)
@@ -67,12 +67,15 @@ def left_join_unique(
         equal = equal & (F.col(f"`_h_{k}`") == F.col(f"`{k}`"))
     plain = [f.name for f in left.schema.fields if f.dataType.typeName() not in ("map", "variant")]
     spread = F.xxhash64(*[F.col(f"`{c}`") for c in plain], F.spark_partition_id())
+    lonely = F.col("_hot").isNotNull()      # cannot match in the ordinary join
+    for k in keys:
+        lonely = lonely | F.col(f"`{k}`").isNull()
     flagged = (
         left.withColumn("_lh", _hash(keys))
         .join(F.broadcast(hot_table), same & (absent | equal), "left")
         .withColumns(
             {
-                "_salt": F.when(F.col("_hot").isNotNull(), spread).otherwise(F.lit(0)),
+                "_salt": F.when(lonely, spread).otherwise(F.lit(0)),
                 **{f"_j_{k}": F.when(F.col("_hot").isNull(), F.col(f"`{k}`")) for k in keys},
             }
         )

@@ -37,6 +37,12 @@ def typed_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType
     return spark.createDataFrame(rows, schema)
 
 
+def store(df: DataFrame, path: str) -> DataFrame:
+    """Write a result that several others read, and carry on from the written table."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def refresh(df: DataFrame, path: str) -> None:
     """Recompute a stored result; its schema may change."""
     df.write.mode("overwrite").parquet(path)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import dedup as batch_dedup
-from tidemark.operators import quarantine, rules
+from tidemark.operators import quarantine, rules, skew
 
 Step = Callable[[DataFrame, int], Mapping[str, DataFrame]]
 
@@ -140,6 +140,16 @@ def enrich(stream: DataFrame, static: DataFrame, on: Sequence[str]) -> DataFrame
     return stream.join(static, list(on), "left")
 
 
+def enrich_flow(
+    stream: DataFrame, static: DataFrame, on: Sequence[str], path: str, checkpoint: str, wait: bool = True
+) -> StreamingQuery:
+    """``enrich`` written to a table, even when a few keys hold much of the stream.
+
+    ``static`` has one row per key; each micro-batch sees it as it is at that time.
+    """
+    return run_flow(stream, path, checkpoint, lambda batch: skew.left_join_unique(batch, static, on), wait)
+
+
 def multi_flow(
     flows: Mapping[str, DataFrame], root: str, checkpoint_root: str, wait: bool = True
 ) -> list[StreamingQuery]:

@@ -390,7 +390,7 @@ QUERIES["kpi_customer_exact"] = _kpi_customer(True)
 
 
 def _kpi_rows(spark, d):
-    facts = _facts(spark, d)
+    facts = tables.store(_facts(spark, d), shared_dir(spark, "facts"))     # read three times
     return {
         "claims_performance": kpi.claims(facts),
         "policy_portfolio": kpi.policy(_dim_policy(spark, d), facts),
@@ -624,12 +624,7 @@ def rag_history(spark, d):
     questions = tables.read_table(spark, d, "benchmark").select(
         F.col("item_id").alias("query_id"), F.col("text").alias("question")
     )
-    blocks = [
-        retrieval.context(hits, "doc_id", "chunk_text"),
-        retrieval.sources(hits, "doc_id"),
-        retrieval.confidence(hits, "doc_id"),
-    ]
-    found = reduce(lambda a, b: a.join(b, "query_id", "left"), blocks, questions)
+    found = questions.join(retrieval.digest(hits, "doc_id", "chunk_text"), "query_id", "left")
     asked = prompts.prompt(
         found, prompts.ANSWER_TEMPLATE, {"context": F.col("context"), "question": F.col("question")}
     )
@@ -802,7 +797,7 @@ def stream_static_join(spark, d):
     customers = tables.read_table(spark, d, "customer").select(
         F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("segment")
     )
-    flows.run_flow(flows.enrich(_events(spark, d), customers, ["user_id"]), path, checkpoint)
+    flows.enrich_flow(_events(spark, d), customers, ["user_id"], path, checkpoint)
     return flows.read_sink(spark, path).select("event_id", "user_id", "segment")
 
 
