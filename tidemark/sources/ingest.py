@@ -81,6 +81,7 @@ def drifting_csv(
     glob: str | None,
     aliases: Mapping[str, Sequence[str]],
     stream: bool = False,
+    max_files: int | None = None,
 ) -> DataFrame:
     """CSV files whose headers differ. Every file is read by its own header.
 
@@ -91,6 +92,7 @@ def drifting_csv(
     """
     options = {**_options("csv", glob), "singleVariantColumn": "_row"}
     reader = (spark.readStream if stream else spark.read).format("csv").options(**options)
+    reader = reader.option("maxFilesPerTrigger", str(max_files)) if stream and max_files else reader
     rows = with_lineage(reader.load(root))
     row = F.col("_row")
     known = [n for names in aliases.values() for n in names]

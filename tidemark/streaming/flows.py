@@ -52,6 +52,11 @@ def read_sink(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("batch_id")
 
 
+def stream_sink(spark: SparkSession, path: str) -> DataFrame:
+    """A table that another flow writes, as a stream."""
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path).drop("batch_id")
+
+
 def split_flow(
     stream: DataFrame,
     transform: Callable[[DataFrame], DataFrame],
@@ -60,14 +65,18 @@ def split_flow(
     good_path: str,
     issues_path: str,
     checkpoint: str,
+    finish: Callable[[DataFrame, int], DataFrame] = lambda good, batch_id: good,
     wait: bool = True,
 ) -> StreamingQuery:
-    """Good rows to one table, issue records to another; each micro-batch is transformed once."""
+    """Good rows to one table, issue records to another; each micro-batch is transformed once.
+
+    ``finish`` works on the good rows before they are written, given the batch number.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = transform(batch).persist()
         try:
-            good = rules.keep_valid(rows, row_rules)
+            good = finish(rules.keep_valid(rows, row_rules), batch_id)
             bad = quarantine.issue_log(rows, row_rules, spec)
             good.write.mode("overwrite").parquet(f"{good_path}/batch_id={batch_id}")
             bad.write.mode("overwrite").parquet(f"{issues_path}/batch_id={batch_id}")
@@ -84,6 +93,14 @@ def dedup(stream: DataFrame, keys: Sequence[str], watermark: tuple[str, str] | N
     return stream.withWatermark(*watermark).dropDuplicatesWithinWatermark(list(keys))
 
 
+def unseen(spark: SparkSession, rows: DataFrame, keys: Sequence[str], path: str, batch_id: int) -> DataFrame:
+    """Rows whose key no earlier batch has written to ``path``. ``rows`` has one row per key."""
+    if batch_id == 0:
+        return rows
+    seen = spark.read.parquet(path).filter(F.col("batch_id") < batch_id).select(*keys)
+    return rows.join(seen, [rows[k].eqNullSafe(seen[k]) for k in keys], "left_anti")
+
+
 def dedup_flow(
     spark: SparkSession,
     stream: DataFrame,
@@ -101,11 +118,7 @@ def dedup_flow(
 
     def step(batch: DataFrame, batch_id: int) -> dict[str, DataFrame]:
         fresh = batch_dedup.dedup_first(batch, keys, order_by)
-        if batch_id > 0:
-            seen = spark.read.parquet(path).filter(F.col("batch_id") < batch_id).select(*keys)
-            same = [fresh[k].eqNullSafe(seen[k]) for k in keys]
-            fresh = fresh.join(seen, same, "left_anti")
-        return {path: fresh}
+        return {path: unseen(spark, fresh, keys, path, batch_id)}
 
     return run_step(stream, step, checkpoint, wait)
 

@@ -697,3 +697,4 @@ CHECKS: dict[str, str] = {
     "stream_multi_flow": "SELECT event_type AS flow, event_type, count(*) AS events FROM events GROUP BY event_type",
     "stream_ingest": "SELECT s_suppkey, s_name, s_acctbal, true AS has_lineage FROM supplier",
 }
+CHECKS["pipeline_stream"] = CHECKS["claim_performance"]

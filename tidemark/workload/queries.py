@@ -16,7 +16,7 @@ from tidemark.operators.specs import IssueSpec
 from tidemark.plans import kpi, marts, silver, star
 from tidemark.session import shared_dir
 from tidemark.sources import ingest, tables
-from tidemark.streaming import flows
+from tidemark.streaming import flows, pipeline
 from tidemark.workload import replies
 from tidemark.workload.raw import planned, raw
 
@@ -832,3 +832,29 @@ def stream_ingest(spark, d):
         F.col("s_acctbal").cast("double").alias("s_acctbal"),
         (F.col("_source_file").isNotNull() & F.col("_loaded_at").isNotNull()).alias("has_lineage"),
     )
+
+
+def _write_raw(spark, d) -> str:
+    """The raw inputs as the files they stand for: CSV with headers, claims as JSON lines."""
+    root = shared_dir(spark, "raw")
+    for name in ("policy", "sales", "cars", "customers"):
+        rows = raw(spark, d, name).drop("_source_file", "_loaded_at")
+        if name == "customers":
+            rows = rows.withColumnsRenamed({"CustomerID": "cust_id", "Region": "Reg", "City": "City_in_state"})
+        keep_blanks = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+        rows.write.options(**keep_blanks).csv(f"{root}/{name}")
+    raw(spark, d, "claims").drop("_source_file").write.json(f"{root}/claims")
+    return root
+
+
+@query
+def pipeline_stream(spark, d):
+    """All layers as streams from files, up to the claim performance mart."""
+    source, root = _write_raw(spark, d), shared_dir(spark, "pipeline")
+    # each entity has its own folder here, so the file names carry no entity
+    for name in (*pipeline.FIELDS, "customers"):
+        pipeline.bronze_entity(spark, f"{source}/{name}", root, name, "part-*")
+    pipeline.to_silver(spark, root)
+    pipeline.to_gold(spark, root, F.lit(AS_OF).cast("date"))
+    pipeline.to_marts(spark, root)
+    return spark.read.parquet(f"{root}/gold/agg_claim_performance")
