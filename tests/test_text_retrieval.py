@@ -68,8 +68,9 @@ def test_prompt_fills_each_place_once(spark):
 
 def test_hashed_words_counts_whole_text(spark):
     df = spark.createDataFrame([("Ab ab, cd!",), ("",), ("…",)], "t string")
-    got = [r[0] for r in df.select(vectors.hashed_words("t", 16)).collect()]
+    got = [r.embedding for r in vectors.embed(df, "t", vectors.HashedWords(16)).collect()]
     assert [sum(v) for v in got] == [3.0, 0.0, 0.0] and max(got[0]) >= 2
+    assert vectors.HashedWords(16, remembered=1)(["x y x"]).sum() == 3
 
 
 def test_normalise_and_dot(spark):

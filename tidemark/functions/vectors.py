@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -9,8 +11,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import let
-
 
 def dot(a: Column, b: Column) -> Column:
     pairs = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
@@ -25,27 +25,45 @@ def normalise(v: Column) -> Column:
     )
 
 
-def hashed_words(col: str | Column, dims: int = 64) -> Column:
+class HashedWords:
     """Word counts hashed into ``dims`` places: the offline stand-in for a sentence encoder.
 
-    Words are runs of letters and digits, lower-cased. The place comes from the first four
-    hex digits of the word's MD5, so any engine can repeat it.
+    Words are runs of letters and digits, lower-cased. A word's place comes from the first four
+    hex digits of its MD5, so any engine can repeat it. Use it with ``embed``.
     """
-    text = F.col(col) if isinstance(col, str) else col
-    words = F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0))
-    places = F.transform(
-        words, lambda w: F.conv(F.substring(F.md5(w), 1, 4), 16, 10).cast("int") % F.lit(dims)
-    )
-    return let(
-        places,
-        lambda p: F.array(*[(F.size(p) - F.size(F.array_remove(p, i))).cast("double") for i in range(dims)]),
-    )
-
 
-def embed(df: DataFrame, col: str, fn: Callable[[Sequence[str]], np.ndarray], name: str = "embedding") -> DataFrame:
+    def __init__(self, dims: int = 64, remembered: int = 1_000_000):
+        self.dims = dims
+        self.remembered = remembered
+        self.places: dict[str, int] = {}
+
+    def _place(self, word: str) -> int:
+        place = self.places.get(word)
+        if place is None:
+            place = int(hashlib.md5(word.encode(), usedforsecurity=False).hexdigest()[:4], 16) % self.dims
+            if len(self.places) < self.remembered:
+                self.places[word] = place
+        return place
+
+    def __call__(self, texts: Sequence[str]) -> np.ndarray:
+        out = np.zeros((len(texts), self.dims), dtype="float32")
+        for row, text in enumerate(texts):
+            places = [self._place(w) for w in re.findall("[a-z0-9]+", text.lower())]
+            if places:
+                out[row] = np.bincount(places, minlength=self.dims)
+        return out
+
+
+def embed(
+    df: DataFrame,
+    col: str,
+    fn: Callable[[Sequence[str]], np.ndarray] = HashedWords(),
+    name: str = "embedding",
+) -> DataFrame:
     """Add the vector ``fn`` gives for each text; ``fn`` maps a batch of texts to a 2-d array.
 
-    An Arrow-batched pandas UDF, so a model is called once per batch and task.
+    An Arrow-batched pandas UDF: only the text goes to Python, and a model is loaded once per
+    task and called once per batch.
     """
 
     @F.pandas_udf("array<float>")

@@ -8,7 +8,6 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark import presets
 
@@ -69,19 +68,20 @@ def map_text(
 ) -> DataFrame:
     """Add ``reply_text``, ``generation_status`` and ``error_message``.
 
-    Runs partition by partition on the executors; ``fn`` and what it holds are shipped once
-    per task. ``fn`` may be called again for a row if Spark reruns a task.
+    Runs on the executors in Arrow batches; only the prompt goes to Python, the other columns
+    stay where they are. ``fn`` and what it holds are shipped once per task, and ``fn`` may be
+    called again for a row if Spark reruns a task.
     """
-    schema = T.StructType(
-        [*df.schema.fields, T.StructField("_reply", T.StringType()), T.StructField("_error", T.StringType())]
-    )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            answers = [_ask(fn, text, retries, backoff) for text in pdf[prompt_col]]
-            yield pdf.assign(_reply=[a for a, _ in answers], _error=[e for _, e in answers])
+    @F.pandas_udf("reply string, error string")
+    def ask(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            answers = [_ask(fn, text, retries, backoff) for text in texts]
+            yield pd.DataFrame(answers, columns=["reply", "error"], dtype=object)
 
-    raw = df.mapInPandas(run, schema)
+    # a model need not repeat itself: keep Spark from asking twice for the same row
+    raw = df.withColumn("_asked", ask.asNondeterministic()(F.col(prompt_col)))
+    raw = raw.withColumns({"_reply": F.col("_asked.reply"), "_error": F.col("_asked.error")}).drop("_asked")
     reply, error = F.col("_reply"), F.col("_error")
     status = reply_status(reply, error)
     return raw.withColumns(

@@ -558,9 +558,9 @@ def doc_chunks_trimmed(spark, d):
 
 @query
 def embed_hash(spark, d):
-    documents = tables.read_table(spark, d, "documents")
-    counts = documents.select("doc_id", F.posexplode(vectors.hashed_words("text")).alias("place", "words"))
-    return counts.filter("words > 0")
+    documents = vectors.embed(tables.read_table(spark, d, "documents").select("doc_id", "text"), "text")
+    counts = documents.select("doc_id", F.posexplode("embedding").alias("place", "words"))
+    return counts.filter("words > 0").withColumn("words", _double("words"))
 
 
 def centroids(spark, d):
@@ -595,15 +595,10 @@ def knn_sources(spark, d):
 
 def _chunk_hits(spark, d, k=presets.TOP_K):
     chunks = text.chunk(tables.read_table(spark, d, "documents"), ["doc_id"], "text")
-    corpus = chunks.select(
-        F.concat_ws(":", "doc_id", "chunk_no").alias("chunk_id"),
-        "doc_id",
-        "chunk_text",
-        vectors.hashed_words("chunk_text").alias("embedding"),
-    )
-    questions = tables.read_table(spark, d, "benchmark").select(
-        F.col("item_id").alias("query_id"), vectors.hashed_words("text").alias("embedding")
-    )
+    named = chunks.select(F.concat_ws(":", "doc_id", "chunk_no").alias("chunk_id"), "doc_id", "chunk_text")
+    corpus = vectors.embed(named, "chunk_text")
+    asked = tables.read_table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    questions = vectors.embed(asked, "text")
     return retrieval.knn(questions, corpus, k, id_col="chunk_id", payload=["doc_id", "chunk_text"])
 
 
