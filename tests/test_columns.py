@@ -35,6 +35,13 @@ def test_leading_int_null_is_zero_bad_text_is_null(spark):
     assert [r[0] for r in df.select(c.leading_int("x")).collect()] == [0, 12, 0, None, 7, None, -3]
 
 
+def test_to_int_agrees_with_the_cast(spark):
+    values = ["1", " 2 ", "-3", "+4", "x", "", " ", "5.5", "99999999999", "\t6", "7\n", "@", "é", None, "1e3", "NaN", "0x1"]
+    df = spark.createDataFrame([(v,) for v in values], "x string")
+    got = [(r.a, r.b) for r in df.select(c.to_int("x").alias("a"), F.col("x").try_cast("int").alias("b")).collect()]
+    assert all(a == b for a, b in got) and sum(a is not None for a, _ in got) == 6
+
+
 def test_token_bool_is_three_valued(spark):
     df = spark.createDataFrame([("Y",), ("N",), ("maybe",), (None,)], "x string")
     assert [r[0] for r in df.select(c.token_bool("x", "Y", "N")).collect()] == [True, False, None, None]

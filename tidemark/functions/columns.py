@@ -43,14 +43,25 @@ def token_bool(col: str, true: str, false: str) -> Column:
     return F.when(F.col(col) == true, True).when(F.col(col) == false, False)
 
 
+def to_int(text: str | Column) -> Column:
+    """Integer in a text, NULL if there is none.
+
+    A failed cast raises and catches an exception per row. Words are the usual misfits, and
+    no integer starts with a letter, so they are turned away before the cast sees them.
+    """
+    text = F.col(text) if isinstance(text, str) else text
+    return F.when(F.trim(text).between("\x01", "@"), text.try_cast("int"))
+
+
 def leading_int(col: str, sep: str = ":") -> Column:
     """Integer before ``sep``. A NULL input counts as 0, unreadable text stays NULL."""
-    return F.substring_index(F.coalesce(F.col(col), F.lit("0")), sep, 1).try_cast("int")
+    return to_int(F.substring_index(F.coalesce(F.col(col), F.lit("0")), sep, 1))
 
 
 def number_in(col: str, pattern: str, dtype: str) -> Column:
     """First match of ``pattern`` inside text with units, as a number or NULL."""
-    return F.regexp_extract(F.col(col), pattern, 1).try_cast(dtype)
+    found = F.regexp_extract(F.col(col), pattern, 1)
+    return F.when(found != "", found.try_cast(dtype))
 
 
 def let(value: Column, body) -> Column:

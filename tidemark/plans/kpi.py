@@ -101,6 +101,17 @@ def average_amount_text(fact_claims: DataFrame) -> DataFrame:
     return fact_claims.agg(F.avg(amount()).cast("string").alias("avg_claim_amount"))
 
 
+def ask_about_amount(
+    fact_claims: DataFrame, fn: Callable[[str], str], question: str = "What does this mean for the business?", **retry
+) -> DataFrame:
+    """Put one figure, the average claim amount, to the text function."""
+    figure = F.concat(F.lit(f"{question} Average claim amount: "), F.col("avg_claim_amount"))
+    asked = average_amount_text(fact_claims).select(figure.alias("question"))
+    return infer.map_text(asked, "question", fn, **retry).select(
+        "question", F.col("reply_text").alias("explanation"), "generation_status"
+    )
+
+
 def as_json(kpi_row: DataFrame) -> DataFrame:
     return kpi_row.select(prompts.facts_json(kpi_row.columns).alias("kpi_json"))
 

@@ -16,9 +16,9 @@ def policy(raw: DataFrame) -> DataFrame:
         c.to_ts(c.force_null("policy_bind_date")).alias("policy_bind_date"),
         F.upper(c.force_null("policy_state")).alias("policy_state"),
         c.force_null("policy_csl").alias("policy_csl"),
-        c.force_null("policy_deductable").try_cast("int").alias("policy_deductable"),
+        c.to_int(c.force_null("policy_deductable")).alias("policy_deductable"),
         c.force_null("policy_annual_premium").try_cast("float").alias("policy_annual_premium"),
-        c.force_null("umbrella_limit").try_cast("int").alias("umbrella_limit"),
+        c.to_int(c.force_null("umbrella_limit")).alias("umbrella_limit"),
         "_source_file",
     )
 
@@ -44,7 +44,7 @@ def claims(raw: DataFrame) -> DataFrame:
         *[c.proper(t).alias(t) for t in PROPER_CLAIM_TEXTS],
         c.token_bool("police_report_available", "YES", "NO").alias("police_report_available"),
         *[
-            F.col(n).try_cast("int").alias(n)
+            c.to_int(n).alias(n)
             for n in ("number_of_vehicles_involved", "bodily_injuries", "witnesses")
         ],
         *[F.col(a).try_cast("float").alias(a) for a in ("injury", "property", "vehicle")],
@@ -74,10 +74,10 @@ def enrich_claims(claims_df: DataFrame, policy_df: DataFrame, sketch_of: DataFra
 
 def sales(raw: DataFrame) -> DataFrame:
     df = raw.select(
-        c.force_null("sales_id").try_cast("int").alias("sales_id"),
+        c.to_int(c.force_null("sales_id")).alias("sales_id"),
         c.force_null("car_id").alias("car_id"),
         *[c.to_ts(c.force_null(t), presets.SALES_TS_FORMAT).alias(t) for t in ("ad_placed_on", "sold_on")],
-        c.force_null("original_selling_price").try_cast("int").alias("original_selling_price"),
+        c.to_int(c.force_null("original_selling_price")).alias("original_selling_price"),
         *[F.initcap(c.force_null(t)).alias(t) for t in ("Region", "State", "City", "seller_type", "owner")],
         "_source_file",
     )
@@ -95,7 +95,7 @@ def customers(raw: DataFrame) -> DataFrame:
         name("CustomerID").alias("CustomerID"),
         *[F.initcap(name(t)).alias(t) for t in ("Region", "State", "City")],
         *[F.lower(name(t)).alias(t) for t in ("Job", "Marital", "Education")],
-        *[F.col(n).try_cast("int").alias(n) for n in ("Default", "Balance", "HHInsurance", "CarLoan")],
+        *[c.to_int(n).alias(n) for n in ("Default", "Balance", "HHInsurance", "CarLoan")],
         "_source_file",
         "_loaded_at",
     )
@@ -111,7 +111,7 @@ def cars(raw: DataFrame) -> DataFrame:
         F.trim("name").alias("name"),
         *[c.proper(t).alias(t) for t in ("fuel", "transmission", "model")],
         F.trim("torque").alias("torque"),
-        *[F.col(n).try_cast("int").alias(n) for n in ("km_driven", "seats")],
+        *[c.to_int(n).alias(n) for n in ("km_driven", "seats")],
         c.number_in("mileage", "([0-9.]+)", "float").alias("mileage"),
         c.number_in("engine", "([0-9]+)", "int").alias("engine"),
         c.number_in("max_power", "([0-9.]+)", "float").alias("max_power"),

@@ -584,6 +584,12 @@ CHECKS: dict[str, str] = {
     "('policy_portfolio', 'Policy Portfolio Overview'), ('customer_profile', 'Customer Profile Overview')) "
     "v(domain_name, summary_title)",
     "avg_amount_text": _sql("SELECT CAST(avg(injury + property + vehicle) AS VARCHAR) AS avg_claim_amount FROM facts", "facts"),
+    "explain_amount": _sql(
+        "SELECT 'What does this mean for the business? Average claim amount: ' "
+        "|| CAST(avg(injury + property + vehicle) AS VARCHAR) AS question, 'Reviewed.' AS explanation, "
+        "'SUCCESS' AS generation_status FROM facts",
+        "facts",
+    ),
     "summary_table": _sql(
         "SELECT 'customer_profile' AS domain_name, 'Customer Profile Overview' AS summary_title, "
         "'Reviewed.' AS executive_summary, count(customer_id) AS total_customers FROM d_customer",

@@ -424,6 +424,11 @@ def avg_amount_text(spark, d):
     return kpi.average_amount_text(_facts(spark, d))
 
 
+@query
+def explain_amount(spark, d):
+    return kpi.ask_about_amount(_facts(spark, d), replies.headline)
+
+
 @query
 def summary_table(spark, d):
     """Create, insert, empty, insert again, read one domain: the stored form of the summaries."""
@@ -624,7 +629,9 @@ def rag_history(spark, d):
         found, prompts.ANSWER_TEMPLATE, {"context": F.col("context"), "question": F.col("question")}
     )
     answers = infer.map_text(asked, "prompt", replies.count_sources)
-    return retrieval.history(answers.withColumnRenamed("reply_text", "answer")).drop("query_timestamp")
+    path = shared_dir(spark, "history")
+    tables.append(retrieval.history(answers.withColumnRenamed("reply_text", "answer")), path)
+    return retrieval.newest_first(spark.read.parquet(path)).drop("query_timestamp")
 
 
 # ---- prompts and text functions -------------------------------------------------------------
