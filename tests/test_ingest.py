@@ -44,6 +44,14 @@ def test_each_file_is_read_by_its_own_header(spark, drifting):
     assert found(ingest.drifting_csv(spark, drifting, "customers*.csv", ALIASES)) == WANT
 
 
+def test_dates_and_lookalikes_stay_text(spark, tmp_path):
+    values = [" 2000 ", "2000", "2020-01-05", "2020-01-05 10:00:00", "10:30", "05-01-2020 10:00", "2020", "null", "NaN", "1e3x"]
+    (tmp_path / "a.csv").write_text("v,n\n" + "".join(f"{v},{i}\n" for i, v in enumerate(values)))
+    df = ingest.drifting_csv(spark, str(tmp_path), "a.csv", {"v": ("v",), "n": ("n",)})
+    got = {int(r.n): r.v for r in df.collect()}
+    assert [got[i].strip() for i in range(len(values))] == [v.strip() for v in values]
+
+
 def test_drifting_stream_equals_batch(spark, drifting, tmp_path):
     stream = ingest.drifting_csv(spark, drifting, "customers*.csv", ALIASES, stream=True, max_files=1)
     out = shared_dir(spark, "drift-test")
@@ -58,6 +66,12 @@ def test_groups_keep_exact_text(spark, drifting):
     assert df.filter("CustomerID = '2'").first().Region is None
 
 
+def test_a_foreign_header_is_an_error(spark, drifting):
+    df = ingest.read_files(spark, drifting, "csv", "customers*.csv", "CustomerID string, Region string, Education string")
+    with pytest.raises(Exception, match="header"):
+        df.collect()
+
+
 def test_glob_with_character_class_is_case_sensitive(spark, tmp_path):
     for name in ("Sales_1.csv", "sales_2.csv", "SALES_3.csv", "resales.csv"):
         (tmp_path / name).write_text("sales_id,price\n1,2\n")

@@ -122,7 +122,8 @@ def write_raw(spark, folder):
         + "p1,u1,k1,2020-01-01,oh,100,5,10.5,0\np2,u2,k1,2020-01-01,oh,250,-5,10.5,0\n")
     put("sales_1.csv", ",".join(pipeline.FIELDS["sales"]) + "\n"
         + "1,k1,01-01-2024 10:00,,500,W,s,c,d,o\n2,k1,01-01-2024 10:00,,,W,s,c,d,o\n")
-    put("Sales_2.csv", ",".join(pipeline.FIELDS["sales"]) + "\n1,k1,01-01-2024 10:00,,600,W,s,c,d,o\n")
+    turned = list(reversed(pipeline.FIELDS["sales"]))       # the same columns in another order
+    put("Sales_2.csv", ",".join(turned) + "\no,d,c,s,W,600,,01-01-2024 10:00,k1,1\n")
     put("cars_1.csv", ",".join(pipeline.FIELDS["cars"]) + "\nk1,n,f,t,m,q,10,5,2.5 kmpl,9 CC,7 bhp\n")
     put("customers_1.csv", "CustomerID,Region,City,Marital,Education,Job,Balance,Default,HHInsurance,CarLoan,State\n"
         "u1,W,c,single,primary,na,10,0,0,1,s\nu1,E,c,single,primary,cook,20,0,0,1,s\n")

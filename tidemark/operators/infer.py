@@ -48,12 +48,14 @@ def reply_text(reply: Column) -> Column:
     return F.when(_is_structured(reply), F.trim(F.get(blocks, F.lit(0))["text"])).otherwise(F.trim(reply))
 
 
-def reply_status(reply: Column, error: Column) -> Column:
-    text = reply_text(reply)
-    unreadable = _is_structured(reply) & F.try_parse_json(reply).isNull()
+def unreadable(reply: Column) -> Column:
+    return _is_structured(reply) & F.try_parse_json(reply).isNull()
+
+
+def reply_status(text: Column, broken: Column, error: Column) -> Column:
     return (
         F.when(error.isNotNull(), "FAILED")
-        .when(unreadable, "PARSE_ERROR")
+        .when(broken, "PARSE_ERROR")
         .when(F.coalesce(F.length(text), F.lit(0)) == 0, "EMPTY")
         .otherwise("SUCCESS")
     )
@@ -81,13 +83,18 @@ def map_text(
 
     # a model need not repeat itself: keep Spark from asking twice for the same row
     raw = df.withColumn("_asked", ask.asNondeterministic()(F.col(prompt_col)))
-    raw = raw.withColumns({"_reply": F.col("_asked.reply"), "_error": F.col("_asked.error")}).drop("_asked")
-    reply, error = F.col("_reply"), F.col("_error")
-    status = reply_status(reply, error)
-    return raw.withColumns(
-        {
-            "reply_text": F.when(status == "SUCCESS", reply_text(reply)),
-            "generation_status": status,
-            "error_message": F.coalesce(error, F.when(status == "PARSE_ERROR", F.lit("reply is not valid JSON"))),
-        }
-    ).drop("_reply", "_error")
+    reply, error = F.col("_asked.reply"), F.col("_asked.error")
+    read = raw.withColumns({"_error": error, "_text": reply_text(reply), "_broken": unreadable(reply)})
+    text, status = F.col("_text"), F.col("generation_status")
+    return (
+        read.withColumn("generation_status", reply_status(text, F.col("_broken"), F.col("_error")))
+        .withColumns(
+            {
+                "reply_text": F.when(status == "SUCCESS", text),
+                "error_message": F.coalesce(
+                    "_error", F.when(status == "PARSE_ERROR", F.lit("reply is not valid JSON"))
+                ),
+            }
+        )
+        .drop("_asked", "_error", "_text", "_broken")
+    )

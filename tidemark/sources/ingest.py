@@ -24,7 +24,8 @@ def _options(fmt: str, glob: str | None) -> dict[str, str]:
     if glob:
         options["pathGlobFilter"] = glob
     if fmt == "csv":
-        options["header"] = "true"
+        # a file whose header differs from the schema is an error, not a silent mix of columns
+        options.update({"header": "true", "enforceSchema": "false"})
     elif fmt == "json":
         options["multiLine"] = "false"
     return options
@@ -87,10 +88,18 @@ def drifting_csv(
 
     ``aliases`` maps each target column to the header names it goes by; the first present,
     non-null one wins. Fields under any other name are kept as JSON in ``_rescued_data``.
-    Spark types the values on the way ("007" arrives as "7"); use ``csv_groups`` if keys
-    carry leading zeros.
+    Spark types numbers on the way ("007" arrives as "7", "2.50" as "2.5"); dates stay text.
+    Use ``csv_groups`` if keys carry leading zeros.
     """
-    options = {**_options("csv", glob), "singleVariantColumn": "_row"}
+    never = "'no such text'"     # by default " 2000 " may read as the year 2000: take no dates
+    options = {
+        **_options("csv", glob),
+        "enforceSchema": "true",
+        "singleVariantColumn": "_row",
+        "dateFormat": never,
+        "timestampFormat": never,
+        "timestampNTZFormat": never,
+    }
     reader = (spark.readStream if stream else spark.read).format("csv").options(**options)
     reader = reader.option("maxFilesPerTrigger", str(max_files)) if stream and max_files else reader
     rows = with_lineage(reader.load(root))
