@@ -62,11 +62,15 @@ def file_stream(
     return with_lineage(reader.schema(schema or infer_schema(spark, root, fmt, glob)).load(root))
 
 
-def table_stream(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def table_stream(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, max_files: int | None = None
+) -> DataFrame:
     """A stored Parquet table, file or folder, as a stream."""
+    options = {"maxFilesPerTrigger": str(max_files)} if max_files else {}
     # the bracket makes the path a glob, which a stream accepts for a single file as well
     return (
         spark.readStream.schema(schema or spark.read.parquet(path).schema)
+        .options(**options)
         .format("parquet")
         .load(path[:-1] + f"[{path[-1]}]")
     )

@@ -52,9 +52,12 @@ def read_sink(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("batch_id")
 
 
-def stream_sink(spark: SparkSession, path: str) -> DataFrame:
+def stream_sink(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """A table that another flow writes, as a stream."""
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path).drop("batch_id")
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", str(max_files))
+    return reader.parquet(path).drop("batch_id")
 
 
 def split_flow(

@@ -76,7 +76,7 @@ def bronze(spark: SparkSession, raw: str, root: str, max_files: int | None = Non
         query.awaitTermination()
 
 
-def _silver_entity(spark: SparkSession, root: str, name: str) -> None:
+def _silver_entity(spark: SparkSession, root: str, name: str, max_files: int | None) -> None:
     clean, row_rules, spec = CLEAN[name]
     path, key = f"{root}/silver/{name}", UNIQUE[name]
 
@@ -87,16 +87,16 @@ def _silver_entity(spark: SparkSession, root: str, name: str) -> None:
         return silver.enrich_claims(fresh, flows.read_sink(spark, f"{root}/silver/policy"))
 
     flows.split_flow(
-        flows.stream_sink(spark, f"{root}/bronze/{name}"), clean, row_rules, spec, path,
+        flows.stream_sink(spark, f"{root}/bronze/{name}", max_files), clean, row_rules, spec, path,
         f"{root}/dq_issues/flow={name}", _checkpoint(root, f"silver-{name}"), finish,
     )
 
 
-def to_silver(spark: SparkSession, root: str) -> None:
+def to_silver(spark: SparkSession, root: str, max_files: int | None = None) -> None:
     """Clean, check, deduplicate; bad rows of all entities go to one issue log."""
     for name in CLEAN:      # policy first: claims read it
-        _silver_entity(spark, root, name)
-    source = silver.customers(flows.stream_sink(spark, f"{root}/bronze/customers"))
+        _silver_entity(spark, root, name, max_files)
+    source = silver.customers(flows.stream_sink(spark, f"{root}/bronze/customers", max_files))
     flows.upsert_flow(
         source, ["CustomerID"], CUSTOMER_SEQUENCE, f"{root}/silver/customers", _checkpoint(root, "silver-customers")
     )
@@ -116,7 +116,9 @@ def customers(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def to_gold(spark: SparkSession, root: str, as_of: Column | None = None) -> None:
+def to_gold(
+    spark: SparkSession, root: str, as_of: Column | None = None, max_files: int | None = None
+) -> None:
     """Facts and dimensions follow silver as streams. The customer dimension is rebuilt: its
     source is updated in place, which an append-only stream cannot follow."""
     def policy() -> DataFrame:
@@ -129,7 +131,7 @@ def to_gold(spark: SparkSession, root: str, as_of: Column | None = None) -> None
         "fact_sales": ("sales", lambda rows: star.fact_sales(rows, as_of)),
     }
     for target, (source, transform) in steps.items():
-        stream = flows.stream_sink(spark, f"{root}/silver/{source}")
+        stream = flows.stream_sink(spark, f"{root}/silver/{source}", max_files)
         flows.run_flow(stream, f"{root}/gold/{target}", _checkpoint(root, target), transform)
     tables.refresh(star.dim_customer(customers(spark, root)), f"{root}/gold/dim_customer")
 
@@ -153,6 +155,6 @@ def run(
     spark: SparkSession, raw: str, root: str, as_of: Column | None = None, max_files: int | None = None
 ) -> None:
     bronze(spark, raw, root, max_files)
-    to_silver(spark, root)
-    to_gold(spark, root, as_of)
+    to_silver(spark, root, max_files)
+    to_gold(spark, root, as_of, max_files)
     to_marts(spark, root)
