@@ -8,28 +8,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_KEYS = 1_000          # at most this many keys are treated as hot
-TRACKED_KEYS = 20_000     # counters of the frequency sketch
+HOT_ROWS = 100            # fewer rows of a key in one group of tasks never make it hot
+TRACKED_KEYS = 4_000      # counters of one frequency sketch
+SKETCH_GROUPS = 512       # sketches are merged in this many groups of tasks
 
 
 def _hash(names: Sequence[str]):
     return F.xxhash64(*[F.col(f"`{n}`") for n in names])
 
 
-def hot_hashes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Hashes of keys that hold at least 1/HOT_KEYS of the rows: never more than HOT_KEYS rows.
+def hot_hashes(df: DataFrame, keys: Sequence[str]) -> list[int]:
+    """Hashes of the heaviest keys, HOT_KEYS of them at most.
 
-    One aggregation with a fixed-size frequency sketch, no shuffle of the keys. The sketch
-    only picks the route a row takes; missing or extra hot keys do not change the result.
+    Runs one job over the key columns: a fixed-size frequency sketch per group of tasks, no
+    shuffle of the keys. A key counts if it holds 1/HOT_KEYS of a group. The list only picks
+    the route a row takes; a key missing from it, or on it without need, costs time but does
+    not change a result. It is fetched once, so that every use sees the same list.
     """
-    top = df.select(_hash(keys).alias("_k")).agg(
-        F.expr(f"approx_top_k(_k, {HOT_KEYS}, {TRACKED_KEYS})").alias("_top"),
-        F.count(F.lit(1)).alias("_n"),
+    tops = (
+        df.select(_hash(keys).alias("_k"), F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_g"))
+        .groupBy("_g")
+        .agg(F.expr(f"approx_top_k(_k, {HOT_KEYS}, {TRACKED_KEYS})").alias("_top"), F.count(F.lit(1)).alias("_n"))
     )
-    return (
-        top.select(F.explode("_top").alias("_t"), "_n")
-        .filter(F.col("_t.count") * HOT_KEYS >= F.col("_n"))
-        .select(F.col("_t.item").alias("_hot"))
+    rows = F.col("_t.count")
+    heavy = tops.select(F.explode("_top").alias("_t"), "_n").filter(
+        (rows >= HOT_ROWS) & (rows * HOT_KEYS >= F.col("_n"))
     )
+    totals = heavy.groupBy(F.col("_t.item").alias("_hot")).agg(F.sum(rows).alias("_rows"))
+    return [r["_hot"] for r in totals.orderBy(F.desc("_rows"), "_hot").limit(HOT_KEYS).collect()]
 
 
 def left_join_unique(
@@ -39,57 +45,63 @@ def left_join_unique(
 
     Rows with a hot key are answered from a broadcast of at most HOT_KEYS right rows. They, and
     rows with a NULL key, are spread over the join's partitions under a salt that cannot match.
-    All others take the ordinary join. ``sketch_of`` may name a cheaper frame with the same keys (for example
-    the stored table behind ``left``) to look for hot keys in.
+    All others take the ordinary join. ``sketch_of`` may name a cheaper frame with the same
+    keys (for example the stored table behind ``left``) to look for hot keys in.
     """
     keys = list(keys)
     payload = [c for c in right.columns if c not in keys]
     hot = hot_hashes(sketch_of if sketch_of is not None else left, keys)
-
     packed = right.select(
         *[F.col(f"`{k}`").alias(f"_r_{k}") for k in keys],
         F.struct(*[F.col(f"`{c}`") for c in payload]).alias("_row"),
     )
-    packed_hash = F.xxhash64(*[F.col(f"`_r_{k}`") for k in keys])
-    hot_rows = packed.withColumn("_rh", packed_hash).join(
-        F.broadcast(hot), F.col("_rh") == F.col("_hot"), "left_semi"
-    )
-    hot_table = hot.join(F.broadcast(hot_rows), F.col("_hot") == F.col("_rh"), "left").select(
-        "_hot",
-        F.col("_row").alias("_hot_row"),
-        *[F.col(f"`_r_{k}`").alias(f"_h_{k}") for k in keys],
-    )
 
-    same = F.col("_lh") == F.col("_hot")
-    absent = F.col("_hot_row").isNull()
-    equal = F.lit(True)
+    lonely = F.lit(False)       # cannot match in the ordinary join
     for k in keys:
-        equal = equal & (F.col(f"`_h_{k}`") == F.col(f"`{k}`"))
+        lonely = lonely | F.col(f"`{k}`").isNull()
+    flagged, row = left, F.col("_row")
+    if hot:
+        flagged = _answer_hot(left, packed, keys, hot)
+        lonely = lonely | F.col("_hot").isNotNull()
+        row = F.coalesce(F.col("_hot_row"), row)
+
     plain = [f.name for f in left.schema.fields if f.dataType.typeName() not in ("map", "variant")]
     spread = F.xxhash64(*[F.col(f"`{c}`") for c in plain], F.spark_partition_id())
-    lonely = F.col("_hot").isNotNull()      # cannot match in the ordinary join
-    for k in keys:
-        lonely = lonely | F.col(f"`{k}`").isNull()
-    flagged = (
-        left.withColumn("_lh", _hash(keys))
-        .join(F.broadcast(hot_table), same & (absent | equal), "left")
-        .withColumns(
-            {
-                "_salt": F.when(lonely, spread).otherwise(F.lit(0)),
-                **{f"_j_{k}": F.when(F.col("_hot").isNull(), F.col(f"`{k}`")) for k in keys},
-            }
-        )
+    flagged = flagged.withColumns(
+        {
+            "_salt": F.when(lonely, spread).otherwise(F.lit(0)),
+            **{f"_j_{k}": F.when(~lonely, F.col(f"`{k}`")) for k in keys},
+        }
     )
     on = F.col("_salt") == F.col("_zero")
     for k in keys:
         on = on & (F.col(f"`_j_{k}`") == F.col(f"`_r_{k}`"))
     joined = flagged.join(packed.withColumn("_zero", F.lit(0).cast("bigint")), on, "left")
-    row = F.coalesce(F.col("_hot_row"), F.col("_row"))
     return joined.select(
         *[F.col(f"`{c}`") for c in left.columns], *[row.getField(c).alias(c) for c in payload]
     )
 
 
+def _answer_hot(left: DataFrame, packed: DataFrame, keys: list[str], hot: list[int]) -> DataFrame:
+    """Add ``_hot`` (set for hot keys) and ``_hot_row`` (their right row, NULL if there is none)."""
+    listed = left.sparkSession.createDataFrame([(h,) for h in hot], "_hot bigint")
+    packed_hash = F.xxhash64(*[F.col(f"`_r_{k}`") for k in keys])
+    found = packed.withColumn("_rh", packed_hash).join(
+        F.broadcast(listed), F.col("_rh") == F.col("_hot"), "left_semi"
+    )
+    table = listed.join(F.broadcast(found), F.col("_hot") == F.col("_rh"), "left").select(
+        "_hot",
+        F.col("_row").alias("_hot_row"),
+        *[F.col(f"`_r_{k}`").alias(f"_h_{k}") for k in keys],
+    )
+    equal = F.lit(True)
+    for k in keys:
+        equal = equal & (F.col(f"`_h_{k}`") == F.col(f"`{k}`"))
+    return left.withColumn("_lh", _hash(keys)).join(
+        F.broadcast(table), (F.col("_lh") == F.col("_hot")) & (F.col("_hot_row").isNull() | equal), "left"
+    )
+
+
 def count_per_key(df: DataFrame, keys: Sequence[str], name: str, sketch_of: DataFrame | None = None) -> DataFrame:
     """Add the number of rows that share the key, NULL keys counted as one group.
 
