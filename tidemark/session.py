@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int = 8, name: str = "tidemark") -> SparkSession:
-    """A local session for tests and the bench. Clusters bring their own."""
+def local_session(cores: int = 8, name: str = "tidemark", scratch: str | None = None) -> SparkSession:
+    """A local session for tests and the bench. Clusters bring their own.
+
+    ``scratch`` becomes ``spark.checkpoint.dir``.
+    """
+    builder = SparkSession.builder.config("spark.checkpoint.dir", scratch) if scratch else SparkSession.builder
     return (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -28,12 +30,11 @@ def local_session(cores: int = 8, name: str = "tidemark") -> SparkSession:
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path under the folder that all executors share.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Only where it is
-    unset, as in a local test, a temporary folder takes its place.
+    The cluster names that folder in ``spark.checkpoint.dir``. Where it is unset, a
+    folder in the warehouse takes its place: Spark asks that driver and executors
+    share the warehouse as well.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tidemark-")
-    return os.path.join(base, "tidemark", f"{purpose}-{uuid.uuid4().hex}")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/.scratch"
+    return f"{base.rstrip('/')}/tidemark/{purpose}-{uuid.uuid4().hex}"
