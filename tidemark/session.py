@@ -14,7 +14,7 @@ def local_session(cores: int = 8, name: str = "tidemark", scratch: str | None =
     """
     builder = SparkSession.builder.config("spark.checkpoint.dir", scratch) if scratch else SparkSession.builder
     return (
-        builder.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
