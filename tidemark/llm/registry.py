@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tidemark.llm import exact_dedup, mixing
+from tidemark.llm import exact_dedup, language_id, license_scan, mixing, quality
 
-MODULES = (mixing, exact_dedup)
+MODULES = (mixing, quality, license_scan, exact_dedup, language_id)
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
