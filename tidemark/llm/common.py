@@ -84,8 +84,11 @@ LOWER[0x41:0x5B] += 32
 _VALUE = mixed((LOWER.astype(np.uint64) + np.uint64(1)) * np.uint64(_BASE))
 
 
-def _words(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and hashes of the words in ``data``; none spans a row start in ``rows``."""
+def _words(data: np.ndarray, rows: np.ndarray, stem: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and hashes of the words in ``data``; none spans a row start in ``rows``.
+
+    With ``stem``, a second column of hashes: of the word's first so many bytes, 0 if it is shorter.
+    """
     word = IS_WORD[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[rows] = True
@@ -97,12 +100,18 @@ def _words(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     up, down = powers(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_VALUE[data] * up[: len(data)], out=total[1:])
-    return starts, ends, mixed((total[ends] - total[starts]) * down[starts])
+    whole = mixed((total[ends] - total[starts]) * down[starts])
+    if not stem:
+        return starts, whole
+    cut = np.minimum(starts + stem, len(data))
+    stems = mixed((total[cut] - total[starts]) * down[starts] + np.uint64(_BASE))
+    return starts, np.stack([whole, np.where(ends >= starts + stem, stems, np.uint64(0))], axis=1)
 
 
-def words(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def words(column: pa.Array, stem: int = 0) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Word hashes of whole texts, slice by slice: first row, last row (exclusive),
     where each of these rows' words begin (one more at the end), and the hashes.
+    With ``stem``, the hashes have a second column, see ``_words``.
 
     A text longer than a slice is hashed in pieces that end between two words.
     """
@@ -111,9 +120,9 @@ def words(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
         at = offsets[first : last + 1] - offsets[first]
         part = data[offsets[first] : offsets[last]]
         if not len(part):
-            yield first, last, np.zeros(last - first + 1, np.int64), np.zeros(0, np.uint64)
+            yield first, last, np.zeros(last - first + 1, np.int64), np.zeros((0, 2) if stem else 0, np.uint64)
         elif len(part) <= SLICE:
-            starts, _, hashes = _words(part, at[:-1][at[:-1] < len(part)])
+            starts, hashes = _words(part, at[:-1][at[:-1] < len(part)], stem)
             yield first, last, np.searchsorted(starts, at), hashes
         else:
             found, done = [], 0
@@ -125,7 +134,7 @@ def words(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
                         seen, end = end, min(end + SLICE, len(part))
                         gaps = np.flatnonzero(~IS_WORD[part[seen:end]]) + (seen - done)
                     end = done + int(gaps[-1]) + 1 if len(gaps) else end
-                found.append(_words(part[done:end], np.zeros(1, np.int64))[2])
+                found.append(_words(part[done:end], np.zeros(1, np.int64), stem)[1])
                 done = end
             hashes = np.concatenate(found)
             yield first, last, np.array([0, len(hashes)]), hashes

@@ -98,14 +98,16 @@ def chunk_conflicts(docs: DataFrame, proposed: DataFrame, chunk: int = CHUNK) ->
 def exact_groups(docs: DataFrame, chunk: int = CHUNK, primes=PRIMES) -> DataFrame:
     """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256, n_bytes."""
     marks = stored(fingerprints(docs, chunk, primes), "fingerprints")
-    repeated = marks.groupBy("fp", "n_bytes").agg(F.count("*").alias("n")).where("n > 1").select("fp", "n_bytes")
-    proposed = marks.join(repeated, ["fp", "n_bytes"], "left_semi")
+    # stored, so that joins deal out both sides plainly and Spark can split a group of copies
+    repeated = stored(marks.groupBy("fp", "n_bytes").agg(F.count("*").alias("n")).where("n > 1").select("fp", "n_bytes"), "repeated")
+    proposed = stored(marks.join(repeated, ["fp", "n_bytes"], "left_semi"), "proposed")
     broken = stored(chunk_conflicts(docs, proposed, chunk).withColumn("broken", F.lit(True)), "conflicts")
     exact = marks.join(broken, "fp", "left").withColumn(
         "part", F.when(F.col("broken"), F.col("text_sha256")).otherwise(F.lit(""))
     )
-    groups = exact.groupBy("fp", "n_bytes", "part").agg(
-        F.max(F.struct("doc_id", "rid")).alias("best"), F.count("*").alias("group_size")
+    groups = stored(
+        exact.groupBy("fp", "n_bytes", "part").agg(F.max(F.struct("doc_id", "rid")).alias("best"), F.count("*").alias("group_size")),
+        "groups",
     )
     return exact.join(groups, ["fp", "n_bytes", "part"]).select(
         "doc_id",

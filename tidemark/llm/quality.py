@@ -1,7 +1,9 @@
 """Quality classifier from weak labels.
 
 Overlapping heuristic labellers vote on every whole text: yes, no, or no vote. There are
-two questions, low quality and toxic, each with its own labellers. Spark counts the vote
+two questions, low quality and toxic, each with its own labellers. Two of the toxic ones look
+for words and word stems that stand out in a bounded sample of labelled documents (``TOXIC``
+toxic and ``CLEAN`` other ones, first in a seeded order); without labels they don't vote. Spark counts the vote
 patterns of all documents (at most 3**labellers of them); expectation-maximisation over
 these counts estimates how each labeller votes on either class, without any gold label,
 and gives a posterior for each pattern. Posteriors of a bounded sample (the ``SAMPLE``
@@ -9,8 +11,8 @@ documents first in a seeded order) train a linear scorer on hashed words and vot
 stochastic gradient descent. A document's probability joins posterior and scorer; it is
 rejected if either probability is above one half.
 
-Defined results: a null or empty text gets no votes but "too short"; as every other text it
-is judged by its pattern. Rows that repeat a doc_id are judged row by row. A null doc_id is
+Defined results: a null or empty text is judged by its pattern as every other (no labeller
+finds fault with it). Rows that repeat a doc_id are judged row by row. A null doc_id is
 allowed. Extra columns are ignored. An empty table gives an empty result.
 """
 
@@ -24,16 +26,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SLICE, documents, texts, words
+from tidemark.llm.common import SLICE, documents, signed, texts, words
 
 BUCKETS = 1 << 12
 SAMPLE = 3000
 EPOCHS = 8
+TOXIC, CLEAN = 2000, 8000
+#: Words and stems learned: in at least so many toxic documents, so many times as common there as in others.
+SUPPORT, RATIO, LEXICON = 4, 100, 4096
+STEM = 6
 #: Insults naming a person, and words of contempt.
 INSULTS = ("idiot", "moron", "loser", "clown", "scum", "imbecile", "jerk", "creep")
-CONTEMPT = ("trash", "pathetic", "worthless", "disgusting", "stupid", "dumb", "filth", "vile")
-QUALITY_VOTES = ("symbols", "capitals", "repeats", "variety", "shouting", "sentences", "bars", "short")
-TOXIC_VOTES = ("insult", "contempt", "any_two", "dense")
+CONTEMPT = ("trash", "pathetic", "worthless", "disgusting", "stupid", "dumb", "filthy")
+QUALITY_VOTES = ("symbols", "capitals", "repeats", "variety", "shouting", "bars", "unpunctuated", "plain", "sentences")
+TOXIC_VOTES = ("insult", "contempt", "any_two", "learned_word", "learned_stem", "spotless")
 NONE, NO, YES = 0, 1, 2
 
 _OTHER, _UPPER, _LOWER, _SPACE, _SYMBOL, _BAR, _END, _SHOUT, _DIGIT, _KINDS = range(10)
@@ -48,37 +54,37 @@ def word_hash(word: str) -> int:
     return int(next(words(pa.array([word])))[3][0])
 
 
-def _vote(value: float, no: float, yes: float) -> int:
-    """YES at ``yes`` and beyond, NO at ``no`` and beyond, whichever way they lie."""
-    if yes > no:
-        return YES if value >= yes else NO if value <= no else NONE
-    return YES if value <= yes else NO if value >= no else NONE
-
-
-def votes(kinds: np.ndarray, hashes: np.ndarray, lexicon: dict[str, np.ndarray]) -> tuple[tuple[int, ...], tuple[int, ...]]:
+def votes(kinds: np.ndarray, hashes: np.ndarray, stems: np.ndarray, lexicon: dict[str, np.ndarray]) -> tuple[tuple[int, ...], tuple[int, ...]]:
     """Both questions' votes on a text, from its byte kinds' counts and its word hashes."""
     n = len(hashes)
     signs, letters = kinds.sum() - kinds[_SPACE], kinds[_UPPER] + kinds[_LOWER]
     insult, contempt = (int(np.isin(hashes, lexicon[k]).sum()) for k in ("insult", "contempt"))
+    known = [bool(np.isin(found, lexicon["learned"]).any()) for found in (hashes, stems)]
+    # one-sided: a word list says nothing about texts in a language that it doesn't cover
     toxic = (
-        YES if insult else NO,
-        YES if contempt else NO,
-        YES if insult + contempt >= 2 else NO if insult + contempt == 0 else NONE,
-        YES if insult + contempt >= max(1, n / 500) else NO if insult + contempt == 0 else NONE,
+        YES if insult else NONE,
+        YES if contempt else NONE,
+        YES if insult + contempt >= 2 else NONE,
+        *(YES if k else NONE for k in known),
+        NONE if insult + contempt + sum(known) else NO,
     )
-    if n < 5:
-        return (NONE,) * (len(QUALITY_VOTES) - 1) + (YES,), toxic
     distinct = len(np.unique(hashes))
     ends = kinds[_END] + kinds[_SHOUT]
+    symbols, bars, shouts = kinds[_SYMBOL] / max(1, signs), kinds[_BAR] / max(1, n), kinds[_SHOUT] / max(1, n)
+    capitals = kinds[_UPPER] / letters if letters else 0.0
+    repeats = float((hashes[1:] == hashes[:-1]).mean()) if n >= 10 else 0.0
+    signed_little = symbols < 0.04 and bars < 0.05 and shouts < 0.05
+    few = n >= 20 and distinct < 0.3 * min(n, 400)
     quality = (
-        _vote(kinds[_SYMBOL] / max(1, signs), 0.02, 0.08),
-        _vote(kinds[_UPPER] / letters, 0.15, 0.5) if letters else NONE,
-        _vote(float((hashes[1:] == hashes[:-1]).mean()), 0.04, 0.15),
-        _vote(distinct / min(n, 400), 0.5, 0.3),
-        _vote(kinds[_SHOUT] / n, 0.02, 0.15),
-        (_vote(n / max(1, ends), 30, 60) if n >= 30 else NONE),
-        _vote(kinds[_BAR] / n, 0.02, 0.12),
-        NO if n >= 12 else NONE,
+        YES if symbols >= 0.06 else NONE,
+        YES if capitals >= 0.5 and n >= 3 else NONE,
+        YES if repeats >= 0.1 else NONE,
+        YES if few else NONE,
+        YES if shouts >= 0.1 else NONE,
+        YES if bars >= 0.1 else NONE,
+        YES if n >= 60 and n / max(1, ends) > 60 else NONE,
+        NO if symbols < 0.02 and bars < 0.02 and shouts < 0.02 and capitals < 0.2 else NONE,
+        NO if signed_little and (n < 30 or (n / max(1, ends) <= 30 and repeats < 0.04 and not few)) else NONE,
     )
     return quality, toxic
 
@@ -101,14 +107,47 @@ def _kinds(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def judged(column: pa.Array) -> Iterator[tuple[int, np.ndarray, tuple, tuple]]:
+def judged(column: pa.Array, learned: np.ndarray) -> Iterator[tuple[int, np.ndarray, tuple, tuple]]:
     """For each row: its number, word hashes, quality and toxic votes."""
-    lexicon = {"insult": np.array([word_hash(w) for w in INSULTS], np.uint64), "contempt": np.array([word_hash(w) for w in CONTEMPT], np.uint64)}
+    fixed = {k: np.array([word_hash(w) for w in ws], np.uint64) for k, ws in (("insult", INSULTS), ("contempt", CONTEMPT))}
     data, at = texts(column)
-    for first, last, begins, hashes in words(column):
+    for first, last, begins, hashes in words(column, STEM):
         for i in range(first, last):
             own = hashes[begins[i - first] : begins[i - first + 1]]
-            yield i, own, *votes(_kinds(data[at[i] : at[i + 1]]), own, lexicon)
+            yield i, own[:, 0], *votes(_kinds(data[at[i] : at[i + 1]]), own[:, 0], own[:, 1], fixed | {"learned": learned})
+
+
+def learn_words(docs: DataFrame, labels: DataFrame) -> np.ndarray:
+    """Hashes of at most LEXICON words and stems that stand out in toxic documents of the sample."""
+    draw = F.md5(F.concat(F.lit("toxic-1:"), F.col("doc_id").cast("string")))
+    known = labels.where("doc_id is not null and toxic is not null").select(F.col("doc_id").cast("long").alias("id"), (F.col("toxic") > 0).alias("bad"), draw.alias("draw"))
+    sample = known.where("bad").orderBy("draw").limit(TOXIC).unionByName(known.where("not bad").orderBy("draw").limit(CLEAN))
+    few = F.broadcast(sample.select("id", "bad").distinct())       # TOXIC + CLEAN rows at most
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bad = batch.column("bad").to_numpy(zero_copy_only=False).astype(np.int64)
+            found, which = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            for first, last, begins, hashes in words(batch.column("text"), STEM):
+                for i in range(first, last):
+                    own = np.unique(hashes[begins[i - first] : begins[i - first + 1]])
+                    found.append(own)
+                    which.append(np.full(len(own), bad[i]))
+            terms, at = np.unique(np.concatenate(found), return_inverse=True)
+            n, toxic = np.bincount(at, minlength=len(terms)), np.bincount(at, np.concatenate(which), minlength=len(terms))
+            keep = terms != 0
+            yield pa.RecordBatch.from_arrays([pa.array(signed(terms[keep])), pa.array(toxic[keep].astype(np.int64)), pa.array((n - toxic)[keep].astype(np.int64))], names=["term", "bad", "good"])
+
+    rows = docs.select(docs["doc_id"].cast("long").alias("id"), F.coalesce(docs["text"], F.lit("")).alias("text")).join(few, "id").select("bad", "text")
+    sizes = {r["bad"]: r["n"] for r in sample.groupBy("bad").agg(F.count("*").alias("n")).collect()}
+    ratio = RATIO * sizes.get(True, 0) / max(1, sizes.get(False, 0))
+    terms = (
+        rows.mapInArrow(run, "term long, bad long, good long")
+        .groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+        .where((F.col("bad") >= SUPPORT) & (F.col("bad") > F.lit(ratio) * (F.col("good") + 0.5)))
+        .orderBy(F.col("bad").desc(), "term").limit(LEXICON).select("term").toArrow()
+    )
+    return np.sort(terms["term"].to_numpy().astype(np.int64).view(np.uint64))
 
 
 def maximise(patterns: np.ndarray, counts: np.ndarray, rounds: int = 60) -> np.ndarray:
@@ -175,6 +214,7 @@ class Scorer:
     quality: dict[int, float]       # posterior by vote pattern
     toxic: dict[int, float]
     weights: np.ndarray
+    learned: np.ndarray             # words and stems, by hash
 
     def score(self, hashes: np.ndarray, quality: tuple, toxic: tuple) -> tuple[float, float]:
         at, x = features(hashes, quality, toxic)
@@ -183,13 +223,14 @@ class Scorer:
         return float(low), float(bad)
 
 
-def fit(docs: DataFrame) -> Scorer:
+def fit(docs: DataFrame, labels: DataFrame | None = None) -> Scorer:
     """Counts vote patterns over all documents, estimates labellers, trains the scorer."""
+    learned = learn_words(docs, labels) if labels is not None else np.zeros(0, np.uint64)
     base = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text"))
 
     def patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes = [(_code(q), _code(t)) for _, _, q, t in judged(batch.column("text"))]
+            codes = [(_code(q), _code(t)) for _, _, q, t in judged(batch.column("text"), learned)]
             both, n = np.unique(np.array(codes, np.int64).reshape(-1, 2), axis=0, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(n)], names=["q", "t", "n"])
 
@@ -206,7 +247,7 @@ def fit(docs: DataFrame) -> Scorer:
         for batch in batches:
             out = {"doc_id": [], "q": [], "t": [], "at": [], "x": []}
             ids = batch.column("doc_id").to_pylist()
-            for i, own, q, t in judged(batch.column("text")):
+            for i, own, q, t in judged(batch.column("text"), learned):
                 at, x = features(own, q, t)
                 for k, v in zip(out, (ids[i], _code(q), _code(t), at.astype(np.int32), x.astype(np.float32)), strict=True):
                     out[k].append(v)
@@ -217,8 +258,8 @@ def fit(docs: DataFrame) -> Scorer:
     sample = base.join(F.broadcast(few), "doc_id").mapInArrow(chosen, "doc_id long, q long, t long, at array<int>, x array<float>").toArrow()
     sample = sample.sort_by([("doc_id", "ascending"), ("q", "ascending")]).slice(0, SAMPLE)
     rows = [(a.values.to_numpy(), x.values.to_numpy()) for a, x in zip(sample["at"], sample["x"], strict=True)]
-    labels = np.array([[posterior[0][q], posterior[1][t]] for q, t in zip(sample["q"].to_pylist(), sample["t"].to_pylist(), strict=True)])
-    return Scorer(posterior[0], posterior[1], train(rows, labels) if rows else np.zeros((WIDTH, 2)))
+    soft = np.array([[posterior[0][q], posterior[1][t]] for q, t in zip(sample["q"].to_pylist(), sample["t"].to_pylist(), strict=True)])
+    return Scorer(posterior[0], posterior[1], train(rows, soft) if rows else np.zeros((WIDTH, 2)), learned)
 
 
 def scored(docs: DataFrame, scorer: Scorer) -> DataFrame:
@@ -226,7 +267,7 @@ def scored(docs: DataFrame, scorer: Scorer) -> DataFrame:
     row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
 
     def run(column: pa.Array) -> pa.Array:
-        out = [scorer.score(own, q, t) for _, own, q, t in judged(column)]
+        out = [scorer.score(own, q, t) for _, own, q, t in judged(column, scorer.learned)]
         return pa.StructArray.from_arrays([pa.array([x[k] for x in out], pa.float64()) for k in (0, 1)], names=["low_quality", "toxic"])
 
     judge = F.arrow_udf(run, "low_quality double, toxic double")
@@ -240,14 +281,14 @@ def scored(docs: DataFrame, scorer: Scorer) -> DataFrame:
 
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    return scored(docs, fit(docs)).select(
+    return scored(docs, fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))).select(
         "doc_id", "low_quality", "toxic", (1 - F.greatest("low_quality", "toxic")).alias("score"), "kept"
     )
 
 
-def accepted(docs: DataFrame) -> DataFrame:
+def accepted(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """The rows of docs that the classifier keeps, with all their columns."""
-    return scored(docs, fit(docs)).where("kept").select("row.*")
+    return scored(docs, fit(docs, labels)).where("kept").select("row.*")
 
 
 ORACLES: dict[str, str] = {}
