@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tidemark.llm import exact_dedup, language_id, license_scan, mixing, quality
+from tidemark.llm import exact_dedup, html_extract, language_id, license_scan, mixing, near_dedup, personal_data, quality
 
-MODULES = (mixing, quality, license_scan, exact_dedup, language_id)
+MODULES = (mixing, quality, license_scan, exact_dedup, html_extract, near_dedup, language_id, personal_data)
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
