@@ -170,7 +170,7 @@ def test_only_throttling_is_retried_with_doubling_pause(monkeypatch):
     def second_time(_):
         calls.append(1)
         if len(calls) < 2:
-            raise RuntimeError("HTTP 429")
+            raise infer.Throttled("HTTP 429")
         return "ok"
 
     assert infer._ask(second_time, "p", 3, 2.0) == ("ok", None)

@@ -102,7 +102,7 @@ def vector_frames(spark, n_queries=7, n_rows=300, dims=6, seed=5):
         n = np.linalg.norm(m, axis=1, keepdims=True)
         return m / np.where(n > 0, n, 1)
 
-    scores = np.round(unit(queries) @ unit(corpus).T, retrieval.SCORE_DIGITS) + 0.0
+    scores = np.round(np.stack([(unit(corpus) * row).sum(axis=1) for row in unit(queries)]), retrieval.TIE_DIGITS) + 0.0
     return q, c, scores
 
 
@@ -122,15 +122,27 @@ def test_knn_equals_brute_force_with_ties(spark, k):
     assert all(h.part == f"p{h.id % 5}" and h.score == scores[h.query_id][h.id] for h in hits)
 
 
-def test_knn_beyond_the_shipped_size_takes_blocks(spark, monkeypatch):
+def test_knn_in_blocks_equals_one_scan(spark):
     q, c, scores = vector_frames(spark, n_queries=40)
-    monkeypatch.setattr(retrieval, "MAX_SHIPPED_QUERIES", 8)
-    monkeypatch.setattr(retrieval, "ROWS_PER_BLOCK", 70)
-    hits = retrieval.knn(q, c, 4, payload=["part"])
-    assert "FlatMapCoGroupsInPandas" in hits._jdf.queryExecution().executedPlan().toString()
+    hits = retrieval.knn(q, c, 4, payload=["part"], block_queries=8)
     assert {(h.query_id, h.id, h["rank"]) for h in hits.collect()} == brute(scores, 4)
 
 
+@pytest.mark.parametrize("block", [1, 10])
+def test_repeated_ids_are_rows_of_their_own(spark, block):
+    c = spark.createDataFrame([(1, [1.0, 0.0], "a"), (1, [1.0, 0.0], "b"), (2, [0.0, 1.0], "c")], "id long, embedding array<double>, part string")
+    q = spark.createDataFrame([(7, [1.0, 0.0]), (8, [0.0, 2.0]), (8, [0.0, 2.0])], "query_id long, embedding array<double>")
+    got = sorted((h.query_id, h.id, h.part, h["rank"]) for h in retrieval.knn(q.limit(2), c, 2, payload=["part"], block_queries=block).collect())
+    assert [g[:2] for g in got if g[0] == 7] == [(7, 1), (7, 1)] and {g[2] for g in got if g[0] == 7} == {"a", "b"}
+    assert [g[1:3] for g in got if g[0] == 8 and g[3] == 1] == [(2, "c")]
+
+
+def test_ranks_use_full_precision(spark):
+    c = spark.createDataFrame([(1, [1.0, 1e-4]), (2, [1.0, 0.0])], "id long, embedding array<double>")
+    q = spark.createDataFrame([(0, [1.0, 0.0])], "query_id long, embedding array<double>")
+    assert retrieval.knn(q, c, 1).first().id == 2
+
+
 def test_knn_without_queries_or_rows(spark):
     q, c, _ = vector_frames(spark)
     assert retrieval.knn(q.limit(0), c, 3).count() == 0

@@ -19,7 +19,8 @@ class Throttled(Exception):
 
 
 def _throttled(error: Exception) -> bool:
-    return isinstance(error, Throttled) or "429" in str(error)
+    status = getattr(error, "status_code", getattr(error, "status", None))
+    return isinstance(error, Throttled) or status == 429
 
 
 def _ask(fn: Callable[[str], str], text: str, retries: int, backoff: float) -> tuple[str | None, str | None]:

@@ -219,17 +219,18 @@ CTES: dict[str, str] = {
     "chunks": """SELECT doc_id, CAST(n AS INTEGER) AS chunk_no, substr(text, n * 320 + 1, 400) AS chunk_text FROM (
       SELECT doc_id, text, unnest(range(0, CAST(ceil(length(text) / 320.0) AS BIGINT))) AS n FROM documents)""",
     "label_pairs": """SELECT m.label AS query_id, e.vec_id, e.label, round(list_dot_product(m.q, e.v)
-      / (sqrt(list_dot_product(m.q, m.q)) * sqrt(list_dot_product(e.v, e.v))), 6) AS score
+      / (sqrt(list_dot_product(m.q, m.q)) * sqrt(list_dot_product(e.v, e.v))), 6) AS score,
+      list_dot_product(m.q, e.v) / (sqrt(list_dot_product(m.q, m.q)) * sqrt(list_dot_product(e.v, e.v))) AS exact
       FROM (SELECT label, list(x ORDER BY i) AS q FROM (SELECT label, i, avg(v[i]) AS x FROM (
         SELECT label, CAST(embedding AS DOUBLE[]) AS v, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)
         GROUP BY label, i) GROUP BY label) m
       CROSS JOIN (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings) e""",
     "label_hits": """SELECT query_id, vec_id, label, score, CAST(row_number() OVER (PARTITION BY query_id
-      ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM label_pairs QUALIFY rank <= 5""",
-    "ranked_chunks": """SELECT query_id, chunk_id, doc_id, chunk_text, score, CAST(row_number() OVER (PARTITION BY query_id
-      ORDER BY score DESC, chunk_id) AS INTEGER) AS rank FROM (
+      ORDER BY round(exact, 12) DESC, vec_id) AS INTEGER) AS rank FROM label_pairs QUALIFY rank <= 5""",
+    "ranked_chunks": """SELECT query_id, chunk_id, doc_id, chunk_text, round(exact, 6) AS score, CAST(row_number() OVER (PARTITION BY query_id
+      ORDER BY round(exact, 12) DESC, chunk_id) AS INTEGER) AS rank FROM (
       SELECT q.item_id AS query_id, c.chunk_id, c.doc_id, c.chunk_text, CASE WHEN c.norm = 0 OR q.norm = 0 THEN 0.0 ELSE
-        round(list_dot_product(q.v, c.v) / (q.norm * c.norm), 6) END AS score
+        list_dot_product(q.v, c.v) / (q.norm * c.norm) END AS exact
       FROM (SELECT *, sqrt(list_dot_product(v, v)) AS norm FROM benchmark_vectors) q
       CROSS JOIN (SELECT *, sqrt(list_dot_product(v, v)) AS norm FROM chunk_vectors) c) QUALIFY rank <= 10""",
 }
@@ -658,6 +659,11 @@ CHECKS: dict[str, str] = {
     "SELECT doc_id, CAST('0x' || substr(md5(w), 1, 4) AS BIGINT) % 64 AS place FROM ("
     "SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS w FROM documents)) GROUP BY doc_id, place",
     "knn_topk": _sql("SELECT query_id, vec_id, label, score, rank FROM label_hits", "label_hits"),
+    "knn_all_pairs": "WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings) "
+    "SELECT query_id, vec_id, score, CAST(2 AS BIGINT) AS copies FROM (SELECT a.vec_id AS query_id, b.vec_id, "
+    "list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) AS exact, "
+    "round(exact, 6) AS score FROM v a CROSS JOIN v b) "
+    "QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(exact, 12) DESC, vec_id) <= 3",
     "knn_confidence": _sql(_confidence.format(key="label", hits="label_hits"), "label_hits"),
     "knn_sources": _sql(_sources.format(key="label", hits="label_hits"), "label_hits"),
     "knn_chunks": _sql(

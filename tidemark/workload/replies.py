@@ -11,7 +11,7 @@ def count_sources(prompt: str) -> str:
 
 def headline(prompt: str) -> str:
     """A structured reply: a reasoning block, then the text block."""
-    return json.dumps([{"type": "reasoning", "text": prompt[:40]}, {"type": "text", "text": " Reviewed. "}])
+    return json.dumps([{"type": "reasoning", "text": prompt}, {"type": "text", "text": " Reviewed. "}])
 
 
 def by_role(prompt: str) -> str:
