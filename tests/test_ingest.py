@@ -35,7 +35,7 @@ def found(df):
 WANT = {
     ("1", "W", "primary", None, "customers_1.csv"),
     ("2", None, "secondary", None, "customers_1.csv"),
-    ("7", "East", "primary", '{"Note":"a, b"}', "customers_2.csv"),
+    ("007", "East", "primary", '{"Note":"a, b"}', "customers_2.csv"),
     ("9", "North", None, None, "customers_3.csv"),
 }
 
@@ -44,18 +44,31 @@ def test_each_file_is_read_by_its_own_header(spark, drifting):
     assert found(ingest.drifting_csv(spark, drifting, "customers*.csv", ALIASES)) == WANT
 
 
-def test_dates_and_lookalikes_stay_text(spark, tmp_path):
-    values = [" 2000 ", "2000", "2020-01-05", "2020-01-05 10:00:00", "10:30", "05-01-2020 10:00", "2020", "null", "NaN", "1e3x"]
-    (tmp_path / "a.csv").write_text("v,n\n" + "".join(f"{v},{i}\n" for i, v in enumerate(values)))
-    df = ingest.drifting_csv(spark, str(tmp_path), "a.csv", {"v": ("v",), "n": ("n",)})
+def test_values_are_exact_text(spark, tmp_path):
+    values = [" 2000 ", "2000", "2020-01-05", "2020-01-05 10:00:00", "10:30", "null", "NaN", "1e3x",
+              "007", "1e5", "2.50", "TRUE", "+5", "00.10", "1,5", 'say "hi"', "a\\b"]
+    quoted = ['"' + v.replace('"', '\\"') + '"' if "," in v or '"' in v else v for v in values]
+    (tmp_path / "a [1].csv").write_text("v,n\n" + "".join(f"{v},{i}\n" for i, v in enumerate(quoted)))
+    df = ingest.drifting_csv(spark, str(tmp_path), "*.csv", {"v": ("v",), "n": ("n",)})
     got = {int(r.n): r.v for r in df.collect()}
-    assert [got[i].strip() for i in range(len(values))] == [v.strip() for v in values]
+    assert [got[i] for i in range(len(values))] == values
 
 
-def test_drifting_stream_equals_batch(spark, drifting, tmp_path):
-    stream = ingest.drifting_csv(spark, drifting, "customers*.csv", ALIASES, stream=True, max_files=1)
+def test_lines_that_do_not_fit_are_kept(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("v,w,v\n1,2,3\n4,5\n6,7,8,9\n")
+    df = ingest.drifting_csv(spark, str(tmp_path), "a.csv", {"v": ("v",), "w": ("w",)})
+    got = {r.v: json.loads(r[ingest.RESCUED]) for r in df.collect()}
+    assert got["1"] == {"v_2": "3"} and got["4"]["_line"] == "4,5" and got["6"]["_line"] == "6,7,8,9"
+    assert ingest.drifting_csv(spark, str(tmp_path), "none*.csv", {"v": ("v",)}).count() == 0
+
+
+def test_drifting_stream_equals_batch(spark, drifting):
     out = shared_dir(spark, "drift-test")
-    flows.run_flow(stream, f"{out}/t", f"{out}/c")
+
+    def step(files, _):
+        return {f"{out}/t": ingest.drifting_csv(spark, [r.path for r in files.collect()], None, ALIASES)}
+
+    flows.run_step(ingest.new_files(spark, drifting, "customers*.csv", 1), step, f"{out}/c")
     assert found(flows.read_sink(spark, f"{out}/t")) == WANT
 
 

@@ -3,17 +3,20 @@
 A text is its set of five-word shingles. A shingle's weight is (1 + ln tf) times a factor
 that falls from 1 to ``1 - IDF_SHARE`` as its document frequency grows to all documents.
 Frequencies come from all documents, through a sketch of fixed size (``SKETCH`` counters),
-so that the table sent to the tasks stays bounded. Each text gets ``BANDS`` x ``ROWS``
-consistent weighted samples; two texts of weighted Jaccard similarity s agree in one sample
-with probability s, so at 0.8 they meet in some band with probability 0.99996.
-
-Texts with the same weighted set are one vertex from then on. In each band bucket one member
-is the centre, chosen by a hash that differs from band to band, and every other member is
-verified against it by the exact weighted Jaccard similarity. Members that fail choose a
-centre among themselves in the next round; those left after ``ROUNDS`` rounds are dealt out
-again by further samples, which only texts of high similarity share. Pairs therefore grow
-with the number of rows, whatever the size of a bucket, and nothing is capped. Verified
-pairs give connected components; a component is a class.
+so that the table sent to the tasks stays bounded. Each text gets consistent weighted
+samples; two texts of weighted Jaccard similarity s agree in one sample with probability s.
+Samples make up bands, so at 0.8 two texts meet in some bucket with probability 0.9999.
+
+Texts with the same weighted set are one vertex from then on. In each bucket a few members
+are centres, chosen by hashes that differ from bucket to bucket. Every other member takes the
+centre that agrees with it in the most samples; unless the samples rule out the threshold,
+the pair is verified by the exact weighted Jaccard similarity. Members that no centre takes
+choose centres among themselves in the next round. Those that are still among others after
+``ROUNDS`` rounds go to the next of ``LEVELS``: more samples in longer bands, which part texts
+of middling similarity (a family that shares half of its text) and estimate the rest more
+sharply. This goes on until no bucket has two such members; there is no cap. Pairs grow with
+the number of rows, whatever the size of a bucket. Verified pairs give connected components;
+a component is a class.
 
 Defined results: a text of one to four words has one shingle, all its words. A text without
 words is equal only to the same text. Null counts as empty. The class id is the smallest
@@ -35,8 +38,11 @@ from tidemark.llm.common import documents, mixed, shingles, signed, stored, text
 from tidemark.llm.components import components
 
 K, THRESHOLD = 5, 0.8
-BANDS, ROWS = 10, 2
-ROUNDS = 4
+#: Bands and samples in a band, level by level; the last one repeats with other samples.
+LEVELS = ((13, 3), (25, 8), (80, 14), (200, 20))
+CENTRES, ROUNDS = 4, 3
+#: Standard deviations below the expected agreement at which the threshold is ruled out.
+DOUBT = 3.7
 SKETCH = 1 << 17
 IDF_SHARE = 0.3
 _TABLE = 1 << 16
@@ -114,18 +120,31 @@ def frequency_factors(docs: DataFrame) -> np.ndarray:
     return (1 - IDF_SHARE + IDF_SHARE * np.clip(idf, 0, 1)).astype(np.float32)
 
 
-_SIGNATURE = pa.struct([("set_key", pa.int64()), ("set_check", pa.int64()), ("bands", pa.list_(pa.int64()))])
+_SIGNATURE = pa.struct([("set_key", pa.int64()), ("set_check", pa.int64()), ("bands", pa.list_(pa.int64())), ("codes", pa.list_(pa.int8()))])
+
+
+def samples_before(level: int) -> int:
+    return sum(b * r for b, r in (LEVELS[min(k, len(LEVELS) - 1)] for k in range(level)))
+
+
+def least_agreement(level: int, threshold: float) -> int:
+    """Samples in which two texts at the threshold agree, but for one pair in ten thousand."""
+    n = LEVELS[min(level, len(LEVELS) - 1)]
+    n = n[0] * n[1]
+    return max(1, int(threshold * n - DOUBT * (threshold * (1 - threshold) * n) ** 0.5))
 
 
 def signer(factor, level: int):
-    """An Arrow function from texts to (set_key, set_check, bands) with the samples of a level."""
+    """An Arrow function from texts to their set's key, band hashes, and a byte of each sample."""
+    bands, rows = LEVELS[min(level, len(LEVELS) - 1)]
+    before = samples_before(level)
 
     def run(column: pa.Array) -> pa.Array:
         tables = _tables()
         data, offsets = texts(column)
         n = len(column)
-        keys, checks, bands = np.zeros(n, np.int64), np.zeros(n, np.int64), [None] * n
-        numbers = range(level * BANDS * ROWS, (level + 1) * BANDS * ROWS)
+        keys, checks = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        buckets, codes = [[]] * n, [[]] * n
         for first, last, own, weights, at in weighted(column, factor.value):
             some = np.flatnonzero(np.diff(at))
             if len(some):
@@ -133,20 +152,21 @@ def signer(factor, level: int):
                 tagged = mixed(own + (weights.view(np.uint32).astype(np.uint64) << np.uint64(7)))
                 keys[first + some] = signed(mixed(np.add.reduceat(tagged, starts)))
                 checks[first + some] = signed(mixed(np.add.reduceat(mixed(tagged ^ _ODD), starts)))
-                codes = samples(own, weights, np.append(starts, at[-1]), numbers, tables).reshape(len(some), BANDS, ROWS)
-                rows = np.zeros((len(some), BANDS), np.uint64) + np.arange(BANDS, dtype=np.uint64) + np.uint64(1 + level * BANDS)
-                for k in range(ROWS):
-                    rows = mixed(rows * _ODD + codes[:, :, k])
-                for i, row in zip(some, signed(rows), strict=True):
-                    bands[first + i] = row
+                drawn = samples(own, weights, np.append(starts, at[-1]), range(before, before + bands * rows), tables)
+                key = np.zeros((len(some), bands), np.uint64) + np.arange(before, before + bands, dtype=np.uint64) + np.uint64(1)
+                for k in range(rows):
+                    key = mixed(key * _ODD + drawn[:, k::rows])
+                short = (drawn >> np.uint64(56)).astype(np.uint8).view(np.int8)
+                for i, j in enumerate(some):
+                    buckets[first + j], codes[first + j] = signed(key[i]), short[i]
             for i in set(range(last - first)) - set(some.tolist()):
-                i += first      # no words: equal only to the same bytes
-                text = data[offsets[i] : offsets[i + 1]].tobytes()
-                keys[i], checks[i] = hash_bytes(text, 1), hash_bytes(text, 2)
-                bands[i] = []
-        return pa.StructArray.from_arrays([pa.array(keys), pa.array(checks), pa.array(bands, pa.list_(pa.int64()))], fields=list(_SIGNATURE))
+                text = data[offsets[first + i] : offsets[first + i + 1]].tobytes()     # no words: equal only to the same bytes
+                keys[first + i], checks[first + i] = hash_bytes(text, 1), hash_bytes(text, 2)
+        return pa.StructArray.from_arrays(
+            [pa.array(keys), pa.array(checks), pa.array(buckets, pa.list_(pa.int64())), pa.array(codes, pa.list_(pa.int8()))], fields=list(_SIGNATURE)
+        )
 
-    return F.arrow_udf(run, "set_key long, set_check long, bands array<long>")
+    return F.arrow_udf(run, "set_key long, set_check long, bands array<long>, codes array<tinyint>")
 
 
 def hash_bytes(text: bytes, seed: int) -> int:
@@ -181,6 +201,34 @@ def _one(text, factor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return own, weights
 
 
+def _shared(rows: DataFrame) -> DataFrame:
+    """Rows of buckets with two members or more."""
+    several = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    return rows.join(stored(several, "several"), "bucket", "left_semi")
+
+
+def _round(met: DataFrame, pool: DataFrame, factor, threshold: float, agreement: int) -> tuple[DataFrame, DataFrame]:
+    """Verified pairs of members and centres, and the members left in buckets of two or more."""
+    member = F.struct("id", "codes")
+    centres = stored(
+        met.groupBy("bucket").agg(*[F.min_by(member, F.xxhash64("id", "bucket", F.lit(j))).alias(f"c{j}") for j in range(CENTRES)]), "centres"
+    )
+
+    def agrees(j: int):
+        same = F.zip_with("codes", f"c{j}.codes", lambda a, b: a == b)
+        return F.struct(F.size(F.filter(same, lambda x: x)).alias("n"), F.col(f"c{j}.id").alias("centre"))
+
+    is_centre = F.array_contains(F.array(*[F.col(f"c{j}.id") for j in range(CENTRES)]), F.col("id"))
+    # centres take part as well: each with the others
+    options = F.filter(F.array(*[agrees(j) for j in range(CENTRES)]), lambda o: o["centre"] != F.col("id"))
+    chosen = met.join(centres, "bucket").select("bucket", "id", "codes", is_centre.alias("is_centre"), F.array_max(options).alias("best"))
+    rows = stored(chosen.select("bucket", "id", "codes", "is_centre", F.col("best.centre").alias("centre"), (F.coalesce("best.n", F.lit(0)) >= agreement).alias("likely")), "chosen")
+    pairs = stored(rows.where("likely").select("id", "centre").distinct(), "pairs")
+    good = stored(verified(pairs, pool, factor, threshold).select("id", "centre"), "verified")
+    left = rows.where("not is_centre").join(good, ["id", "centre"], "left_anti").select("bucket", "id", "codes")
+    return good, stored(_shared(stored(left, "left")), "met")
+
+
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of docs: ``row`` (all its columns), rid, doc_id, class_id, class_size, kept."""
     spark = docs.sparkSession
@@ -192,36 +240,28 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         F.coalesce(docs["text"], F.lit("")).alias("text"),
     )
     marked = stored(base.withColumn("sig", signer(factor, 0)("text")).select("row", "rid", "doc_id", "sig.*"), "signatures")
-    sets = stored(
-        marked.groupBy("set_key", "set_check").agg(F.min("rid").alias("id")), "sets"
-    )
+    sets = stored(marked.groupBy("set_key", "set_check").agg(F.min("rid").alias("id")), "sets")
     vertices = marked.select("rid", "bands").join(sets.select("id"), F.col("rid") == F.col("id"), "left_semi")
     buckets = stored(vertices.select(F.col("rid").alias("id"), F.explode("bands").alias("bucket")), "buckets")
-
-    def shared(rows: DataFrame) -> DataFrame:
-        """Rows of buckets with two members or more, and each bucket's centre."""
-        centres = rows.groupBy("bucket").agg(F.min_by("id", F.xxhash64("id", "bucket")).alias("centre"), F.count("*").alias("n")).where("n > 1")
-        return rows.join(stored(centres.select("bucket", "centre"), "centres"), "bucket")
-
-    met = stored(shared(buckets), "met")
+    met = stored(_shared(buckets), "met")
+    met_ids = stored(met.select("id").distinct(), "candidates")
     pool = stored(
-        marked.select("rid", F.coalesce("row.text", F.lit("")).alias("text")).join(stored(met.select("id").distinct(), "candidates"), F.col("rid") == F.col("id"), "left_semi"),
-        "pool",
+        marked.select("rid", F.coalesce("row.text", F.lit("")).alias("text"), "codes").join(met_ids, F.col("rid") == F.col("id"), "left_semi"), "pool"
     )
-    found, level, turn = None, 0, 0
+    met = stored(met.join(pool.select(F.col("rid").alias("id"), "codes"), "id"), "met")
+    found, level = None, 0
     while not met.isEmpty():
-        pairs = stored(met.where("id <> centre").select("id", "centre").distinct(), "pairs")
-        good = stored(verified(pairs, pool, factor, threshold), "verified")
-        found = good if found is None else found.unionByName(good)
-        tried = met.where("id <> centre")
-        open_rows = tried.join(good, (tried["id"] == good["id"]) & (tried["centre"] == good["centre"]), "left_anti").select("id", "bucket")
-        turn += 1
-        if turn % ROUNDS == 0:
+        for _ in range(ROUNDS):
+            good, met = _round(met, pool, factor, threshold, least_agreement(level, threshold))
+            found = good if found is None else found.unionByName(good)
+            if met.isEmpty():
+                break
+        if not met.isEmpty():
             level += 1
-            rest = pool.join(stored(open_rows.select("id").distinct(), "rest"), F.col("rid") == F.col("id"), "left_semi")
-            finer = rest.withColumn("sig", signer(factor, level)("text")).select("rid", F.explode("sig.bands").alias("finer"))
-            open_rows = stored(open_rows, "open").join(finer, F.col("id") == F.col("rid")).select("id", F.xxhash64("bucket", "finer").alias("bucket"))
-        met = stored(shared(stored(open_rows, "open")), "met")
+            rest = pool.select("rid", "text").join(stored(met.select("id").distinct(), "rest"), F.col("rid") == F.col("id"), "left_semi")
+            finer = stored(rest.withColumn("sig", signer(factor, level)("text")).select(F.col("rid").alias("id"), "sig.bands", "sig.codes"), "finer")
+            shared = stored(_shared(finer.select("id", F.explode("bands").alias("bucket"))), "met")
+            met = stored(shared.join(finer.select("id", "codes"), "id"), "met")
     if found is None:
         roots = sets.select("id", F.col("id").alias("root")).limit(0)
     else:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import csv
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,47 +79,87 @@ def table_stream(
     )
 
 
-def _text_of(row: Column, name: str) -> Column:
-    return F.try_variant_get(row, f"$['{name}']", "string")
+def header_groups(spark: SparkSession, source: str | Sequence[str], glob: str | None = None) -> dict[str, list[str]]:
+    """The files under ``source`` by their header line. One distributed job over the first lines.
+
+    Only headers and paths reach the driver, which lists the files for any read.
+    """
+    paths = [source] if isinstance(source, str) else list(source)
+    options = {**_options("text", glob), "recursiveFileLookup": "true"}
+    lines = spark.read.options(**options).text(paths).select(
+        "value",
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+    first = lines.filter((F.col("start") == 0) & (F.length(F.trim("value")) > 0)).groupBy("path").agg(
+        F.min_by("value", "line").alias("header")
+    )
+    groups: dict[str, list[str]] = {}
+    for r in first.orderBy("path").collect():
+        groups.setdefault(r["header"].lstrip("\ufeff").rstrip("\r"), []).append(unquote(r["path"]))
+    return groups
+
+
+def _distinct(names: Sequence[str]) -> list[str]:
+    """Header names, told apart by a number where they repeat."""
+    seen: dict[str, int] = {}
+    out = []
+    for name in names:
+        seen[name] = seen.get(name, 0) + 1
+        out.append(name if seen[name] == 1 else f"{name}_{seen[name]}")
+    return out
+
+
+def _by_header(spark: SparkSession, header: str, files: Sequence[str], aliases: Mapping[str, Sequence[str]]) -> DataFrame:
+    names = _distinct(next(csv.reader([header])))
+    cols = [f"_c{i}" for i in range(len(names))]
+    schema = T.StructType([*(T.StructField(n, T.StringType()) for n in cols), T.StructField("_line", T.StringType())])
+    options = {
+        "header": "true",
+        "enforceSchema": "true",
+        "columnPruning": "false",
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": "_line",
+    }
+    # brackets and braces in a path would be read as a glob
+    escaped = [re.sub(r"([\[\]{}*?\\])", r"\\\1", f) for f in files]
+    rows = with_lineage(spark.read.schema(schema).options(**options).csv(escaped))
+    place = dict(zip(names, cols, strict=True))
+    known = {n for alias in aliases.values() for n in alias}
+    wanted = [
+        F.coalesce(*[F.col(place[n]) for n in alias if n in place], F.lit(None).cast("string")).alias(target)
+        for target, alias in aliases.items()
+    ]
+    extra = [F.struct(F.lit(n).alias("key"), F.col(place[n]).alias("value")) for n in names if n not in known]
+    # a line of more or fewer fields than its header is kept whole
+    extra.append(F.struct(F.lit("_line").alias("key"), F.col("_line").alias("value")))
+    kept = F.map_from_entries(F.filter(F.array(*extra), lambda e: e["value"].isNotNull()))
+    return rows.select(*wanted, F.when(F.size(kept) > 0, F.to_json(kept)).alias(RESCUED), "_source_file", "_loaded_at")
 
 
 def drifting_csv(
-    spark: SparkSession,
-    root: str,
-    glob: str | None,
-    aliases: Mapping[str, Sequence[str]],
-    stream: bool = False,
-    max_files: int | None = None,
+    spark: SparkSession, source: str | Sequence[str], glob: str | None, aliases: Mapping[str, Sequence[str]]
 ) -> DataFrame:
-    """CSV files whose headers differ. Every file is read by its own header.
+    """CSV files whose headers differ. Every file is read by its own header, values as exact text.
 
     ``aliases`` maps each target column to the header names it goes by; the first present,
-    non-null one wins. Fields under any other name are kept as JSON in ``_rescued_data``.
-    Spark types numbers on the way ("007" arrives as "7", "2.50" as "2.5"); dates stay text.
-    Use ``csv_groups`` if keys carry leading zeros.
+    non-null one wins. Fields under any other name are kept as JSON in ``_rescued_data``, and
+    so are lines that don't fit their header. Files of one header make up one read. ``source``
+    is a folder or a list of files; with no file at all the result has no rows.
     """
-    never = "'no such text'"     # by default " 2000 " may read as the year 2000: take no dates
-    options = {
-        **_options("csv", glob),
-        "enforceSchema": "true",
-        "singleVariantColumn": "_row",
-        "dateFormat": never,
-        "timestampFormat": never,
-        "timestampNTZFormat": never,
-    }
-    reader = (spark.readStream if stream else spark.read).format("csv").options(**options)
-    reader = reader.option("maxFilesPerTrigger", str(max_files)) if stream and max_files else reader
-    rows = with_lineage(reader.load(root))
-    row = F.col("_row")
-    known = [n for names in aliases.values() for n in names]
-    fields = F.try_variant_get(row, "$", "map<string,variant>")
-    extra = F.map_filter(fields, lambda k, v: ~k.isin(known) & ~F.is_variant_null(v))
-    return rows.select(
-        *[F.coalesce(*[_text_of(row, n) for n in names]).alias(target) for target, names in aliases.items()],
-        F.when(F.size(extra) > 0, F.to_json(extra)).alias(RESCUED),
-        "_source_file",
-        "_loaded_at",
-    )
+    parts = [_by_header(spark, header, files, aliases) for header, files in header_groups(spark, source, glob).items()]
+    if not parts:
+        columns = ", ".join(f"`{n}` string" for n in (*aliases, RESCUED, "_source_file"))
+        return spark.createDataFrame([], f"{columns}, _loaded_at timestamp")
+    return reduce(DataFrame.unionByName, parts)
+
+
+def new_files(spark: SparkSession, root: str, glob: str | None, max_files: int) -> DataFrame:
+    """Paths of files as they appear under ``root``, as a stream; their contents aren't read."""
+    options = {**_options("binaryFile", glob), "maxFilesPerTrigger": str(max_files)}
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    return spark.readStream.format("binaryFile").schema(schema).options(**options).load(root).select("path")
 
 
 def csv_groups(spark: SparkSession, root: str, globs: Sequence[str], stream: bool = False) -> DataFrame:
@@ -136,7 +179,12 @@ def csv_groups(spark: SparkSession, root: str, globs: Sequence[str], stream: boo
 
 
 def json_rescue(
-    spark: SparkSession, root: str, glob: str | None, schema: T.StructType | str, stream: bool = False
+    spark: SparkSession,
+    root: str,
+    glob: str | None,
+    schema: T.StructType | str,
+    stream: bool = False,
+    max_files: int | None = None,
 ) -> DataFrame:
     """JSON lines against a fixed schema. Unknown or misfitting fields go to ``_rescued_data``.
 
@@ -145,6 +193,8 @@ def json_rescue(
     """
     wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     reader = (spark.readStream if stream else spark.read).format("text").options(**_options("text", glob))
+    if stream and max_files:
+        reader = reader.option("maxFilesPerTrigger", str(max_files))
     lines = with_lineage(reader.load(root)).filter(F.length(F.trim("value")) > 0)
     parsed = lines.withColumn("_row", F.try_parse_json("value"))
     row = F.col("_row")

@@ -1,5 +1,7 @@
 """Streaming flows. Batch operators run inside ``foreachBatch``; each micro-batch owns one
-output folder (``batch_id=N``), which a retry overwrites, so every row lands exactly once."""
+output folder (``batch_id=N``). The folder appears under that name once it is complete and is
+never written again, so a retry leaves it alone and flows that follow the table see each row
+exactly once."""
 
 from __future__ import annotations
 
@@ -27,12 +29,29 @@ def _start(stream: DataFrame, checkpoint: str, write, wait: bool) -> StreamingQu
     return query
 
 
+def write_once(rows: DataFrame, path: str, batch_id: int) -> None:
+    """Rows of one micro-batch as the folder ``batch_id=N``, unless it is there already.
+
+    They are written beside it under a hidden name, which no reader takes, and renamed when
+    complete. A micro-batch holds the same input whenever it is run again.
+    """
+    jvm = rows.sparkSession.sparkContext._jvm
+    as_path = jvm.org.apache.hadoop.fs.Path
+    target, draft = as_path(f"{path}/batch_id={batch_id}"), f"{path}/_draft-{batch_id}"
+    store = target.getFileSystem(rows.sparkSession.sparkContext._jsc.hadoopConfiguration())
+    if store.exists(target):
+        return
+    rows.write.mode("overwrite").parquet(draft)
+    if not store.rename(as_path(draft), target):
+        raise OSError(f"could not rename {draft}")
+
+
 def run_step(stream: DataFrame, step: Step, checkpoint: str, wait: bool = True) -> StreamingQuery:
     """Run ``step`` on every micro-batch; it returns {path: rows to write there}."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         for path, rows in step(batch, batch_id).items():
-            rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            write_once(rows, path, batch_id)
 
     return _start(stream, checkpoint, write, wait)
 
@@ -81,8 +100,8 @@ def split_flow(
         try:
             good = finish(rules.keep_valid(rows, row_rules), batch_id)
             bad = quarantine.issue_log(rows, row_rules, spec)
-            good.write.mode("overwrite").parquet(f"{good_path}/batch_id={batch_id}")
-            bad.write.mode("overwrite").parquet(f"{issues_path}/batch_id={batch_id}")
+            write_once(good, good_path, batch_id)
+            write_once(bad, issues_path, batch_id)
         finally:
             rows.unpersist()
 

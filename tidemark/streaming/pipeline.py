@@ -7,6 +7,8 @@ folder under ``root``; each flow has its own checkpoint there.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -54,19 +56,27 @@ def _checkpoint(root: str, flow: str) -> str:
 
 
 def bronze_entity(
-    spark: SparkSession, raw: str, root: str, name: str, glob: str, max_files: int | None = None, wait: bool = True
+    spark: SparkSession, raw: str, root: str, name: str, glob: str, max_files: int, wait: bool = True
 ) -> StreamingQuery:
-    """New files of one entity to its table: values as text, with lineage."""
+    """New files of one entity to its table: values as exact text, with lineage.
+
+    Fields that the entity doesn't have, and lines that can't be read, go to ``_rescued_data``.
+    """
+    path, checkpoint = f"{root}/bronze/{name}", _checkpoint(root, f"bronze-{name}")
     if name == "claims":
         schema = ", ".join(f"`{f}` string" for f in FIELDS[name])
-        stream = ingest.file_stream(spark, raw, "json", glob, schema, max_files)
-    else:       # fields are found by each file's own header
-        fields = CUSTOMER_FIELDS if name == "customers" else {f: (f,) for f in FIELDS[name]}
-        stream = ingest.drifting_csv(spark, raw, glob, fields, True, max_files)
-    return flows.run_flow(stream, f"{root}/bronze/{name}", _checkpoint(root, f"bronze-{name}"), wait=wait)
+        return flows.run_flow(ingest.json_rescue(spark, raw, glob, schema, True, max_files), path, checkpoint, wait=wait)
+    # fields are found by each file's own header
+    fields = CUSTOMER_FIELDS if name == "customers" else {f: (f,) for f in FIELDS[name]}
+
+    def step(files: DataFrame, _: int) -> dict[str, DataFrame]:
+        paths = [r["path"] for r in files.collect()]        # max_files at most
+        return {path: ingest.drifting_csv(spark, [unquote(p) for p in paths], None, fields)}
+
+    return flows.run_step(ingest.new_files(spark, raw, glob, max_files), step, checkpoint, wait)
 
 
-def bronze(spark: SparkSession, raw: str, root: str, max_files: int | None = None) -> None:
+def bronze(spark: SparkSession, raw: str, root: str, max_files: int) -> None:
     """All entities at once, told apart by file name."""
     running = [
         bronze_entity(spark, raw, root, name, glob, max_files, wait=False)
@@ -76,7 +86,7 @@ def bronze(spark: SparkSession, raw: str, root: str, max_files: int | None = Non
         query.awaitTermination()
 
 
-def _silver_entity(spark: SparkSession, root: str, name: str, max_files: int | None) -> None:
+def _silver_entity(spark: SparkSession, root: str, name: str, max_files: int) -> None:
     clean, row_rules, spec = CLEAN[name]
     path, key = f"{root}/silver/{name}", UNIQUE[name]
 
@@ -92,7 +102,7 @@ def _silver_entity(spark: SparkSession, root: str, name: str, max_files: int | N
     )
 
 
-def to_silver(spark: SparkSession, root: str, max_files: int | None = None) -> None:
+def to_silver(spark: SparkSession, root: str, max_files: int) -> None:
     """Clean, check, deduplicate; bad rows of all entities go to one issue log."""
     for name in CLEAN:      # policy first: claims read it
         _silver_entity(spark, root, name, max_files)
@@ -117,7 +127,7 @@ def customers(spark: SparkSession, root: str) -> DataFrame:
 
 
 def to_gold(
-    spark: SparkSession, root: str, as_of: Column | None = None, max_files: int | None = None
+    spark: SparkSession, root: str, max_files: int, as_of: Column | None = None
 ) -> None:
     """Facts and dimensions follow silver as streams. The customer dimension is rebuilt: its
     source is updated in place, which an append-only stream cannot follow."""
@@ -152,9 +162,10 @@ def to_marts(spark: SparkSession, root: str) -> None:
 
 
 def run(
-    spark: SparkSession, raw: str, root: str, as_of: Column | None = None, max_files: int | None = None
+    spark: SparkSession, raw: str, root: str, max_files: int, as_of: Column | None = None
 ) -> None:
+    """``max_files`` bounds every micro-batch, the first run over a backlog included."""
     bronze(spark, raw, root, max_files)
     to_silver(spark, root, max_files)
-    to_gold(spark, root, as_of, max_files)
+    to_gold(spark, root, max_files, as_of)
     to_marts(spark, root)

@@ -851,6 +851,9 @@ def stream_ingest(spark, d):
     )
 
 
+MAX_FILES = 1000      # per micro-batch
+
+
 def _write_raw(spark, d) -> str:
     """The raw inputs as the files they stand for: CSV with headers, claims as JSON lines."""
     root = shared_dir(spark, "raw")
@@ -870,8 +873,8 @@ def pipeline_stream(spark, d):
     source, root = _write_raw(spark, d), shared_dir(spark, "pipeline")
     # each entity has its own folder here, so the file names carry no entity
     for name in (*pipeline.FIELDS, "customers"):
-        pipeline.bronze_entity(spark, f"{source}/{name}", root, name, "part-*")
-    pipeline.to_silver(spark, root)
-    pipeline.to_gold(spark, root, F.lit(AS_OF).cast("date"))
+        pipeline.bronze_entity(spark, f"{source}/{name}", root, name, "part-*", MAX_FILES)
+    pipeline.to_silver(spark, root, MAX_FILES)
+    pipeline.to_gold(spark, root, MAX_FILES, F.lit(AS_OF).cast("date"))
     pipeline.to_marts(spark, root)
     return spark.read.parquet(f"{root}/gold/agg_claim_performance")
