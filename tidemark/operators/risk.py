@@ -31,8 +31,6 @@ def normalise(
 
 CLAIM_TEXTS = {
     "severity_norm": "incident_severity",
-    "incident_type_norm": "incident_type",
-    "collision_type_norm": "collision_type",
     "authorities_contacted_norm": "authorities_contacted",
     "police_report_available_norm": "police_report_available",
     "claim_rejected_norm": "Claim_Rejected",

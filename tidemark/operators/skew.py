@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,8 +26,9 @@ def hot_hashes(df: DataFrame, keys: Sequence[str]) -> list[int]:
     the route a row takes; a key missing from it, or on it without need, costs time but does
     not change a result. It is fetched once, so that every use sees the same list.
     """
+    known = reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys])    # NULL keys never join
     tops = (
-        df.select(_hash(keys).alias("_k"), F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_g"))
+        df.filter(known).select(_hash(keys).alias("_k"), F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_g"))
         .groupBy("_g")
         .agg(F.expr(f"approx_top_k(_k, {HOT_KEYS}, {TRACKED_KEYS})").alias("_top"), F.count(F.lit(1)).alias("_n"))
     )

@@ -138,9 +138,9 @@ def policy_silver(raw: DataFrame, order: str = "valid_first") -> DataFrame:
 
 def claims_silver(raw: DataFrame, policy_df: DataFrame, order: str = "valid_first") -> DataFrame:
     """Valid claims, one per ClaimID, with bind date. The rules use claim columns only, so
-    bad rows and copies go before the join. The raw table serves as the hot-key sketch."""
+    bad rows and copies go before the join. The cleaned key alone serves as the hot-key sketch."""
     good = valid_unique(claims(raw), presets.CLAIM_RULES, ["ClaimID"], order)
-    return enrich_claims(good, policy_df, sketch_of=raw)
+    return enrich_claims(good, policy_df, sketch_of=claims(raw).select("PolicyID"))
 
 
 def sales_silver(raw: DataFrame, order: str = "valid_first") -> DataFrame:

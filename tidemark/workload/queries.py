@@ -18,7 +18,7 @@ from tidemark.session import shared_dir
 from tidemark.sources import ingest, tables
 from tidemark.streaming import flows, pipeline
 from tidemark.workload import replies
-from tidemark.workload.raw import planned, raw
+from tidemark.workload.raw import forget_plans, planned, raw
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,7 +27,13 @@ AS_OF = "2001-09-01"      # day on which listings are aged
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    """Register ``fn``. Every call builds its plans anew; only within a call are they shared."""
+
+    def fresh(spark: SparkSession, folder: str) -> DataFrame:
+        forget_plans()
+        return fn(spark, folder)
+
+    QUERIES[fn.__name__] = fresh
     return fn
 
 
@@ -136,6 +142,11 @@ def _policy(spark, d):
     return silver.policy_silver(raw(spark, d, "policy"))
 
 
+def _claim_keys(spark, d):
+    """The cleaned key of all claims, to look for hot keys in."""
+    return silver.claims(raw(spark, d, "claims")).select("PolicyID")
+
+
 @planned
 def _claims(spark, d):
     return silver.claims_silver(raw(spark, d, "claims"), _policy(spark, d))
@@ -292,7 +303,7 @@ def upsert_latest(spark, d):
 
 @planned
 def _facts(spark, d):
-    return star.fact_claims(_claims(spark, d), _policy(spark, d), sketch_of=raw(spark, d, "claims"))
+    return star.fact_claims(_claims(spark, d), _policy(spark, d), sketch_of=_claim_keys(spark, d))
 
 
 @planned
@@ -456,7 +467,7 @@ def summary_table(spark, d):
 
 @planned
 def _scored(spark, d):
-    return risk.scored(_claims(spark, d), sketch_of=raw(spark, d, "claims"))
+    return risk.scored(_claims(spark, d), sketch_of=_claim_keys(spark, d))
 
 
 @query

@@ -152,8 +152,12 @@ BASE_TABLES = ("orders", "lineitem", "part", "customer", "nation", "region")
 _PLANS: dict[tuple, DataFrame] = {}
 
 
+def forget_plans() -> None:
+    _PLANS.clear()
+
+
 def planned(build):
-    """Build a frame once per session and folder; only the plan is kept, never rows."""
+    """Build a frame once within a registered query; only the plan is kept, never rows."""
 
     def get(spark: SparkSession, folder: str, *args) -> DataFrame:
         key = (build.__name__, spark.sparkContext.applicationId, id(spark), folder, *args)
