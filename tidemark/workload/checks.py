@@ -699,6 +699,24 @@ CHECKS: dict[str, str] = {
     "CASE WHEN event_type NOT IN ('signup', 'error') THEN value END AS value, "
     "CASE event_type WHEN 'error' THEN '{\"event_type\":\"error\",\"value\":\"n/a\"}' "
     "WHEN 'signup' THEN 'not json ' || event_id ELSE '{\"event_type\":\"' || event_type || '\"}' END AS rescued FROM events",
+    "issue_record": "SELECT 'events' AS table_name, CASE event_type WHEN 'error' THEN 'event_type' ELSE 'value' END AS column_name, "
+    "CASE event_type WHEN 'error' THEN '3' ELSE '2' END AS severity, "
+    "'{\"event_id\":' || event_id || ',\"user_id\":' || user_id || ',\"event_type\":\"' || event_type || '\",\"value\":null}' "
+    "AS affected_record FROM events WHERE NOT value >= 5",
+    "observed_counts": "SELECT 'rows_seen' AS measure, count(*) AS n FROM lineitem UNION ALL "
+    "SELECT 'big', count(*) FILTER (l_quantity < 25) FROM lineitem UNION ALL "
+    "SELECT 'taxed', count(*) FILTER (l_tax <= 0) FROM lineitem",
+    "temp_view": "SELECT user_id, count(*) AS clicks FROM events WHERE event_type = 'click' GROUP BY user_id",
+    "infer_all_statuses": "SELECT conv_id, turn, CASE length(text) % 4 WHEN 3 THEN CAST(length(text) AS VARCHAR) END AS reply_text, "
+    "CASE length(text) % 4 WHEN 0 THEN 'FAILED' WHEN 1 THEN 'EMPTY' WHEN 2 THEN 'PARSE_ERROR' ELSE 'SUCCESS' END AS generation_status, "
+    "CASE length(text) % 4 WHEN 0 THEN 'not allowed' WHEN 2 THEN 'reply is not valid JSON' END AS error_message FROM conversations",
+    "infer_retry": "SELECT conv_id, turn, 'ok ' || conv_id || ' ' || turn || ' ' || role AS reply_text, "
+    "'SUCCESS' AS generation_status, CAST(NULL AS VARCHAR) AS error_message FROM conversations",
+    "bronze_text_keys": "SELECT lpad(CAST(l_orderkey AS VARCHAR), 12, '0') || '-' || l_linenumber AS ClaimID, "
+    "lpad(CAST(l_orderkey AS VARCHAR), 12, '0') AS PolicyID, '2020-01-01' AS bound FROM lineitem",
+    "bronze_claims_rescue": "SELECT CASE WHEN event_type <> 'error' THEN CAST(event_id AS VARCHAR) END AS ClaimID, "
+    "CASE WHEN event_type <> 'error' THEN CAST(user_id AS VARCHAR) END AS PolicyID, "
+    "CASE event_type WHEN 'error' THEN 'broken ' || event_id WHEN 'click' THEN '{\"surprise\":\"x\"}' END AS rescued FROM events",
     "stream_rules": f"SELECT event_id, CASE WHEN {_EVENT_OK} THEN 'kept' WHEN event_type = 'error' THEN 'event_type' "
     "ELSE 'value' END AS went_to FROM events",
     "stream_dedup": "SELECT user_id, event_type, event_id FROM events QUALIFY row_number() OVER ("

@@ -243,6 +243,7 @@ def _log(spark, d, name):
 
 def _issues(name: str) -> Query:
     def run(spark, d):
+        forget_plans()
         key = ENTITIES[name][3]
         return _log(spark, d, name).select(
             "table_name",
@@ -270,6 +271,31 @@ def dq_explain(spark, d):
     return report.drop("issue_id", "detected_at", "generated_at", "affected_records")
 
 
+@query
+def issue_record(spark, d):
+    """The record of each bad row as JSON, NULL fields included."""
+    events = tables.read_table(spark, d, "events").select(
+        "event_id", "user_id", "event_type", F.when(F.col("value") >= 5, F.floor("value")).alias("value")
+    )
+    log = quarantine.issue_log(events, {"value_known": "value IS NOT NULL"}, EVENT_ISSUES)
+    return log.select("table_name", "column_name", "severity", "affected_record")
+
+
+@query
+def observed_counts(spark, d):
+    """Warn-only rules: all rows flow on, counts arrive with the write."""
+    lines = tables.read_table(spark, d, "lineitem")
+    watched, seen = rules.observe(lines, {"big": "l_quantity >= 25", "taxed": "l_tax > 0"}, "lines")
+    watched.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame(sorted(seen.get.items()), "measure string, n bigint")
+
+
+@query
+def temp_view(spark, d):
+    tables.as_view(tables.read_table(spark, d, "events").filter("event_type = 'click'"), "clicks")
+    return spark.sql("SELECT user_id, count(*) AS clicks FROM clicks GROUP BY user_id")
+
+
 # ---- dedup and upsert -----------------------------------------------------------------------
 
 
@@ -695,6 +721,20 @@ def infer_status(spark, d):
     return infer.map_text(asked, "prompt", replies.by_role).drop("prompt")
 
 
+@query
+def infer_all_statuses(spark, d):
+    talk = tables.read_table(spark, d, "conversations").select("conv_id", "turn", "text")
+    return infer.map_text(talk, "text", replies.by_length).drop("text")
+
+
+@query
+def infer_retry(spark, d):
+    """A function that is throttled on the first call for each prompt."""
+    talk = tables.read_table(spark, d, "conversations")
+    asked = talk.select("conv_id", "turn", F.concat_ws(" ", "conv_id", "turn", "role").alias("prompt"))
+    return infer.map_text(asked, "prompt", replies.OnSecondCall(), backoff=0.0).drop("prompt")
+
+
 # ---- files ----------------------------------------------------------------------------------
 
 SEGMENT_HEADERS = (
@@ -777,6 +817,46 @@ def json_rescue(spark, d):
     return rows.select("event_id", "user_id", "value", F.col(ingest.RESCUED).alias("rescued"))
 
 
+def _padded(key: str):
+    return F.lpad(F.col(key).cast("string"), 12, "0")
+
+
+@query
+def bronze_text_keys(spark, d):
+    """Keys padded with zeros, in CSV on one side and JSON on the other, meet as written."""
+    root, bronze = shared_dir(spark, "text-keys"), shared_dir(spark, "text-bronze")
+    orders, lines = (tables.read_table(spark, d, t) for t in ("orders", "lineitem"))
+    policy = orders.select(_padded("o_orderkey").alias("policy_number"), F.lit("2020-01-01").alias("policy_bind_date"))
+    policy.write.option("header", "true").csv(f"{root}/policy")
+    claim = F.concat_ws("-", _padded("l_orderkey"), "l_linenumber")
+    lines.select(claim.alias("ClaimID"), _padded("l_orderkey").alias("PolicyID")).write.json(f"{root}/claims")
+    for name in ("policy", "claims"):
+        pipeline.bronze_entity(spark, f"{root}/{name}", bronze, name, "part-*", MAX_FILES)
+    claims = silver.claims(flows.read_sink(spark, f"{bronze}/bronze/claims")).select("ClaimID", "PolicyID")
+    joined = silver.enrich_claims(
+        claims.withColumns({n: F.lit(0) for n in ("incident_date", "Claim_Logged_On", "Claim_Processed_On")}),
+        silver.policy(flows.read_sink(spark, f"{bronze}/bronze/policy")),
+    )
+    return joined.select("ClaimID", "PolicyID", F.date_format("policy_bind_date", "yyyy-MM-dd").alias("bound"))
+
+
+@query
+def bronze_claims_rescue(spark, d):
+    """Claims with a field nobody knows, and lines that are no JSON, lose nothing."""
+    root, bronze = shared_dir(spark, "rescue"), shared_dir(spark, "rescue-bronze")
+    events = tables.read_table(spark, d, "events")
+    known = {"ClaimID": F.col("event_id").cast("string"), "PolicyID": F.col("user_id").cast("string")}
+    line = (
+        F.when(F.col("event_type") == "error", F.concat(F.lit("broken "), F.col("event_id").cast("string")))
+        .when(F.col("event_type") == "click", F.to_json(F.struct(*[v.alias(k) for k, v in known.items()], F.lit("x").alias("surprise"))))
+        .otherwise(F.to_json(F.struct(*[v.alias(k) for k, v in known.items()])))
+    )
+    events.select(line.alias("value")).write.text(f"{root}/claims")
+    pipeline.bronze_entity(spark, f"{root}/claims", bronze, "claims", "part-*", MAX_FILES)
+    rows = flows.read_sink(spark, f"{bronze}/bronze/claims")
+    return rows.select("ClaimID", "PolicyID", F.col(ingest.RESCUED).alias("rescued"))
+
+
 # ---- streams --------------------------------------------------------------------------------
 
 EVENT_RULES = {**rules.one_of("event_type", ("view", "click", "purchase", "signup")), "value_floor": "value >= 5"}

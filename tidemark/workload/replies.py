@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 
+from tidemark.operators.infer import Throttled
+
 
 def count_sources(prompt: str) -> str:
     return f"Found {prompt.count('[Source ')} records"
@@ -22,3 +24,24 @@ def by_role(prompt: str) -> str:
     if role == "assistant":
         return json.dumps([{"type": "reasoning", "text": role}, {"type": "text", "text": f" {len(text)} "}])
     return f"  {len(text)} characters "
+
+
+def by_length(prompt: str) -> str:
+    """All four outcomes, by the prompt's length: error, empty, broken JSON, text."""
+    kind = len(prompt) % 4
+    if kind == 0:
+        raise ValueError("not allowed")
+    return ("", '{"broken', f" {len(prompt)} ")[kind - 1]
+
+
+class OnSecondCall:
+    """Throttled at the first call for a prompt, answers at the second."""
+
+    def __init__(self) -> None:
+        self.asked: set[str] = set()
+
+    def __call__(self, prompt: str) -> str:
+        if prompt not in self.asked:
+            self.asked.add(prompt)
+            raise Throttled("slow down")
+        return f"ok {prompt}"
