@@ -112,3 +112,13 @@ def test_claim_severity_does_not_follow_the_column(spark):
     log = quarantine.issue_log(df, presets.CLAIM_RULES, presets.CLAIM_ISSUES).collect()
     found = {(r.column_name, r.severity) for r in log}
     assert found == {("incident_date", "3"), ("Multiple/Complex", "2")}
+
+
+def test_rules_over_stored_columns_reach_the_scan(spark):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    row_rules = {"kind": "event_type IN ('view', 'click')", "floor": "value >= 5"}
+    kept = rules.keep_valid(events, row_rules, cleaned=False)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters") :]
+    assert "In(event_type" in pushed and "GreaterThanOrEqual(value" in pushed
+    assert kept.count() == rules.keep_valid(events, row_rules).count()

@@ -47,7 +47,14 @@ def _where(df: DataFrame, condition: Column) -> DataFrame:
     )
 
 
-def keep_valid(df: DataFrame, rules: Rules) -> DataFrame:
+def keep_valid(df: DataFrame, rules: Rules, cleaned: bool = True) -> DataFrame:
+    """Rows that pass every rule.
+
+    ``cleaned=False`` says that the rules read columns as they are stored: each becomes a
+    plain filter, which Spark pushes down to the scan.
+    """
+    if not cleaned:
+        return reduce(lambda kept, rule: kept.filter(F.expr(rule)), rules.values(), df)
     return _where(df, passes(rules))
 
 

@@ -484,6 +484,7 @@ CHECKS: dict[str, str] = {
         f"SELECT * REPLACE ({_ts('_loaded_at')} AS _loaded_at) FROM customers_enforced", "customers_enforced"
     ),
     "rules_valid": _sql(f"SELECT {_rule_view} FROM claims WHERE {OK['claims']}", "claims"),
+    "rules_valid_stored": f"SELECT event_id, event_type FROM events WHERE {_EVENT_OK}",
     "rules_quarantine": _sql(f"SELECT {_rule_view} FROM claims WHERE NOT {OK['claims']}", "claims"),
     "rules_quarantine_literal": _sql(
         "SELECT CustomerID, Region, Balance, Marital, Education, _source_file FROM customers WHERE CustomerID IS NULL "
