@@ -39,8 +39,8 @@ from tidemark.llm.components import components
 
 K, THRESHOLD = 5, 0.8
 #: Bands and samples in a band, level by level; the last one repeats with other samples.
-LEVELS = ((13, 3), (25, 8), (80, 14), (200, 20))
-CENTRES, ROUNDS = 4, 3
+LEVELS = ((13, 3), (25, 8), (48, 11), (120, 16))
+CENTRES, ROUNDS = 4, 8
 #: Standard deviations below the expected agreement at which the threshold is ruled out.
 DOUBT = 3.7
 SKETCH = 1 << 17
@@ -207,12 +207,19 @@ def _shared(rows: DataFrame) -> DataFrame:
     return rows.join(stored(several, "several"), "bucket", "left_semi")
 
 
-def _round(met: DataFrame, pool: DataFrame, factor, threshold: float, agreement: int) -> tuple[DataFrame, DataFrame]:
-    """Verified pairs of members and centres, and the members left in buckets of two or more."""
+def _tasks(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _centres(met: DataFrame) -> DataFrame:
+    """The centres of each bucket of two members or more."""
     member = F.struct("id", "codes")
-    centres = stored(
-        met.groupBy("bucket").agg(*[F.min_by(member, F.xxhash64("id", "bucket", F.lit(j))).alias(f"c{j}") for j in range(CENTRES)]), "centres"
-    )
+    first = [F.min_by(member, F.xxhash64("id", "bucket", F.lit(j))).alias(f"c{j}") for j in range(CENTRES)]
+    return stored(met.groupBy("bucket").agg(F.count("*").alias("n"), *first).where("n > 1").drop("n"), "centres")
+
+
+def _round(met: DataFrame, centres: DataFrame, pool: DataFrame, factor, threshold: float, agreement: int) -> tuple[DataFrame, DataFrame]:
+    """Verified pairs of members and centres, and the members that no centre takes."""
 
     def agrees(j: int):
         same = F.zip_with("codes", f"c{j}.codes", lambda a, b: a == b)
@@ -223,10 +230,10 @@ def _round(met: DataFrame, pool: DataFrame, factor, threshold: float, agreement:
     options = F.filter(F.array(*[agrees(j) for j in range(CENTRES)]), lambda o: o["centre"] != F.col("id"))
     chosen = met.join(centres, "bucket").select("bucket", "id", "codes", is_centre.alias("is_centre"), F.array_max(options).alias("best"))
     rows = stored(chosen.select("bucket", "id", "codes", "is_centre", F.col("best.centre").alias("centre"), (F.coalesce("best.n", F.lit(0)) >= agreement).alias("likely")), "chosen")
-    pairs = stored(rows.where("likely").select("id", "centre").distinct(), "pairs")
+    pairs = rows.where("likely").select("id", "centre").distinct()
     good = stored(verified(pairs, pool, factor, threshold).select("id", "centre"), "verified")
     left = rows.where("not is_centre").join(good, ["id", "centre"], "left_anti").select("bucket", "id", "codes")
-    return good, stored(_shared(stored(left, "left")), "met")
+    return good, stored(left, "left")
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -249,19 +256,22 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         marked.select("rid", F.coalesce("row.text", F.lit("")).alias("text"), "codes").join(met_ids, F.col("rid") == F.col("id"), "left_semi"), "pool"
     )
     met = stored(met.join(pool.select(F.col("rid").alias("id"), "codes"), "id"), "met")
-    found, level = None, 0
-    while not met.isEmpty():
-        for _ in range(ROUNDS):
-            good, met = _round(met, pool, factor, threshold, least_agreement(level, threshold))
-            found = good if found is None else found.unionByName(good)
-            if met.isEmpty():
-                break
-        if not met.isEmpty():
-            level += 1
-            rest = pool.select("rid", "text").join(stored(met.select("id").distinct(), "rest"), F.col("rid") == F.col("id"), "left_semi")
-            finer = stored(rest.withColumn("sig", signer(factor, level)("text")).select(F.col("rid").alias("id"), "sig.bands", "sig.codes"), "finer")
-            shared = stored(_shared(finer.select("id", F.explode("bands").alias("bucket"))), "met")
-            met = stored(shared.join(finer.select("id", "codes"), "id"), "met")
+    found, level, turn = None, 0, 0
+    while True:
+        centres = _centres(met)
+        if centres.isEmpty():
+            break
+        if turn == ROUNDS:
+            level, turn = level + 1, 0
+            ids = stored(met.join(centres, "bucket", "left_semi").select("id").distinct(), "rest")
+            rest = pool.select("rid", "text").join(ids, F.col("rid") == F.col("id"), "left_semi")
+            # few rows, much work for each: deal them out to all tasks
+            finer = rest.repartition(_tasks(spark), "rid").withColumn("sig", signer(factor, level)("text")).select(F.col("rid").alias("id"), "sig.bands", "sig.codes")
+            met = stored(finer.select("id", F.explode("bands").alias("bucket"), "codes"), "met")
+            continue
+        good, met = _round(met, centres, pool, factor, threshold, least_agreement(level, threshold))
+        found = good if found is None else found.unionByName(good)
+        turn += 1
     if found is None:
         roots = sets.select("id", F.col("id").alias("root")).limit(0)
     else:
