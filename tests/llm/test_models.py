@@ -260,6 +260,24 @@ def test_style_tree(spark):
     assert html_extract.main_texts(pages.limit(0)).count() == 0
 
 
+def test_style_tree_and_articles(spark):
+    """The tree decides beside and inside article elements as well."""
+    rng = random.Random(21)
+    rows = []
+    for i in range(20):
+        # a teaser is the only article; then an article with a notice that all pages share; then one with a line of the host below
+        rows.append((i, "https://teaser.example/", f"<body><article class=card>Read {prose(rng, 9)}</article><div class=body><p>body{i} {prose(rng, 60)}</p></div><div class=end>All pages end so</div></body>"))
+        rows.append((100 + i, "https://inside.example/", f"<body><article><p>text{i} {prose(rng, 40)} <b>Acme</b> end</p><div class=x>Read our terms</div></article><div class=y>About us</div></body>"))
+        rows.append((200 + i, "https://beside.example/", f"<body><article><p>first{i} {prose(rng, 40)}</p></article><section><p>second{i} {prose(rng, 30)}</p></section><div class=y>About us</div></body>"))
+    rows.append((300, "https://alone.example/", f"<body><article>Read more</article><div><p>lonely {prose(rng, 40)}</p></div></body>"))
+    got = {r["page_id"]: r["text"] for r in html_extract.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(20):
+        assert f"body{i} " in got[i] and "All pages" not in got[i]
+        assert got[100 + i].startswith(f"text{i} ") and got[100 + i].endswith("Acme end") and "terms" not in got[100 + i]
+        assert f"first{i} " in got[200 + i] and f"second{i} " in got[200 + i] and "About" not in got[200 + i]
+    assert "lonely" in got[300]
+
+
 # --- personal data ---
 
 

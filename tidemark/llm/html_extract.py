@@ -10,9 +10,12 @@ pages, whose importance is below ``LOW``, is removed from each page with its bra
 a node below it is important. Pages with the same HTML count once, so that copies of an
 article don't make it look like a menu.
 
+The article or main element is a prior. Inside it, blocks go only below ``LOW_MAIN``. Outside
+it, what the tree knows nothing of goes, if the element holds ``PRIOR`` of the text; branches
+with a node whose content reaches ``HIGH`` stay.
+
 What a page declares itself is believed as well: menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles and reader comments by element, role, class or id are not
-main text; and what lies in the article or main element is never removed by importance.
+adverts, forms, scripts, styles and reader comments by element or role are not main text.
 
 Blocks are the runs of text between block elements; a line break is a space.
 
@@ -37,7 +40,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored
 
-MIN_PAGES, SHARE, LOW = 5, 0.1, 0.3
+MIN_PAGES, SHARE, LOW, LOW_MAIN, HIGH = 5, 0.1, 0.3, 0.1, 0.7
+#: Share of the page's text that the article or main elements hold, if they are to decide.
+PRIOR = 0.25
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S
@@ -74,6 +79,8 @@ class Node:
     words: list[str] = field(default_factory=list)
     layout: list[str] = field(default_factory=list)
     block: int = 0
+    up: Node | None = None
+    rich: bool = False              # this node or one below it is important
 
 
 def _path(parent: int, step: str) -> int:
@@ -161,7 +168,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, int, str]]]:
         key = (parent.path, style)
         if key not in known:
             known[key] = _path(*key)
-        node = Node(tag, known[key], parent.keep and _declared(tag, attrs, parent), parent.main or tag in _MAIN or attrs.get("role") == "main")
+        node = Node(tag, known[key], parent.keep and _declared(tag, attrs, parent), parent.main or tag in _MAIN or attrs.get("role") == "main", up=parent)
         parent.layout.append(style)
         nodes.append(node)
         if tag in _BLOCK:
@@ -190,14 +197,40 @@ def blocks(pieces: list[tuple[Node, int, str]]) -> Iterator[str]:
         yield " ".join("".join(here).split())
 
 
-def extract(page: str, low: frozenset[int]) -> str:
-    """Main text, without the branches under style paths in ``low``.
-
-    If a page has an article or main element, its text is the main text.
+def extract(page: str, low: frozenset[int], high: frozenset[int] = frozenset(), lowest: frozenset[int] = frozenset()) -> str:
+    """Main text. ``low``, ``high`` and ``lowest`` are the host's style paths of importance
+    below ``LOW``, content importance from ``HIGH``, and importance below ``LOW_MAIN``.
     """
     nodes, pieces = parse(page)
-    has_main = any(x.main and x.keep for x in nodes) and any(p[0].main and p[0].keep and not p[2].isspace() for p in pieces)
-    kept = [p for p in pieces if p[0].keep and (p[0].main or not has_main and p[0].path not in low)]
+    for node in reversed(nodes):        # a node comes after those above it
+        node.rich = node.rich or node.path in high
+        if node.rich and node.up and node.tag not in ("body", "html"):
+            node.up.rich = True
+    said = [(p[0], len(p[2].strip())) for p in pieces if p[0].keep]
+    main = sum(n for x, n in said if x.main)
+    decides = main > 0 and main >= PRIOR * sum(n for _, n in said)
+
+    def stays(node: Node) -> bool:
+        if node.main:
+            while node.up and node.tag not in _BLOCK:       # words inside a sentence stay with it
+                node = node.up
+            return not node.main or node.path not in lowest
+        if node.path in low or not decides:
+            return node.path not in low
+        while node.up and node.tag not in ("body", "html"):
+            if node.rich:
+                return True
+            node = node.up
+        return node.path in high        # text of the body itself
+
+    decided: dict[int, bool] = {}
+    kept = []
+    for p in pieces:
+        key = id(p[0])
+        if key not in decided:
+            decided[key] = p[0].keep and stays(p[0])
+        if decided[key]:
+            kept.append(p)
     return "\n\n".join(b for b in blocks(kept) if b)
 
 
@@ -224,7 +257,7 @@ def host_of(url) -> F.Column:
 
 
 def unimportant(pages: DataFrame) -> DataFrame:
-    """(host, paths): style paths of each host that are on many pages and say the same on most."""
+    """(host, low, lowest, high): style paths on many pages of a host, by importance; high by content alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -255,12 +288,18 @@ def unimportant(pages: DataFrame) -> DataFrame:
     )
     size = nodes.where("kind = 2").select("host", F.col("pages").alias("host_pages"))
     entropy = F.when(F.col("pages") > 1, (F.log("pages") - F.col("nlogn") / F.col("pages")) / F.log("pages")).otherwise(F.lit(1.0))
-    importance = nodes.where("kind < 2").groupBy("host", "path").agg(F.max(entropy).alias("importance"), F.max("pages").alias("pages"))
+    importance = nodes.where("kind < 2").groupBy("host", "path").agg(
+        F.max(entropy).alias("importance"), F.max(F.when(F.col("kind") == 1, entropy)).alias("content"), F.max("pages").alias("pages")
+    )
     return (
         importance.join(size, "host")
-        .where((F.col("importance") < LOW) & (F.col("pages") >= MIN_PAGES) & (F.col("pages") >= SHARE * F.col("host_pages")))
+        .where(((F.col("importance") < LOW) | (F.col("content") >= HIGH)) & (F.col("pages") >= MIN_PAGES) & (F.col("pages") >= SHARE * F.col("host_pages")))
         # a host has few such paths: each is on a tenth of its pages
-        .groupBy("host").agg(F.collect_list("path").alias("paths"))
+        .groupBy("host").agg(
+            F.collect_list(F.when(F.col("importance") < LOW, F.col("path"))).alias("low"),
+            F.collect_list(F.when(F.col("importance") < LOW_MAIN, F.col("path"))).alias("lowest"),
+            F.collect_list(F.when(F.col("content") >= HIGH, F.col("path"))).alias("high"),
+        )
     )
 
 
@@ -273,13 +312,16 @@ def main_texts(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [extract(h.as_py(), frozenset(p.as_py() or ())) for h, p in zip(batch.column("html"), batch.column("paths"), strict=True)]
+            found = [
+                extract(page.as_py(), *(frozenset(x.as_py() or ()) for x in paths))
+                for page, *paths in zip(*(batch.column(c) for c in ("html", "low", "high", "lowest")), strict=True)
+            ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(found, pa.string()), pa.array([len(x) for x in found], pa.int64())],
                 names=["page_id", "url", "text", "n_chars"],
             )
 
-    return rows.join(low, "host", "left").select("page_id", "url", "html", "paths").mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return rows.join(low, "host", "left").select("page_id", "url", "html", "low", "high", "lowest").mapInArrow(run, "page_id long, url string, text string, n_chars long")
 
 
 def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
