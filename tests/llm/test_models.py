@@ -278,6 +278,28 @@ def test_style_tree_and_articles(spark):
     assert "lonely" in got[300]
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<div class='page has-sidebar'><article><p>a text</p></article></div>", "a text"),
+    ("<div class='content-sidebar-wrap'><article><p>a text</p></article><div class=sidebar>s</div></div>", "a text"),
+    ("<div class='post no-comments'><p>a text</p></div><p>b</p>", "a text\n\nb"),
+    ("<div id=content-sidebar-wrap><p>all of the text</p><div class=sidebar>s</div></div><p>b</p>", "all of the text\n\nb"),
+    ("<div class=widget><main><p>a text</p></main></div>", "a text"),
+    ("<article><p>a text</p><div class=related><p>other</p></div></article>", "a text"),
+    ("<div class=ad>a longer text of an advert</div><article><p>text</p></article>", "text"),
+    ("<div class=site-footer>f</div><div class=main-nav>n</div><p>text</p>", "text"),
+])
+def test_names_of_branches(page, text):
+    """A name doesn't drop a branch with the article or most of the text."""
+    assert html_extract.extract(page, frozenset()) == text
+
+
+def test_part_of_a_name_is_less_than_importance():
+    page = "<p>long enough to hold most text</p><div class=x-related-y><p>rest</p></div>"
+    assert html_extract.extract(page, frozenset()) == "long enough to hold most text"
+    rich = frozenset(n.path for n in html_extract.parse(page)[0] if n.tag == "p")
+    assert html_extract.extract(page, frozenset(), rich).endswith("rest")
+
+
 # --- personal data ---
 
 

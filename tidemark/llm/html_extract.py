@@ -16,6 +16,10 @@ with a node whose content reaches ``HIGH`` stay.
 
 What a page declares itself is believed as well: menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles and reader comments by element or role are not main text.
+A class or id that names such a thing drops its branch, unless that holds an article or main
+element, or most of the text with no article elsewhere. One that only has such a name as a
+part ("has-sidebar") lowers it: the branch goes unless it holds such an element, most of the
+page's text, or an important node.
 
 Blocks are the runs of text between block elements; a line break is a space.
 
@@ -61,12 +65,19 @@ _CLOSES_P = _BLOCK - {"td", "th", "tr", "tbody", "thead", "tfoot", "caption", "h
 # Elements, roles and name parts of what is no main text.
 _DROPPED = frozenset("nav aside footer form head menu button select option label input dialog svg canvas object video audio map datalist".split()) | _RAW
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
-_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|"
+_THING = (
+    r"(?:ad|ads|adv|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|"
     r"nav|navbar|navigation|menu|breadcrumbs?|sidebar|side-bar|footer|comments?|commentlist|disqus|respond|reply|replies|share|sharing|social|"
-    r"newsletter|subscribe|subscription|signup|login|search|related|widget|pagination|pager|skip-link|toolbar)(?:$|[\s_-])",
+    r"newsletter|subscribe|subscription|signup|login|search|related|widget|pagination|pager|skip-link|toolbar)"
+)
+_PART = re.compile(rf"(?:^|[\s_-]){_THING}(?:$|[\s_-])", re.I)
+_NAME = re.compile(
+    rf"(?:^|\s)(?:(?:site|page|main|top|bottom|left|right|primary|secondary|global|user|post|{_THING})[_-])*{_THING}"
+    r"(?:[_-](?:list|area|section|box|bar|block|wrap|wrapper|container|form|links?|buttons?|inner|top|bottom|left|right|[0-9]+))*(?:$|\s)",
     re.I,
 )
+#: Words before a name that make it a remark on the layout.
+_REMARK = re.compile(r"(?:^|(?<=\s))(?:has|have|with|without|no|not|hide|hides|show|shows|is)[_-]\S*", re.I)
 _MAIN = frozenset(("article", "main"))
 
 
@@ -74,13 +85,16 @@ _MAIN = frozenset(("article", "main"))
 class Node:
     tag: str
     path: int
-    keep: bool                      # not declared as something other than main text
+    keep: bool                      # not declared as something other than main text, by element or role
     main: bool                      # inside the article or main element
     words: list[str] = field(default_factory=list)
     layout: list[str] = field(default_factory=list)
     block: int = 0
     up: Node | None = None
     rich: bool = False              # this node or one below it is important
+    named: int = 0                  # 2: named as something other than main text, 1: in a part of the name
+    holds: bool = False             # it is or holds an article or main element
+    said: int = 0                   # characters of text in its branch
 
 
 def _path(parent: int, step: str) -> int:
@@ -105,7 +119,15 @@ def _declared(tag: str, attrs: dict[str, str], parent: Node) -> bool:
         return False
     if tag in ("html", "body", "article", "main"):
         return True
-    return attrs.get("role", "").lower() not in _ROLES and not _NAMES.search(f"{attrs.get('class', '')} {attrs.get('id', '')}")
+    return attrs.get("role", "").lower() not in _ROLES
+
+
+def _named(tag: str, attrs: dict[str, str]) -> int:
+    names = f"{attrs.get('class', '')} {attrs.get('id', '')}"
+    if tag in ("html", "body", "article", "main") or names == " ":
+        return 0
+    names = _REMARK.sub("", names)
+    return 2 if _NAME.search(names) else int(bool(_PART.search(names)))
 
 
 def parse(page: str) -> tuple[list[Node], list[tuple[Node, int, str]]]:
@@ -168,7 +190,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, int, str]]]:
         key = (parent.path, style)
         if key not in known:
             known[key] = _path(*key)
-        node = Node(tag, known[key], parent.keep and _declared(tag, attrs, parent), parent.main or tag in _MAIN or attrs.get("role") == "main", up=parent)
+        node = Node(tag, known[key], parent.keep and _declared(tag, attrs, parent), parent.main or tag in _MAIN or attrs.get("role") == "main", up=parent, named=_named(tag, attrs))
         parent.layout.append(style)
         nodes.append(node)
         if tag in _BLOCK:
@@ -202,10 +224,23 @@ def extract(page: str, low: frozenset[int], high: frozenset[int] = frozenset(),
     below ``LOW``, content importance from ``HIGH``, and importance below ``LOW_MAIN``.
     """
     nodes, pieces = parse(page)
+    for node, _, text in pieces:
+        if node.keep:
+            node.said += len(text.strip())
     for node in reversed(nodes):        # a node comes after those above it
         node.rich = node.rich or node.path in high
-        if node.rich and node.up and node.tag not in ("body", "html"):
-            node.up.rich = True
+        node.holds = node.holds or node.main and node.keep and node.said > 0
+        if node.up:
+            node.up.said += node.said
+            node.up.holds = node.up.holds or node.holds
+            node.up.rich = node.up.rich or node.rich and node.tag not in ("body", "html")
+    for node in nodes[1:]:
+        most = 2 * node.said >= nodes[0].said
+        inside = node.main and node.up.main     # a named part of an article doesn't hold that article
+        if node.named and not (node.holds and not inside):
+            lost = not (most and not nodes[0].holds) if node.named == 2 else not (most or node.rich)
+            node.keep = node.keep and not lost
+        node.keep = node.keep and node.up.keep
     said = [(p[0], len(p[2].strip())) for p in pieces if p[0].keep]
     main = sum(n for x, n in said if x.main)
     decides = main > 0 and main >= PRIOR * sum(n for _, n in said)
