@@ -154,6 +154,27 @@ def test_large_group_of_near_copies(spark):
     assert all(r["class_id"] == r["doc_id"] for r in got if r["doc_id"] >= 1000)
 
 
+def test_one_pair_joins_two_large_families(spark, monkeypatch):
+    """Each end of the only link between two families is close to its own family's centres."""
+    monkeypatch.setattr(near_dedup, "ROUNDS", 1)
+    rng = random.Random(31)
+    base = prose(rng, 1000).split()
+
+    def changed(n, own=None):
+        words = list(base)
+        for k in range(n):
+            words[5 + 18 * k] = f"other{k}"
+        if own is not None:
+            words[999] = f"edit{own}"
+        return " ".join(words)
+
+    rows = [(i, changed(0, i)) for i in range(100)] + [(100 + i, changed(54, 100 + i)) for i in range(100)] + [(300, changed(18)), (301, changed(36))]
+    got = near_dedup.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r["class_id"] for r in got} == {0}
+    apart = near_dedup.classes(spark.createDataFrame(rows[:-2], "doc_id long, text string")).collect()
+    assert {r["class_id"] for r in apart} == {0, 100}
+
+
 def test_weighted_samples_estimate_similarity():
     rng = np.random.default_rng(2)
     own = rng.integers(0, 1 << 63, 400, dtype=np.uint64)

@@ -8,15 +8,14 @@ samples; two texts of weighted Jaccard similarity s agree in one sample with pro
 Samples make up bands, so at 0.8 two texts meet in some bucket with probability 0.9999.
 
 Texts with the same weighted set are one vertex from then on. In each bucket a few members
-are centres, chosen by hashes that differ from bucket to bucket. Every other member takes the
-centre that agrees with it in the most samples; unless the samples rule out the threshold,
-the pair is verified by the exact weighted Jaccard similarity. Members that no centre takes
-choose centres among themselves in the next round. Those that are still among others after
-``ROUNDS`` rounds go to the next of ``LEVELS``: more samples in longer bands, which part texts
-of middling similarity (a family that shares half of its text) and estimate the rest more
-sharply. This goes on until no bucket has two such members; there is no cap. Pairs grow with
-the number of rows, whatever the size of a bucket. Verified pairs give connected components;
-a component is a class.
+are centres, chosen by hashes that differ from bucket to bucket. Every member is compared with
+every centre: the samples rule out the threshold, or both have the same root (the least vertex
+of the component so far), or the exact weighted Jaccard similarity is computed. Only then the
+centres leave, since they have met the whole bucket. All others stay until their bucket has a
+single root. Those that are left after ``ROUNDS`` rounds go to the next of ``LEVELS``: more
+samples in longer bands, which part texts of middling similarity (a family that shares half of
+its text). In the last level, rounds take twice as many centres each time, up to
+``MOST_CENTRES``, until no bucket has two roots; there is no cap. Components are the classes.
 
 Defined results: a text of one to four words has one shingle, all its words. A text without
 words is equal only to the same text. Null counts as empty. The class id is the smallest
@@ -38,9 +37,11 @@ from tidemark.llm.common import documents, mixed, shingles, signed, stored, text
 from tidemark.llm.components import components
 
 K, THRESHOLD = 5, 0.8
-#: Bands and samples in a band, level by level; the last one repeats with other samples.
+#: Bands and samples in a band, level by level.
 LEVELS = ((13, 3), (25, 8), (48, 11), (120, 16))
-CENTRES, ROUNDS = 4, 8
+CENTRES, MOST_CENTRES, ROUNDS = 4, 64, 8
+#: Samples of a level that are carried along for comparisons, at most.
+CODES = 1200
 #: Standard deviations below the expected agreement at which the threshold is ruled out.
 DOUBT = 3.7
 SKETCH = 1 << 17
@@ -130,7 +131,7 @@ def samples_before(level: int) -> int:
 def least_agreement(level: int, threshold: float) -> int:
     """Samples in which two texts at the threshold agree, but for one pair in ten thousand."""
     n = LEVELS[min(level, len(LEVELS) - 1)]
-    n = n[0] * n[1]
+    n = min(n[0] * n[1], CODES)
     return max(1, int(threshold * n - DOUBT * (threshold * (1 - threshold) * n) ** 0.5))
 
 
@@ -156,7 +157,7 @@ def signer(factor, level: int):
                 key = np.zeros((len(some), bands), np.uint64) + np.arange(before, before + bands, dtype=np.uint64) + np.uint64(1)
                 for k in range(rows):
                     key = mixed(key * _ODD + drawn[:, k::rows])
-                short = (drawn >> np.uint64(56)).astype(np.uint8).view(np.int8)
+                short = (drawn[:, :CODES] >> np.uint64(56)).astype(np.uint8).view(np.int8)
                 for i, j in enumerate(some):
                     buckets[first + j], codes[first + j] = signed(key[i]), short[i]
             for i in set(range(last - first)) - set(some.tolist()):
@@ -211,29 +212,63 @@ def _tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _centres(met: DataFrame) -> DataFrame:
-    """The centres of each bucket of two members or more."""
+def _centres(met: DataFrame, count: int) -> DataFrame:
+    """Up to ``count`` centres of each bucket."""
     member = F.struct("id", "codes")
-    first = [F.min_by(member, F.xxhash64("id", "bucket", F.lit(j))).alias(f"c{j}") for j in range(CENTRES)]
-    return stored(met.groupBy("bucket").agg(F.count("*").alias("n"), *first).where("n > 1").drop("n"), "centres")
-
-
-def _round(met: DataFrame, centres: DataFrame, pool: DataFrame, factor, threshold: float, agreement: int) -> tuple[DataFrame, DataFrame]:
-    """Verified pairs of members and centres, and the members that no centre takes."""
-
-    def agrees(j: int):
-        same = F.zip_with("codes", f"c{j}.codes", lambda a, b: a == b)
-        return F.struct(F.size(F.filter(same, lambda x: x)).alias("n"), F.col(f"c{j}.id").alias("centre"))
-
-    is_centre = F.array_contains(F.array(*[F.col(f"c{j}.id") for j in range(CENTRES)]), F.col("id"))
-    # centres take part as well: each with the others
-    options = F.filter(F.array(*[agrees(j) for j in range(CENTRES)]), lambda o: o["centre"] != F.col("id"))
-    chosen = met.join(centres, "bucket").select("bucket", "id", "codes", is_centre.alias("is_centre"), F.array_max(options).alias("best"))
-    rows = stored(chosen.select("bucket", "id", "codes", "is_centre", F.col("best.centre").alias("centre"), (F.coalesce("best.n", F.lit(0)) >= agreement).alias("likely")), "chosen")
-    pairs = rows.where("likely").select("id", "centre").distinct()
-    good = stored(verified(pairs, pool, factor, threshold).select("id", "centre"), "verified")
-    left = rows.where("not is_centre").join(good, ["id", "centre"], "left_anti").select("bucket", "id", "codes")
-    return good, stored(left, "left")
+    first = F.array(*[F.min_by(member, F.xxhash64("id", "bucket", F.lit(j))) for j in range(count)])
+    return stored(met.groupBy("bucket").agg(F.array_distinct(first).alias("centres")), "centres")
+
+
+def _several_roots(met: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """Members of the buckets whose members aren't all in one component."""
+    met = met.select("bucket", "id", "codes")
+    known = met.select("bucket", "id", F.col("id").alias("root")) if roots is None else met.select("bucket", "id").join(roots, "id", "left").select("bucket", F.coalesce("root", "id").alias("root"))
+    several = stored(known.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("bucket"), "several")
+    return stored(met.join(several, "bucket", "left_semi"), "met")
+
+
+def _apart(pairs: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """The pairs whose ends have different roots, with these."""
+    if roots is None:
+        return pairs.select("id", "centre", F.col("id").alias("a"), F.col("centre").alias("b"))
+    left, right = (roots.select(F.col("id").alias(c), F.col("root").alias(r)) for c, r in (("id", "a"), ("centre", "b")))
+    return pairs.join(left, "id", "left").join(right, "centre", "left").select("id", "centre", F.coalesce("a", "id").alias("a"), F.coalesce("b", "centre").alias("b")).where("a <> b")
+
+
+def _merged(roots: DataFrame | None, good: DataFrame) -> DataFrame | None:
+    """The roots (id, root) after the good pairs (with the roots a, b of their ends)."""
+    edges = stored(good.select("a", "b").distinct(), "root-edges")
+    if edges.isEmpty():
+        return roots
+    new = components(edges)
+    if roots is None:
+        return new
+    moved = roots.join(new.select(F.col("id").alias("root"), F.col("root").alias("to")), "root", "left").select("id", F.coalesce("to", "root").alias("root"))
+    return stored(moved.unionByName(new.join(roots.select("id"), "id", "left_anti").select("id", "root")), "roots")
+
+
+def _round(met: DataFrame, count: int, pool: DataFrame, factor, threshold: float, agreement: int, roots: DataFrame | None, tested: DataFrame | None):
+    """Every member against every centre of its bucket: the rest of met, the roots, and the pairs tested."""
+    n_same = lambda c: F.size(F.filter(F.zip_with("codes", c["codes"], lambda a, b: a == b), lambda x: x))
+    options = F.transform("centres", lambda c: F.struct(n_same(c).alias("n"), c["id"].alias("centre")))
+    likely = F.sort_array(F.filter(options, lambda o: (o["n"] >= agreement) & (o["centre"] != F.col("id"))), asc=False)
+    rows = stored(
+        met.join(_centres(met, count), "bucket").select(
+            "bucket", "id", "codes", F.exists("centres", lambda c: c["id"] == F.col("id")).alias("is_centre"), F.transform(likely, lambda o: o["centre"]).alias("likely")
+        ), "chosen",
+    )
+    some = rows.where(F.size("likely") > 0)
+    # the best centre first: for most members, it makes the others ones of the same root
+    for to in (F.col("likely")[0], F.explode("likely")):
+        ends = some.select("id", to.alias("centre")).select(F.greatest("id", "centre").alias("id"), F.least("id", "centre").alias("centre")).distinct()
+        pairs = _apart(ends if tested is None else ends.join(tested, ["id", "centre"], "left_anti"), roots)
+        pairs = stored(pairs, "pairs")
+        if not pairs.isEmpty():
+            good = verified(pairs.select("id", "centre"), pool, factor, threshold).select("id", "centre")
+            roots = _merged(roots, stored(good, "verified").join(pairs, ["id", "centre"]))
+            now = pairs.select("id", "centre")
+            tested = now if tested is None else tested.unionByName(now)
+    return _several_roots(rows.where("not is_centre"), roots), roots, tested
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -256,26 +291,22 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         marked.select("rid", F.coalesce("row.text", F.lit("")).alias("text"), "codes").join(met_ids, F.col("rid") == F.col("id"), "left_semi"), "pool"
     )
     met = stored(met.join(pool.select(F.col("rid").alias("id"), "codes"), "id"), "met")
-    found, level, turn = None, 0, 0
-    while True:
-        centres = _centres(met)
-        if centres.isEmpty():
-            break
-        if turn == ROUNDS:
-            level, turn = level + 1, 0
-            ids = stored(met.join(centres, "bucket", "left_semi").select("id").distinct(), "rest")
+    met = _several_roots(met, None)
+    roots, tested, level, turn, last = None, None, 0, 0, len(LEVELS) - 1
+    while not met.isEmpty():
+        if turn == ROUNDS and level < last:
+            level, turn, tested = level + 1, 0, None if tested is None else stored(tested, "tested")
+            ids = stored(met.select("id").distinct(), "rest")
             rest = pool.select("rid", "text").join(ids, F.col("rid") == F.col("id"), "left_semi")
             # few rows, much work for each: deal them out to all tasks
             finer = rest.repartition(_tasks(spark), "rid").withColumn("sig", signer(factor, level)("text")).select(F.col("rid").alias("id"), "sig.bands", "sig.codes")
-            met = stored(finer.select("id", F.explode("bands").alias("bucket"), "codes"), "met")
+            met = _several_roots(_shared(stored(finer.select("id", F.explode("bands").alias("bucket"), "codes"), "met")), roots)
             continue
-        good, met = _round(met, centres, pool, factor, threshold, least_agreement(level, threshold))
-        found = good if found is None else found.unionByName(good)
+        count = min(MOST_CENTRES, CENTRES << max(0, turn - ROUNDS + 1))
+        met, roots, tested = _round(met, count, pool, factor, threshold, least_agreement(level, threshold), roots, tested)
         turn += 1
-    if found is None:
+    if roots is None:
         roots = sets.select("id", F.col("id").alias("root")).limit(0)
-    else:
-        roots = components(found.select(F.col("id").alias("a"), F.col("centre").alias("b")))
     by_set = stored(sets.join(roots, "id", "left").select("set_key", "set_check", F.coalesce("root", "id").alias("root")), "set-roots")
     rooted = stored(marked.select("rid", "doc_id", "set_key", "set_check").join(by_set, ["set_key", "set_check"]).select("rid", "doc_id", "root"), "rooted")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid"))
