@@ -175,6 +175,10 @@ def test_one_pair_joins_two_large_families(spark, monkeypatch):
     assert {r["class_id"] for r in apart} == {0, 100}
 
 
+def test_levels_have_the_claimed_recall():
+    assert all((1 - 0.8**rows) ** bands <= 1.05e-4 for bands, rows in near_dedup.LEVELS)
+
+
 def test_weighted_samples_estimate_similarity():
     rng = np.random.default_rng(2)
     own = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
