@@ -201,6 +201,15 @@ def test_decontamination_edges(spark, edge_docs, edge_rows, no_docs):
     assert decontaminate.contaminated(no_docs, items).count() == 0
 
 
+def test_many_short_words_in_several_rows():
+    """A slice with many words is still its rows."""
+    rows = pa.array(["1 2 3 " * 8000, "4 5 6 " * 8000, "7 8 9 " * 8000])
+    seen = [(lo, begins.tolist()) for _, _, b, h in words(rows) for lo, begins, _ in decontaminate._runs(b, h)]
+    assert seen == [(0, [0, 24_000, 48_000, 72_000])]
+    (_, _, begins, hashes), = words(pa.array(["1 2 " * 70_000]))
+    assert len(list(decontaminate._runs(begins, hashes))) > 1
+
+
 def test_lcs():
     rng = random.Random(2)
     for _ in range(200):
