@@ -210,6 +210,40 @@ def test_many_short_words_in_several_rows():
     assert len(list(decontaminate._runs(begins, hashes))) > 1
 
 
+def test_decontamination_recall_of_paraphrases(spark):
+    """Items with 25 to 40% of their words left out or replaced: what brute force accepts is found, in every length class."""
+    rng = random.Random(40)
+    docs = [r["text"].split() for r in spark.read.parquet(f"{MEDIUM}/documents.parquet").select("text").collect()]
+    docs = [w for w in docs if len(w) > 150 and len(tokens(" ".join(w))) == len(w)] or [w for w in docs if len(w) > 150]
+    lengths = {"10-14": (10, 14), "15-24": (15, 24), "25-32": (25, 32), "33-44": (33, 44), "45-90": (45, 90)}
+    items, rows, classes = [], [(100_000 + i, " ".join(w)) for i, w in enumerate(docs[:200])], {}
+    for name, (a, b) in lengths.items():
+        for _ in range(50):
+            own, host, n, i = rng.choice(docs[200:]), rng.choice(docs[200:]), rng.randint(a, b), len(items)
+            start = rng.randrange(len(own) - n)
+            item = tokens(" ".join(own[start : start + n]))
+            out = set(rng.sample(range(len(item)), int(rng.uniform(0.25, 0.4) * len(item))))
+            put = rng.random() < 0.5
+            body = [rng.choice(rng.choice(docs)) if k in out else w for k, w in enumerate(item) if put or k not in out]
+            at = rng.randrange(60)
+            items.append((i, " ".join(item)))
+            rows.append((i, " ".join(host[:at] + body + host[at : at + 60])))
+            classes[i] = name
+    got = {r["doc_id"]: set(r["items"]) for r in decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    text, found, want = dict(rows), Counter(), Counter()
+    for i, item in items:
+        own, near = item.split(), tokens(text[i])
+        masks: dict = {}
+        for k, w in enumerate(own):
+            masks[w] = masks.get(w, 0) | 1 << k
+        share = max(decontaminate.lcs(masks, len(own), near[k : k + len(own) + 20]) for k in range(0, max(1, len(near) - len(own)), 5)) / len(own)
+        if share >= decontaminate.LCS:
+            want[classes[i]] += 1
+            found[classes[i]] += i in got[i]
+    recall = {c: found[c] / want[c] for c in lengths}
+    assert min(want.values()) >= 25 and min(recall.values()) >= 0.9
+
+
 def test_lcs():
     rng = random.Random(2)
     for _ in range(200):
