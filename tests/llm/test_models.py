@@ -80,6 +80,34 @@ def test_license_edges(spark, edge_docs, edge_rows):
     assert labels[2] == "gpl,gpl-3" and labels[6] == "cc-by,cc-by-nc" and labels[7] == "mit" and labels[3] == ""
 
 
+def test_license_word_put_in_or_left_out(spark):
+    """Each template with one word put in at each place, and with one left out; not so the words that tell licences apart."""
+    rows, want = [], {}
+    needed, together = license_scan._demands()
+    for (phrase, label), must, pinned in zip(license_scan.TEMPLATES.items(), needed, together, strict=True):
+        own = phrase.split()
+        for k in range(len(own) + 1):
+            rows.append((len(rows), " ".join(["here", "is", *own[:k], "inserted", *own[k:], "and", "more"])))
+            want[rows[-1][0]] = (label, k - 1 not in pinned)
+        for k in range(len(own)):
+            rows.append((len(rows), " ".join(["here", "is", *own[:k], *own[k + 1 :], "and", "more"])))
+            if label != "mit" or len(own) > 8:
+                want[rows[-1][0]] = (label, k not in must and k not in pinned and k - 1 not in pinned)
+    others = [
+        ("GNU General Public License (GPL) version 2", "gpl-2"), ("Apache License, the Version 2.0", "apache-2.0"), ("Apache License 2.0", "apache-2.0"),
+        ("GNU Lesser General Public License version 2", "lgpl"), ("GNU Affero General Public License version 3", "agpl"), ("Eclipse Public License version 2", None),
+        ("GNU General Public License", None), ("GNU General Public License version 3", "gpl-3"), ("Creative Commons Attribution NonCommercial 4.0 International", None),
+    ]
+    texts = {10_000 + i: label for i, (_, label) in enumerate(others)}
+    rows += [(10_000 + i, text) for i, (text, _) in enumerate(others)]
+    got = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    _check_license(rows, got)
+    labels = {r["doc_id"]: set(filter(None, r["labels"].split(","))) for r in got}
+    wrong = [(rows[i][1], labels[i]) for i, (label, there) in want.items() if (label in labels[i]) != there]
+    assert not wrong
+    assert all(labels[i] - {"gpl", "apache"} == ({label} if label else set()) for i, label in texts.items())
+
+
 # --- language ---
 
 
