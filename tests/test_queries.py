@@ -1,11 +1,15 @@
 """Every registered query: same rows, columns and types as its check SQL, and a sound plan."""
 
+import ast
 import math
+from pathlib import Path
 
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tidemark.workload.checks import CHECKS
+from tidemark.workload.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = (
@@ -27,15 +31,23 @@ def plain(value):
 
 
 def test_every_query_has_a_check():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(CHECKS)
+    assert set(QUERIES) <= set(entry.queries()) and set(CHECKS) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_no_name_is_defined_twice():
+    """A second definition replaces the first without a word."""
+    for path in Path(entry.__file__).parent.joinpath("tidemark").rglob("*.py"):
+        names = [n.name for n in ast.parse(path.read_text()).body if isinstance(n, ast.FunctionDef | ast.ClassDef)]
+        assert len(names) == len(set(names)), path
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_check(spark, duck, name):
-    df = entry.queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     columns = sorted(df.columns)
     got = [tuple(r) for r in df.select(*columns).collect()]
-    result = duck.execute(entry.oracle_sql()[name])
+    result = duck.execute(CHECKS[name])
     names = [c[0] for c in result.description]
     types = {c[0]: str(c[1]) for c in result.description}
     assert sorted(names) == columns

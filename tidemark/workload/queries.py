@@ -623,10 +623,10 @@ def centroids(spark, d):
 
 def _label_hits(spark, d):
     corpus = tables.read_table(spark, d, "embeddings")
-    return _rounded(retrieval.knn(centroids(spark, d), corpus, 5, id_col="vec_id", payload=["label"]))
+    return _score_digits(retrieval.knn(centroids(spark, d), corpus, 5, id_col="vec_id", payload=["label"]))
 
 
-def _rounded(hits):
+def _score_digits(hits):
     """Scores as reported; ranks were settled before."""
     return hits.withColumn("score", F.round("score", 6))
 
@@ -652,7 +652,7 @@ def _chunk_hits(spark, d, k=presets.TOP_K):
     corpus = vectors.embed(named, "chunk_text")
     asked = tables.read_table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), "text")
     questions = vectors.embed(asked, "text")
-    return _rounded(retrieval.knn(questions, corpus, k, id_col="chunk_id", payload=["doc_id", "chunk_text"]))
+    return _score_digits(retrieval.knn(questions, corpus, k, id_col="chunk_id", payload=["doc_id", "chunk_text"]))
 
 
 @query
@@ -661,7 +661,7 @@ def knn_all_pairs(spark, d):
     corpus = tables.read_table(spark, d, "embeddings").select("vec_id", "embedding")
     twice = corpus.withColumn("copy", F.lit(0)).unionByName(corpus.withColumn("copy", F.lit(1)))
     asked = corpus.withColumnRenamed("vec_id", "query_id")
-    hits = _rounded(retrieval.knn(asked, twice, 6, id_col="vec_id", block_queries=300))
+    hits = _score_digits(retrieval.knn(asked, twice, 6, id_col="vec_id", block_queries=300))
     return hits.groupBy("query_id", "vec_id", "score").agg(F.count("*").alias("copies"))
 
 
