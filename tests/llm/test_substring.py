@@ -89,11 +89,10 @@ def test_hot_windows_are_spread(spark, family, monkeypatch):
     monkeypatch.setattr(substring_dedup, "OFTEN", 3)
     monkeypatch.setattr(substring_dedup, "OFTEN_SHARE", 60)
     docs = spark.createDataFrame(family, "doc_id long, text string").repartition(7)
-    rows = docs.selectExpr("doc_id AS doc", "text", "0L AS tag")
+    rows = docs.selectExpr("doc_id AS doc", "text")
     sketch = spark.sparkContext.broadcast(substring_dedup.sketch_of(rows))
-    schema = "k1 long, k2 long, doc long, tag long, at int"
-    hot = rows.select("text", "doc", "tag").mapInArrow(substring_dedup._candidates(sketch), schema).filter("k2 & 255 > 0")
-    assert hot.count() > 1000 and hot.selectExpr("k2 & 255 AS p").distinct().count() == substring_dedup.PARTS
+    hot = substring_dedup.candidates(rows, sketch).selectExpr("place >> 56 AS part").filter("part > 0")
+    assert hot.count() > 1000 and hot.distinct().count() == substring_dedup.PARTS
     assert run(docs) == by_hand(family)
 
 
@@ -123,14 +122,13 @@ def test_estimates_are_never_too_low(spark):
 
 def test_a_full_sketch_loses_nothing(spark, family):
     """Counters that all collide pass every window on; the exact pass decides."""
-    rows = spark.createDataFrame(family, "doc long, text string").selectExpr("doc", "text", "0L AS tag")
+    rows = spark.createDataFrame(family, "doc long, text string")
 
     def places(sketch):
-        shared = spark.sparkContext.broadcast(sketch)
-        passed = rows.select("text", "doc", "tag").mapInArrow(substring_dedup._candidates(shared), "k1 long, k2 long, doc long, tag long, at int")
-        return passed.count(), {(r["doc"], r["at"]) for r in substring_dedup.later(passed).collect()}
+        passed = substring_dedup.candidates(rows, spark.sparkContext.broadcast(sketch))
+        return passed.count(), {(r["doc"], r["at"]) for r in substring_dedup.later(passed, False).collect()}
 
-    full = substring_dedup.Sketch(20, [])
+    full = substring_dedup.Sketch(1, [])
     full.twice[:] = 255
     n_all, by_all = places(full)
     n_few, by_few = places(substring_dedup.sketch_of(rows))

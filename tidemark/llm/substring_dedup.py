@@ -8,16 +8,17 @@ a document with a smaller doc_id as well.
    partitions' sketches merge block by block, so no task holds a whole sketch. A window's
    estimate is the smaller of its two counters; counters only ever add, so it is never too low.
 2. A second pass over the texts passes on the windows whose estimate is two or more. Those
-   are grouped by a 104-bit hash of their words, and the smallest doc_id of each group is
+   are grouped by an 88-bit hash of their words (0.2 pairs collide among 10**13), and the smallest doc_id of each group is
    compared with each member's. What the sketch overestimates (collisions, repeats within one
    document) gives no match here; what it leaves out occurs once.
 3. The places found are put in order by document, as runs of covered words, and the texts are
-   joined with them.
+   joined with them. A Bloom filter of the documents that have runs (8 bits for each, 16 MB at
+   most) keeps most other texts out of that shuffle; what it lets through just finds no runs.
 
-The broadcast sketch has one bit a counter (is it two or more), sized by the bytes of text: two rows
-of 2**20 to 2**29 bits, so 128 MB at most. A corpus with over about two billion words fills it: the
-prefilter then passes on more windows that occur once and the exact pass grows; the result is
-the same. Windows that both rows count very often (a hundred-thousandth of the corpus' bytes
+The broadcast sketch has one bit a counter (is it two or more), sized by the bytes of text: two
+rows of a bit for each four bytes, up to 2**28, so 64 MB at most (``MOST_BLOCKS`` raises that where
+executors hold more). A corpus of more than a billion bytes fills it more densely: the prefilter
+then passes on more windows that occur once and the exact pass grows; the result is the same. Windows that both rows count very often (a hundred-thousandth of the corpus' bytes
 and 1,000 at least; 131,072 counters a row at most, by that bound) are spread over 64 parts of
 their group. Each part keeps the smallest doc_id, and only the rows of its smallest meet again.
 
@@ -39,16 +40,18 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SLICE, documents, mixed, powers, signed, slices, texts
+from tidemark.llm.common import SLICE, documents, mixed, powers, signed, slices, stored, texts
 
 WORDS = 13
 BLOCK_BITS = 20                 # counters of a block: 2**20
-ROW_BITS = (20, 29)             # counters of a row of the sketch: 2**20 to 2**29
+MOST_BLOCKS = 1 << 8            # of a row of the sketch
 BYTES_PER_COUNTER = 4           # of text, in each of the two rows
-FLUSH = 1 << 22                 # windows that a task gathers before it sends their counters
+FLUSH = 1 << 21                 # windows that a task gathers before it sends their counters
 OFTEN, OFTEN_SHARE = 1_000, 17  # a counter is hot from OFTEN and bytes / 2**OFTEN_SHARE
 PARTS = 64                      # parts of a hot window's group
+PART_SHIFT = 57                 # where k1 takes in the part
 ROWS = 2                        # of the sketch
+BLOOM_BITS = 27                 # of the filter of documents: 2**27 bits at most
 
 #: Words are runs of bytes other than space and 0x09 to 0x0D.
 GAP = np.zeros(256, bool)
@@ -117,10 +120,10 @@ def window_starts(begins: np.ndarray, k: int = WORDS) -> tuple[np.ndarray, np.nd
     return row, np.arange(len(row)) - before[row] + begins[:-1][row]
 
 
-def counters(window: np.ndarray, bits: int) -> list[np.ndarray]:
-    """A window's counter in each row of the sketch."""
-    mask = np.uint64((1 << bits) - 1)
-    return [((window >> np.uint64(32 * r)) & mask).astype(np.uint32) for r in range(ROWS)]
+def counters(window: np.ndarray, blocks: int) -> list[np.ndarray]:
+    """A window's counter in each row of the sketch: 32 bits of its hash, scaled to the row's length."""
+    length, half = np.uint64(blocks << BLOCK_BITS), np.uint64(32)
+    return [((h * length) >> half).astype(np.uint32) for h in (window & np.uint64(0xFFFFFFFF), window >> half)]
 
 
 def packed(places: np.ndarray) -> bytes:
@@ -136,9 +139,8 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.cumsum(steps, dtype=np.int64)[steps < 255]
 
 
-def _partition_sketch(bits: int):
+def _partition_sketch(blocks: int):
     """Windows of a task to (block, gaps): block r * blocks + b is block b of row r."""
-    blocks = 1 << (bits - BLOCK_BITS)
 
     def flush(gathered: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
         for r, parts in enumerate(gathered):
@@ -155,7 +157,7 @@ def _partition_sketch(bits: int):
         for batch in batches:
             for _, _, begins, hashes in word_runs(batch.column(0), 1):
                 window = windows(hashes[0], window_starts(begins)[1])
-                for parts, places in zip(gathered, counters(window, bits), strict=True):
+                for parts, places in zip(gathered, counters(window, blocks), strict=True):
                     parts.append(places)
                 n += len(window)
                 if n >= FLUSH:
@@ -206,9 +208,9 @@ def _merged(often: int):
 class Sketch:
     """The merged sketch as tasks read it: which counters are two or more, and the hot ones."""
 
-    def __init__(self, bits: int, merged: list):
-        blocks, width = 1 << (bits - BLOCK_BITS), 1 << (BLOCK_BITS - 3)
-        self.bits = bits
+    def __init__(self, blocks: int, merged: list):
+        width = 1 << (BLOCK_BITS - 3)
+        self.blocks = blocks
         self.twice = np.zeros((ROWS, blocks * width), np.uint8)
         hot: list[list[np.ndarray]] = [[] for _ in range(ROWS)]
         for block, twice, often in merged:
@@ -220,7 +222,7 @@ class Sketch:
     def repeated(self, window: np.ndarray) -> np.ndarray:
         """Windows whose estimate is two or more."""
         left = np.arange(len(window))
-        for r, places in enumerate(counters(window, self.bits)):
+        for r, places in enumerate(counters(window, self.blocks)):
             here = places[left]
             left = left[(self.twice[r][here >> np.uint32(3)] >> (here & np.uint32(7)).astype(np.uint8)) & np.uint8(1) > 0]
         return left
@@ -228,7 +230,7 @@ class Sketch:
     def often(self, window: np.ndarray) -> np.ndarray:
         """TRUE for windows whose counters are all hot."""
         out = np.ones(len(window), bool)
-        for hot, places in zip(self.hot, counters(window, self.bits), strict=True):
+        for hot, places in zip(self.hot, counters(window, self.blocks), strict=True):
             if not len(hot):
                 return np.zeros(len(window), bool)
             at = np.minimum(np.searchsorted(hot, places), len(hot) - 1)
@@ -237,26 +239,30 @@ class Sketch:
 
 
 def sketch_of(docs: DataFrame) -> Sketch:
-    """The sketch of all windows. ``docs``: text without nulls. Its bits come to the driver: 128 MB at most."""
+    """The sketch of all windows. ``docs``: text without nulls. Its bits come to the driver: 64 MB at most."""
     n_bytes = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
-    bits = min(max(ROW_BITS[0], (max(n_bytes, 1) // BYTES_PER_COUNTER).bit_length()), ROW_BITS[1])
+    blocks = min(1 + (n_bytes // BYTES_PER_COUNTER >> BLOCK_BITS), MOST_BLOCKS)
     often = max(OFTEN, n_bytes >> OFTEN_SHARE)
-    parts = docs.select("text").mapInArrow(_partition_sketch(bits), "block int, gaps binary")
+    parts = docs.select("text").mapInArrow(_partition_sketch(blocks), "block int, gaps binary")
     merged = parts.repartition("block").sortWithinPartitions("block").mapInArrow(_merged(often), "block int, bits binary, hot binary")
-    return Sketch(bits, [tuple(r) for r in merged.collect()])
+    return Sketch(blocks, [tuple(r) for r in merged.collect()])
 
 
-def _candidates(sketch: Broadcast):
-    """(k1, k2, doc, tag, at) of the windows that the sketch takes for repeated.
+#: A candidate: k1, then ``place`` with 24 more bits of hash, the window's first word (32 bits) and the part
+#: of a hot window's group, from 1 (else 0). Few bytes that differ from row to row keep the shuffle small.
+CANDIDATE = "k1 long, place long, doc long"
+HASH_BITS, AT_BITS = 24, 32
 
-    k2 holds 40 more bits of hash, and below them the part of a hot window's group, from 1 (else 0).
-    """
+
+def candidates(docs: DataFrame, sketch: Broadcast) -> DataFrame:
+    """The windows of ``docs`` that the sketch takes for repeated; with a tag where ``docs`` has one."""
+    tagged = "tag" in docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Sketch = sketch.value
         for batch in batches:
-            text, ids, tags = batch.columns
-            ids, tags = np.asarray(ids), np.asarray(tags)
+            text, *keys = batch.columns
+            keys = [np.asarray(k) for k in keys]
             for first, _, begins, hashes in word_runs(text, 2):
                 row, starts = window_starts(begins)
                 window = windows(hashes[0], starts)
@@ -264,99 +270,157 @@ def _candidates(sketch: Broadcast):
                 if not len(left):
                     continue
                 row, starts, window = row[left], starts[left], window[left]
-                rest = windows(hashes[1], starts) >> np.uint64(24) << np.uint64(8)
-                at = starts - begins[row]
-                part = np.where(seen.often(window), mixed((ids[first + row] + at).astype(np.uint64) * _ODD) % np.uint64(PARTS) + np.uint64(1), np.uint64(0))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(window)), pa.array(signed(rest + part)), pa.array(ids[first + row]), pa.array(tags[first + row]), pa.array(at.astype(np.int32))],
-                    names=["k1", "k2", "doc", "tag", "at"],
-                )
+                at = (starts - begins[row]).astype(np.uint64)
+                spread = mixed((keys[0][first + row].astype(np.uint64) + at) * _ODD) % np.uint64(PARTS) + np.uint64(1)
+                part = np.where(seen.often(window), spread, np.uint64(0))
+                rest = windows(hashes[1], starts) >> np.uint64(64 - HASH_BITS)
+                place = rest | at << np.uint64(HASH_BITS) | part << np.uint64(HASH_BITS + AT_BITS)
+                columns = [signed(window ^ part << np.uint64(PART_SHIFT)), signed(place), *[k[first + row] for k in keys]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["k1", "place", "doc", "tag"][: len(columns)])
 
-    return run
+    return docs.select("text", "doc", *["tag"][:tagged]).mapInArrow(run, CANDIDATE + ", tag long" * tagged)
 
 
-def later(candidates: DataFrame) -> DataFrame:
-    """Candidates whose window also starts in a document with a smaller id. One shuffle; see above on parts."""
+def later(found: DataFrame, hot: bool) -> DataFrame:
+    """Candidates whose window also starts in a document with a smaller id: doc, tag if there is one, at.
+
+    One shuffle by k1, in which the part of a hot window is mixed; with ``hot`` windows, the rows
+    of their parts' smallest documents meet again under the whole hash.
+    """
+    rest = F.col("place").bitwiseAND(F.lit((1 << HASH_BITS) - 1))
+    part = F.shiftrightunsigned("place", HASH_BITS + AT_BITS)
+    at = F.shiftright("place", HASH_BITS).bitwiseAND(F.lit((1 << AT_BITS) - 1)).cast("int")
+    removed = F.col("least") < F.col("doc")
 
-    def compared(df: DataFrame, *keys: Column | str) -> DataFrame:
-        return df.withColumn("first", F.min("doc").over(Window.partitionBy(*keys)))
+    def compared(df: DataFrame, by: Column) -> DataFrame:
+        return df.withColumn("least", F.min("doc").over(Window.partitionBy(by, rest)))
 
-    once = compared(candidates, "k1", "k2")
-    found, hot = F.col("first") < F.col("doc"), F.col("k2").bitwiseAND(F.lit(255)) > 0
-    again = compared(once.filter(hot & ~found).drop("first"), "k1", F.shiftright("k2", 8)).filter(found)
-    return once.filter(found).unionByName(again).drop("first")
+    once = compared(found.repartition("k1"), F.col("k1"))
+    shown = ["doc", *["tag"][: "tag" in found.columns], at.alias("at")]
+    out = once.filter(removed).select(*shown)
+    if hot:
+        whole = F.col("k1").bitwiseXOR(F.shiftleft(part, PART_SHIFT))
+        again = compared(once.filter((part > 0) & ~removed).drop("least"), whole)
+        out = out.unionByName(again.filter(removed).select(*shown))
+    return out
 
 
 def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in order of (doc, tag, at) to one row per document: doc, tag and its runs of removed words."""
-    schema = pa.schema([("doc", pa.int64()), ("tag", pa.int64()), ("runs", pa.list_(pa.int32()))])
+    """Rows in order of their keys and ``at`` (last) to one row per key with its runs of removed words."""
 
-    def result(key: tuple[int, int], places: list[np.ndarray]) -> pa.RecordBatch:
+    def result(keys: tuple[int, ...], names: list[str], places: list[np.ndarray]) -> pa.RecordBatch:
         at = np.unique(np.concatenate(places)).astype(np.int64)
         new = np.flatnonzero(np.diff(at, prepend=at[0] - WORDS - 1) > WORDS)      # windows that touch are one run
         runs = np.column_stack([at[new], np.append(at[new[1:] - 1], at[-1]) + WORDS]).ravel()
-        return pa.RecordBatch.from_arrays([pa.array([key[0]]), pa.array([key[1]]), pa.array([runs.astype(np.int32)], schema.field(2).type)], schema=schema)
+        return pa.RecordBatch.from_arrays([*[pa.array([k]) for k in keys], pa.array([runs.astype(np.int32)], pa.list_(pa.int32()))], names=[*names, "runs"])
 
-    now, places = None, []
+    now, names, places = None, [], []
     for batch in batches:
-        doc, tag, at = (np.asarray(c) for c in batch.columns)
-        edges = np.flatnonzero((np.diff(doc) != 0) | (np.diff(tag) != 0)) + 1
-        for a, b in zip([0, *edges], [*edges, len(doc)], strict=True):
+        *keys, at = (np.asarray(c) for c in batch.columns)
+        names = batch.schema.names[:-1]
+        edges = np.flatnonzero(np.any([np.diff(k) != 0 for k in keys], axis=0)) + 1
+        for a, b in zip([0, *edges], [*edges, len(at)], strict=True):
             if a == b:
                 continue
-            if (key := (int(doc[a]), int(tag[a]))) != now:
+            if (key := tuple(int(k[a]) for k in keys)) != now:
                 if places:
-                    yield result(now, places)
+                    yield result(now, names, places)
                 now, places = key, []
             places.append(at[a:b])
     if places:
-        yield result(now, places)
+        yield result(now, names, places)
+
+
+def _results(ids: pa.Array, text: pa.Array, runs: list) -> pa.RecordBatch:
+    counted, removed, kept = [], [], []
+    data, ends = texts(text)
+    whole = data.tobytes()
+    for a, b, cut in zip(ends[:-1].tolist(), ends[1:].tolist(), runs, strict=True):
+        words = whole[a:b].split()
+        left, done = [], 0
+        for start, end in zip(cut[::2], cut[1::2], strict=True) if cut else ():
+            left += words[done:start]
+            done = end
+        left += words[done:]
+        counted.append(len(words))
+        removed.append(len(words) - len(left))
+        kept.append(b" ".join(left))
+    columns = [ids, pa.array(counted, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
+    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_removed", "kept_text"])
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, text, runs = batch.columns
-        counted, removed, kept = [], [], []
-        data, ends = texts(text)
-        whole = data.tobytes()
-        for a, b, cut in zip(ends[:-1].tolist(), ends[1:].tolist(), runs.to_pylist(), strict=True):
-            words = whole[a:b].split()
-            left, done = [], 0
-            for start, end in zip(cut[::2], cut[1::2], strict=True) if cut else ():
-                left += words[done:start]
-                done = end
-            left += words[done:]
-            counted.append(len(words))
-            removed.append(len(words) - len(left))
-            kept.append(b" ".join(left).decode())
-        yield pa.RecordBatch.from_arrays(
-            [ids, pa.array(counted, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
-            names=["doc_id", "n_words", "n_removed", "kept_text"],
-        )
+        yield _results(batch.column(0), batch.column(1), batch.column(2).to_pylist())
+
+
+def _words_of_filter(hashed: Column, bits: int) -> list[Column]:
+    """The two places of a hash in a Bloom filter of 2**bits bits."""
+    mask = F.lit((1 << bits) - 1)
+    return [hashed.bitwiseAND(mask), F.shiftrightunsigned(hashed, 32).bitwiseAND(mask)]
+
+
+def bloom_of(keys: DataFrame) -> tuple[int, np.ndarray]:
+    """log2 of the bits, and the bits as 64-bit words, of a filter over all of ``keys``."""
+    bits = min(max(10, (8 * keys.count()).bit_length()), BLOOM_BITS)
+    places = keys.select(F.explode(F.array(*_words_of_filter(F.xxhash64(*keys.columns), bits))).alias("p"))
+    words = places.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(p & 63 AS INT))")).alias("b"))
+    found = words.toArrow()         # 2**BLOOM_BITS / 64 rows at most
+    out = np.zeros(1 << (bits - 6), np.int64)
+    out[np.asarray(found.column("w"))] = np.asarray(found.column("b"))
+    return bits, out
+
+
+def _parted(bloom: Broadcast, within: bool):
+    """Rows (two places in the filter, any columns, text) that it may hold, or the results of all others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = bloom.value
+        for batch in batches:
+            places = [np.asarray(c) for c in batch.columns[:2]]
+            held = [(words[p >> 6] >> (p & 63)) & 1 for p in places]
+            rows = batch.select(batch.schema.names[2:]).filter(pa.array(((held[0] & held[1]) > 0) == within))
+            if within:
+                yield rows
+            else:
+                yield _results(rows.column("doc"), rows.column("text"), [None] * len(rows))
+
+    return run
 
 
 def removed_spans(docs: DataFrame) -> DataFrame:
     """doc, tag and runs [start, end, start, end, ...] of the words to remove; documents without any are left out.
 
-    ``docs``: doc (long, may be null), tag and text without nulls.
+    ``docs``: text without nulls, doc (long, may be null) and, where texts share a doc, a tag (long).
     """
     known = docs.filter(F.col("doc").isNotNull())
-    sketch = docs.sparkSession.sparkContext.broadcast(sketch_of(known))
-    candidates = known.select("text", "doc", "tag").mapInArrow(_candidates(sketch), "k1 long, k2 long, doc long, tag long, at int")
-    places = later(candidates).select("doc", "tag", "at")
-    ordered = places.repartition("doc", "tag").sortWithinPartitions("doc", "tag", "at")
-    return ordered.mapInArrow(_covered, "doc long, tag long, runs array<int>")
+    keys = [c for c in ("doc", "tag") if c in docs.columns]
+    sketch = sketch_of(known)
+    sent, hot = docs.sparkSession.sparkContext.broadcast(sketch), all(len(h) for h in sketch.hot)
+    del sketch
+    ordered = later(candidates(known, sent), hot).repartition(*keys).sortWithinPartitions(*keys, "at")
+    runs = stored(ordered.mapInArrow(_covered, ", ".join(f"{k} long" for k in keys) + ", runs array<int>"), "runs")
+    sent.unpersist()
+    return runs
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, n_removed and kept_text, the kept words joined by one space."""
     rows = docs.select(docs["doc_id"].cast("long").alias("doc"), F.coalesce(docs["text"], F.lit("")).alias("text"))
-    # rows that share a doc_id are told apart by their text; where none do, the tag is left empty
+    # rows that share a doc_id are told apart by their text
     shared = rows.groupBy("doc").count().filter(F.col("doc").isNotNull() & (F.col("count") > 1)).limit(1).count() > 0
-    rows = rows.withColumn("tag", F.xxhash64("text") if shared else F.lit(0).cast("long"))
+    keys = ["doc", "tag"] if shared else ["doc"]
+    if shared:
+        rows = rows.withColumn("tag", F.xxhash64("text"))
     runs = removed_spans(rows)
-    marked = rows.join(runs, ["doc", "tag"], "left").select(F.col("doc").alias("doc_id"), "text", "runs")
-    return marked.mapInArrow(_kept, "doc_id long, n_words long, n_removed long, kept_text string")
+    bits, words = bloom_of(runs.select(*keys))
+    bloom = docs.sparkSession.sparkContext.broadcast(words)
+    places = [p.alias(f"place_{i}") for i, p in enumerate(_words_of_filter(F.xxhash64(*keys), bits))]
+    asked = rows.select(*places, *keys, "text")
+    result = "doc_id long, n_words long, n_removed long, kept_text string"
+    marked = asked.mapInArrow(_parted(bloom, True), ", ".join(f"{k} long" for k in keys) + ", text string")
+    found = marked.join(runs, keys, "left").select("doc", "text", "runs").mapInArrow(_kept, result)
+    return found.unionByName(asked.mapInArrow(_parted(bloom, False), result))
 
 
 def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
