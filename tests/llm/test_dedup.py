@@ -52,6 +52,17 @@ def test_mixing_edges(edge_docs, edge_rows):
     assert key(got) == key(again)
 
 
+def test_mixing_when_a_null_source_is_as_full_as_another(spark):
+    """a (weight 1) is full; the null source (weight 3) ties with others in fullness, and comes last."""
+    rows = [(1, "w " * 100, "a"), (2, "w " * 1000, "b"), (3, "w " * 300, None)]
+    got = mixing.mixed(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert {r["source"]: r["target"] for r in got} == pytest.approx({"a": 1400 / 6, "b": 2800 / 6, None: 700.0})
+    sizes = {"a": 100, "b": 200, None: 300, "c": 5000}      # a, b and null: 3 * size / weight alike, by name a 1, b 2, c 3, null 1
+    rows = [(i, "w " * n, s) for i, (s, n) in enumerate(sizes.items())] + [(9, "w " * 100, "d")]
+    got = mixing.mixed(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert sum({r["source"]: r["target"] for r in got}.values()) == pytest.approx(5700)
+
+
 def test_fingerprints_compose():
     rng = np.random.default_rng(1)
     data = rng.integers(0, 256, 1000, dtype=np.uint8)

@@ -68,8 +68,9 @@ def targets(sources: DataFrame, epochs: int = EPOCHS) -> DataFrame:
     totals = weighed.agg(F.sum("source_size").alias("total"), F.sum("weight").alias("all_weights"))
     level = (F.col("total") - F.col("ceilings")) / (F.col("all_weights") - F.col("weights"))
     here = filled.crossJoin(F.broadcast(totals)).withColumn("level", level)     # one row of totals
-    # the level grows while sources are full and is right at the first that isn't
-    found = here.agg(F.min(F.when(F.col("level") <= F.col("fullness"), F.struct("fullness", "source", "level"))).alias("at"))
+    # the level grows while sources are full and is right at the first that isn't, in the order of the running sums
+    first = F.struct("fullness", F.col("source").isNull(), "source", "level")
+    found = here.agg(F.min(F.when(F.col("level") <= F.col("fullness"), first)).alias("at"))
     return here.drop("level").crossJoin(F.broadcast(found)).select(
         "source",
         "source_size",
