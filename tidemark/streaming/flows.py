@@ -5,14 +5,17 @@ exactly once."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import math
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState
 
 from tidemark.operators import dedup as batch_dedup
 from tidemark.operators import quarantine, rules, skew
+from tidemark.streaming.segments import KeyIndex, Segments, write_once
 
 Step = Callable[[DataFrame, int], Mapping[str, DataFrame]]
 
@@ -29,23 +32,6 @@ def _start(stream: DataFrame, checkpoint: str, write, wait: bool) -> StreamingQu
     return query
 
 
-def write_once(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Rows of one micro-batch as the folder ``batch_id=N``, unless it is there already.
-
-    They are written beside it under a hidden name, which no reader takes, and renamed when
-    complete. A micro-batch holds the same input whenever it is run again.
-    """
-    jvm = rows.sparkSession.sparkContext._jvm
-    as_path = jvm.org.apache.hadoop.fs.Path
-    target, draft = as_path(f"{path}/batch_id={batch_id}"), f"{path}/_draft-{batch_id}"
-    store = target.getFileSystem(rows.sparkSession.sparkContext._jsc.hadoopConfiguration())
-    if store.exists(target):
-        return
-    rows.write.mode("overwrite").parquet(draft)
-    if not store.rename(as_path(draft), target):
-        raise OSError(f"could not rename {draft}")
-
-
 def run_step(stream: DataFrame, step: Step, checkpoint: str, wait: bool = True) -> StreamingQuery:
     """Run ``step`` on every micro-batch; it returns {path: rows to write there}."""
 
@@ -115,12 +101,16 @@ def dedup(stream: DataFrame, keys: Sequence[str], watermark: tuple[str, str] | N
     return stream.withWatermark(*watermark).dropDuplicatesWithinWatermark(list(keys))
 
 
-def unseen(spark: SparkSession, rows: DataFrame, keys: Sequence[str], path: str, batch_id: int) -> DataFrame:
-    """Rows whose key no earlier batch has written to ``path``. ``rows`` has one row per key."""
-    if batch_id == 0:
-        return rows
-    seen = spark.read.parquet(path).filter(F.col("batch_id") < batch_id).select(*keys)
-    return rows.join(seen, [rows[k].eqNullSafe(seen[k]) for k in keys], "left_anti")
+def unseen(
+    spark: SparkSession, rows: DataFrame, keys: Sequence[str], path: str | Sequence[str], batch_id: int
+) -> DataFrame:
+    """Rows whose key no earlier batch has written to ``path``. ``rows`` has one row per key.
+
+    A key index beside the table answers, so a micro-batch reads filters and the few buckets
+    that may hold its keys, not the keys of all batches. With several paths, their batches of
+    one number make up one batch.
+    """
+    return KeyIndex(spark, (path,) if isinstance(path, str) else tuple(path), tuple(keys)).unseen(rows, batch_id)
 
 
 def dedup_flow(
@@ -135,7 +125,7 @@ def dedup_flow(
     """First row per key over the whole stream, without an ever-growing state store.
 
     Copies inside a micro-batch go first, most of them before the shuffle; what is left is one
-    row per key and anti-joins with the keys that earlier batches wrote.
+    row per key and anti-joins with those keys that earlier batches may have written.
     """
 
     def step(batch: DataFrame, batch_id: int) -> dict[str, DataFrame]:
@@ -145,22 +135,74 @@ def dedup_flow(
     return run_step(stream, step, checkpoint, wait)
 
 
+def upsert_store(
+    spark: SparkSession, path: str, keys: Sequence[str], sequence: Sequence[str], fan: int = 4
+) -> Segments:
+    """Winners per key in segments; see ``Segments``."""
+    return Segments(spark, path, lambda rows: batch_dedup.latest_by_key(rows, keys, sequence), fan)
+
+
 def upsert_flow(
     stream: DataFrame, keys: Sequence[str], sequence: Sequence[str], path: str, checkpoint: str, wait: bool = True
 ) -> StreamingQuery:
     """Keyed upsert: every micro-batch writes its winners, ``read_upsert`` settles them.
 
-    The order in which rows arrive does not matter, only their sequence does.
+    The order in which rows arrive does not matter, only their sequence does. Segments are
+    merged on the way, so a read meets a key once per live segment, not once per batch.
     """
-    return run_flow(
-        stream, path, checkpoint, lambda batch: batch_dedup.latest_by_key(batch, keys, sequence), wait
-    )
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        upsert_store(batch.sparkSession, path, keys, sequence).add(batch, batch_id)
+
+    return _start(stream, checkpoint, write, wait)
 
 
 def read_upsert(
     spark: SparkSession, path: str, keys: Sequence[str], sequence: Sequence[str], hide: Sequence[str] = ()
 ) -> DataFrame:
-    return batch_dedup.latest_by_key(read_sink(spark, path), keys, sequence, hide)
+    rows = upsert_store(spark, path, keys, sequence).read()
+    return (read_sink(spark, path) if rows is None else rows).drop(*hide)
+
+
+def state_upsert(stream: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> DataFrame:
+    """Upsert as keyed state: a row comes out when it beats the key's winner so far.
+
+    The state store holds one row per key. Followers take the last row they saw of a key, which
+    is its winner. For tables that outgrow a state store, ``upsert_flow`` keeps them in folders.
+    """
+    names, order = stream.columns, [*sequence, *[c for c in stream.columns if c not in keys and c not in sequence]]
+
+    def rank(row: tuple) -> tuple:
+        by_name = dict(zip(names, row, strict=True))
+        return tuple((not _missing(v), None if _missing(v) else v) for v in (by_name[c] for c in order))
+
+    def step(_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        best = tuple(state.get) if state.exists else None
+        before = best
+        for frame in frames:
+            for row in frame.itertuples(index=False, name=None):
+                if best is None or _beats(rank(row), rank(best)):
+                    best = row
+        if best != before:
+            best = tuple(None if _missing(v) else v.to_pydatetime() if isinstance(v, pd.Timestamp) else v for v in best)
+            state.update(best)
+            yield pd.DataFrame([best], columns=names)
+
+    return stream.groupBy(*keys).applyInPandasWithState(step, stream.schema, stream.schema, "append", "NoTimeout")
+
+
+def _missing(value: object) -> bool:
+    return value is None or value is pd.NaT or (isinstance(value, float) and math.isnan(value))
+
+
+def _beats(a: tuple, b: tuple) -> bool:
+    """Nulls come first, as in ``latest_by_key``."""
+    for (full_a, x), (full_b, y) in zip(a, b, strict=True):
+        if full_a != full_b:
+            return full_a
+        if full_a and x != y:
+            return x > y
+    return False
 
 
 def compact_upsert(
