@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,10 +68,15 @@ def day_buckets(df: DataFrame) -> DataFrame:
     )
 
 
-def enrich_claims(claims_df: DataFrame, policy_df: DataFrame, sketch_of: DataFrame | None = None) -> DataFrame:
-    """Add the bind date and the day buckets. ``policy_df`` holds one row per policy."""
-    dates = policy_df.select(F.col("policy_number").alias("PolicyID"), "policy_bind_date")
-    return day_buckets(skew.left_join_unique(claims_df, dates, ["PolicyID"], sketch_of))
+def enrich_claims(
+    claims_df: DataFrame, policy_df: DataFrame, sketch_of: DataFrame | None = None, carry: Sequence[str] = ()
+) -> DataFrame:
+    """Add the bind date and the day buckets. ``policy_df`` holds one row per policy.
+
+    ``carry`` names policy columns that come along, so that later steps need no second join.
+    """
+    links = policy_df.select(F.col("policy_number").alias("PolicyID"), "policy_bind_date", *carry)
+    return day_buckets(skew.left_join_unique(claims_df, links, ["PolicyID"], sketch_of))
 
 
 def sales(raw: DataFrame) -> DataFrame:
@@ -136,11 +143,13 @@ def policy_silver(raw: DataFrame, order: str = "valid_first") -> DataFrame:
     return valid_unique(policy(raw), presets.POLICY_RULES, ["policy_number"], order)
 
 
-def claims_silver(raw: DataFrame, policy_df: DataFrame, order: str = "valid_first") -> DataFrame:
+def claims_silver(
+    raw: DataFrame, policy_df: DataFrame, order: str = "valid_first", carry: Sequence[str] = ()
+) -> DataFrame:
     """Valid claims, one per ClaimID, with bind date. The rules use claim columns only, so
     bad rows and copies go before the join. The cleaned key alone serves as the hot-key sketch."""
     good = valid_unique(claims(raw), presets.CLAIM_RULES, ["ClaimID"], order)
-    return enrich_claims(good, policy_df, sketch_of=claims(raw).select("PolicyID"))
+    return enrich_claims(good, policy_df, sketch_of=claims(raw).select("PolicyID"), carry=carry)
 
 
 def sales_silver(raw: DataFrame, order: str = "valid_first") -> DataFrame:

@@ -8,12 +8,25 @@ from pyspark.sql import functions as F
 from tidemark.operators import skew
 
 
-def fact_claims(claims: DataFrame, policy: DataFrame, sketch_of: DataFrame | None = None) -> DataFrame:
-    """Claims with their policy's keys and real dates. Claims without a policy stay, with NULLs."""
-    links = policy.select(
-        F.col("policy_number").alias("PolicyID"), "customer_id", "car_id", F.col("policy_bind_date").alias("_bound")
-    )
-    df = skew.left_join_unique(claims, links, ["PolicyID"], sketch_of)
+#: What a claim takes from its policy, besides the bind date.
+LINKS = ("customer_id", "car_id", "policy_csl")
+
+
+def fact_claims(
+    claims: DataFrame, policy: DataFrame | None = None, sketch_of: DataFrame | None = None
+) -> DataFrame:
+    """Claims with their policy's keys and real dates. Claims without a policy stay, with NULLs.
+
+    Claims that carry ``LINKS`` from their enrichment need no ``policy``; their facts carry the
+    policy type as well.
+    """
+    if policy is None:
+        df, more = claims.withColumn("_bound", F.col("policy_bind_date")), [F.col("policy_csl").alias("policy_type")]
+    else:
+        links = policy.select(
+            F.col("policy_number").alias("PolicyID"), "customer_id", "car_id", F.col("policy_bind_date").alias("_bound")
+        )
+        df, more = skew.left_join_unique(claims, links, ["PolicyID"], sketch_of), []
 
     def on_day(bucket: str) -> Column:
         return F.date_add(F.col("_bound").cast("date"), F.col(bucket))
@@ -40,6 +53,7 @@ def fact_claims(claims: DataFrame, policy: DataFrame, sketch_of: DataFrame | Non
         "property_damage",
         "police_report_available",
         F.date_diff(processed, logged).alias("processing_time_days"),
+        *more,
     )
 
 

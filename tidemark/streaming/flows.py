@@ -7,15 +7,17 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState
 
 from tidemark.operators import dedup as batch_dedup
 from tidemark.operators import quarantine, rules, skew
-from tidemark.streaming.segments import KeyIndex, Segments, write_once
+from tidemark.streaming.segments import KeyIndex, Segments, folders, write_once
 
 Step = Callable[[DataFrame, int], Mapping[str, DataFrame]]
 
@@ -57,12 +59,17 @@ def read_sink(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("batch_id")
 
 
+def has_rows(spark: SparkSession, path: str) -> bool:
+    """Whether a flow has written to ``path`` yet."""
+    return any("=" in name for name in folders(spark, path))
+
+
 def stream_sink(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """A table that another flow writes, as a stream."""
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
-    return reader.parquet(path).drop("batch_id")
+    return reader.parquet(path).drop("batch_id", "flow")
 
 
 def split_flow(
@@ -212,8 +219,28 @@ def compact_upsert(
     read_upsert(spark, path, keys, sequence).write.mode("overwrite").parquet(f"{target}/batch_id=0")
 
 
+def aggregate_flow(
+    stream: DataFrame,
+    parts_of: Callable[[DataFrame], DataFrame],
+    merge: Callable[[DataFrame], DataFrame],
+    path: str,
+    checkpoint: str,
+    fan: int = 4,
+    wait: bool = True,
+) -> StreamingQuery:
+    """Incremental aggregate: each micro-batch adds its parts, and segments of parts merge.
+
+    A refresh reads the rows that are new; a read of the result, a row per key and live segment.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        Segments(batch.sparkSession, path, merge, fan).add(parts_of(batch), batch_id)
+
+    return _start(stream, checkpoint, write, wait)
+
+
 def enrich(stream: DataFrame, static: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Stream-static left join. A static row that comes late leaves NULLs for good."""
+    """Stream-static left join. A static row that comes late leaves NULLs for good; see ``late_flow``."""
     return stream.join(static, list(on), "left")
 
 
@@ -227,6 +254,58 @@ def enrich_flow(
     return run_flow(stream, path, checkpoint, lambda batch: skew.left_join_unique(batch, static, on), wait)
 
 
+@dataclass(frozen=True)
+class Waiting:
+    """Rows whose partner hasn't come yet, and those that a late partner has completed since.
+
+    ``waiting`` is a folder of batches, ``repaired`` one that ``late_flow`` writes; ``keys``
+    tell rows apart. As segments merge, rows that were completed drop out of them.
+    """
+
+    spark: SparkSession
+    waiting: str
+    repaired: str
+    keys: tuple[str, ...]
+
+    def _still(self, rows: DataFrame) -> DataFrame:
+        if not has_rows(self.spark, self.repaired):
+            return rows
+        done = read_sink(self.spark, self.repaired).select(*[F.col(k).alias(f"_done_{k}") for k in self.keys])
+        return rows.join(done, [rows[k].eqNullSafe(done[f"_done_{k}"]) for k in self.keys], "left_anti")
+
+    def add(self, rows: DataFrame, batch_id: int) -> None:
+        write_once(rows, self.waiting, batch_id)
+        self._segments().compact(batch_id)
+
+    def _segments(self) -> Segments:
+        return Segments(self.spark, self.waiting, self._still)
+
+    def open(self) -> DataFrame | None:
+        """What still waits; None if nothing ever did."""
+        return self._segments().read()
+
+
+def late_flow(
+    partners: DataFrame,
+    waiting: Waiting,
+    complete: Callable[[DataFrame, DataFrame], DataFrame],
+    checkpoint: str,
+    wait: bool = True,
+) -> StreamingQuery:
+    """Complete waiting rows as their partners come in.
+
+    ``complete(open rows, new partners)`` gives the rows that now have one; each is written once.
+    Run it on every batch of partners before the flow that looks partners up runs again: then a
+    row either finds its partner or waits in time for it.
+    """
+
+    def step(batch: DataFrame, _: int) -> dict[str, DataFrame]:
+        rows = waiting.open()
+        return {} if rows is None else {waiting.repaired: complete(rows, batch)}
+
+    return run_step(partners, step, checkpoint, wait)
+
+
 def multi_flow(
     flows: Mapping[str, DataFrame], root: str, checkpoint_root: str, wait: bool = True
 ) -> list[StreamingQuery]:

@@ -10,10 +10,12 @@ from __future__ import annotations
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import presets
-from tidemark.operators import dedup, quarantine
+from tidemark.operators import dedup, quarantine, rules
+from tidemark.operators.partials import Partials
 from tidemark.plans import marts, silver, star
 from tidemark.sources import ingest, tables
 from tidemark.streaming import flows
@@ -91,10 +93,7 @@ def _silver_entity(spark: SparkSession, root: str, name: str, max_files: int) ->
     path, key = f"{root}/silver/{name}", UNIQUE[name]
 
     def finish(good: DataFrame, batch_id: int) -> DataFrame:
-        fresh = flows.unseen(spark, dedup.dedup_first(good, [key]), [key], path, batch_id)
-        if name != "claims":
-            return fresh
-        return silver.enrich_claims(fresh, flows.read_sink(spark, f"{root}/silver/policy"))
+        return flows.unseen(spark, dedup.dedup_first(good, [key]), [key], path, batch_id)
 
     flows.split_flow(
         flows.stream_sink(spark, f"{root}/bronze/{name}", max_files), clean, row_rules, spec, path,
@@ -102,10 +101,56 @@ def _silver_entity(spark: SparkSession, root: str, name: str, max_files: int) ->
     )
 
 
+def waiting_claims(spark: SparkSession, root: str) -> flows.Waiting:
+    """Claims without a policy so far."""
+    return flows.Waiting(spark, f"{root}/silver/claims_waiting", f"{root}/silver/claims/flow=repaired", ("ClaimID",))
+
+
+def _linked(claims: DataFrame, policy: DataFrame) -> DataFrame:
+    """Claims with bind date and links; ``_found`` is set where there is a policy."""
+    marked = policy.withColumn("_found", F.lit(True))
+    return silver.enrich_claims(claims, marked, carry=[*star.LINKS, "_found"])
+
+
+def _silver_claims(spark: SparkSession, root: str, max_files: int) -> None:
+    """New valid claims: with their policy to ``silver/claims``, without one to those that wait."""
+    clean, row_rules, spec = CLEAN["claims"]
+    settled, waiting = f"{root}/silver/claims/flow=fresh", waiting_claims(spark, root)
+
+    def step(batch: DataFrame, batch_id: int) -> dict[str, DataFrame]:
+        rows = clean(batch).persist()
+        good = dedup.dedup_first(rules.keep_valid(rows, row_rules), ["ClaimID"])
+        fresh = flows.unseen(spark, good, ["ClaimID"], (settled, waiting.waiting), batch_id)
+        linked = _linked(fresh, flows.read_sink(spark, f"{root}/silver/policy")).persist()
+        try:
+            waiting.add(linked.filter("_found IS NULL").select(*rows.columns), batch_id)
+            flows.write_once(linked.filter("_found").drop("_found"), settled, batch_id)
+            flows.write_once(quarantine.issue_log(rows, row_rules, spec), f"{root}/dq_issues/flow=claims", batch_id)
+        finally:
+            linked.unpersist()
+            rows.unpersist()
+        return {}
+
+    flows.run_step(flows.stream_sink(spark, f"{root}/bronze/claims", max_files), step, _checkpoint(root, "silver-claims"))
+
+
+def _repair_claims(spark: SparkSession, root: str, max_files: int) -> None:
+    """Policies that came in after their claims complete them."""
+
+    def complete(claims: DataFrame, policy: DataFrame) -> DataFrame:
+        named = policy.select(F.col("policy_number").alias("PolicyID"))
+        return _linked(claims.join(named, "PolicyID", "left_semi"), policy).drop("_found")
+
+    policies = flows.stream_sink(spark, f"{root}/silver/policy", max_files)
+    flows.late_flow(policies, waiting_claims(spark, root), complete, _checkpoint(root, "repair-claims"))
+
+
 def to_silver(spark: SparkSession, root: str, max_files: int) -> None:
     """Clean, check, deduplicate; bad rows of all entities go to one issue log."""
-    for name in CLEAN:      # policy first: claims read it
+    for name in ("policy", "sales", "cars"):
         _silver_entity(spark, root, name, max_files)
+    _repair_claims(spark, root, max_files)      # after the policies, and before claims read them
+    _silver_claims(spark, root, max_files)
     source = silver.customers(flows.stream_sink(spark, f"{root}/bronze/customers", max_files))
     flows.upsert_flow(
         source, ["CustomerID"], CUSTOMER_SEQUENCE, f"{root}/silver/customers", _checkpoint(root, "silver-customers")
@@ -116,6 +161,21 @@ def to_silver(spark: SparkSession, root: str, max_files: int) -> None:
     )
 
 
+def unlinked_claims(spark: SparkSession, root: str) -> DataFrame | None:
+    """Claims that still wait, with NULL in place of what their policy would give."""
+    rows = waiting_claims(spark, root).open()
+    if rows is None:
+        return None
+    links = {f.name: F.lit(None).cast(f.dataType) for f in flows.read_sink(spark, f"{root}/silver/policy").schema if f.name in ("policy_bind_date", *star.LINKS)}
+    return silver.day_buckets(rows.withColumns(links))
+
+
+def claims(spark: SparkSession, root: str) -> DataFrame:
+    """All valid claims, each once."""
+    settled, waiting = flows.read_sink(spark, f"{root}/silver/claims").drop("flow"), unlinked_claims(spark, root)
+    return settled if waiting is None else settled.unionByName(waiting)
+
+
 def issues(spark: SparkSession, root: str) -> DataFrame:
     return flows.read_sink(spark, f"{root}/dq_issues").drop("flow")
 
@@ -131,11 +191,8 @@ def to_gold(
 ) -> None:
     """Facts and dimensions follow silver as streams. The customer dimension is rebuilt: its
     source is updated in place, which an append-only stream cannot follow."""
-    def policy() -> DataFrame:
-        return flows.read_sink(spark, f"{root}/silver/policy")
-
     steps = {
-        "fact_claims": ("claims", lambda rows: star.fact_claims(rows, policy())),
+        "fact_claims": ("claims", star.fact_claims),        # completed claims come as rows of their own
         "dim_policy": ("policy", star.dim_policy),
         "dim_car": ("cars", star.dim_car),
         "fact_sales": ("sales", lambda rows: star.fact_sales(rows, as_of)),
@@ -146,19 +203,28 @@ def to_gold(
     tables.refresh(star.dim_customer(customers(spark, root)), f"{root}/gold/dim_customer")
 
 
-def to_marts(spark: SparkSession, root: str) -> None:
-    """Recompute the aggregates from gold."""
+def to_marts(spark: SparkSession, root: str, max_files: int) -> None:
+    """Add what is new in gold to the aggregates' parts, and settle the aggregates from the parts.
+
+    The parts hold a row per customer and policy type, and per region and car, so neither
+    step reads the facts again. Claims that still wait are counted beside them.
+    """
     def gold(name: str) -> DataFrame:
         return flows.read_sink(spark, f"{root}/gold/{name}")
 
+    def parts(name: str, source: str, parts_of, how: Partials) -> DataFrame:
+        path = f"{root}/gold/parts_{name}"
+        facts = flows.stream_sink(spark, f"{root}/gold/{source}", max_files)
+        flows.aggregate_flow(facts, parts_of, how.merge, path, _checkpoint(root, f"parts-{name}"))
+        return how.table(spark, path).read()
+
     tables.refresh(marts.customer_identity(gold("dim_customer")), f"{root}/gold/agg_customer_identity")
-    tables.refresh(
-        marts.claim_performance(gold("fact_claims"), gold("dim_customer"), gold("dim_policy")),
-        f"{root}/gold/agg_claim_performance",
-    )
-    tables.refresh(
-        marts.inventory_status(gold("fact_sales"), gold("dim_car")), f"{root}/gold/agg_inventory_status"
-    )
+    per_claim, waiting = parts("claims", "fact_claims", marts.claim_parts, marts.CLAIM_PARTS), unlinked_claims(spark, root)
+    if waiting is not None:
+        per_claim = marts.CLAIM_PARTS.merge(per_claim.unionByName(marts.claim_parts(star.fact_claims(waiting))))
+    tables.refresh(marts.claim_performance_of(per_claim, gold("dim_customer")), f"{root}/gold/agg_claim_performance")
+    per_car = parts("stock", "fact_sales", marts.stock_parts, marts.STOCK_PARTS)
+    tables.refresh(marts.inventory_status_of(per_car, gold("dim_car")), f"{root}/gold/agg_inventory_status")
 
 
 def run(
@@ -168,4 +234,4 @@ def run(
     bronze(spark, raw, root, max_files)
     to_silver(spark, root, max_files)
     to_gold(spark, root, max_files, as_of)
-    to_marts(spark, root)
+    to_marts(spark, root, max_files)

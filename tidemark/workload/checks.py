@@ -725,7 +725,14 @@ CHECKS: dict[str, str] = {
     "stream_static_join": "SELECT event_id, user_id, c_mktsegment AS segment FROM events LEFT JOIN customer ON user_id = c_custkey",
     "stream_upsert": "SELECT user_id, event_id, event_type, value FROM events "
     "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",
+    "stream_dedup_batches": "SELECT DISTINCT user_id, event_type, CAST(1 AS BIGINT) AS rows FROM events",
+    "stream_aggregate": "SELECT user_id, count(event_id) AS events, count(*) FILTER (event_type = 'purchase') AS purchases, "
+    "CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS spent, min(event_id) AS first_event, max(event_id) AS last_event, "
+    "round(sum(CAST(round(value * 100) AS BIGINT)) / count(event_id), 6) AS mean_spent FROM events GROUP BY user_id",
     "stream_multi_flow": "SELECT event_type AS flow, event_type, count(*) AS events FROM events GROUP BY event_type",
     "stream_ingest": "SELECT s_suppkey, s_name, s_acctbal, true AS has_lineage FROM supplier",
 }
 CHECKS["pipeline_stream"] = CHECKS["claim_performance"]
+CHECKS["late_policies"] = CHECKS["claim_performance"]
+for _name in ("stream_upsert_batches", "stream_state_upsert"):
+    CHECKS[_name] = CHECKS["stream_upsert"]

@@ -12,6 +12,7 @@ from tidemark import presets
 from tidemark.functions import columns as c
 from tidemark.functions import prompts, text, vectors
 from tidemark.operators import dedup, infer, quarantine, retrieval, risk, rules, skew
+from tidemark.operators.partials import Partials
 from tidemark.operators.specs import IssueSpec
 from tidemark.plans import kpi, marts, silver, star
 from tidemark.session import shared_dir
@@ -335,7 +336,8 @@ def upsert_latest(spark, d):
 
 @planned
 def _facts(spark, d):
-    return star.fact_claims(_claims(spark, d), _policy(spark, d), sketch_of=_claim_keys(spark, d))
+    """Claims meet their policies once: bind date, keys and policy type come along."""
+    return star.fact_claims(silver.claims_silver(raw(spark, d, "claims"), _policy(spark, d), carry=star.LINKS))
 
 
 @planned
@@ -360,7 +362,7 @@ def _fact_sales(spark, d):
 
 @query
 def fact_claims(spark, d):
-    df = _facts(spark, d)
+    df = _facts(spark, d).drop("policy_type")
     dates = ("incident_date", "claim_logged_on", "claim_processed_on")
     return df.withColumns(
         {
@@ -399,7 +401,7 @@ def customer_identity(spark, d):
 
 @query
 def claim_performance(spark, d):
-    return marts.claim_performance(_facts(spark, d), _dim_customer(spark, d), _dim_policy(spark, d))
+    return marts.claim_performance(_facts(spark, d), _dim_customer(spark, d))
 
 
 @query
@@ -923,6 +925,61 @@ def stream_upsert(spark, d):
     return flows.read_upsert(spark, path, ["user_id"], ["ts", "event_id"], hide=["ts"])
 
 
+def _in_batches(spark, d, purpose: str, batches: int = 6):
+    """The events in several files, one micro-batch each."""
+    path = f"{shared_dir(spark, purpose)}/events"
+    tables.read_table(spark, d, "events").repartition(batches, "event_id").write.parquet(path)
+    return ingest.table_stream(spark, path, max_files=1)
+
+
+@query
+def stream_dedup_batches(spark, d):
+    """Keys that come again in later micro-batches are found by the key index."""
+    path, checkpoint = _places(spark, "stream-dedup-batches")
+    flows.dedup_flow(spark, _in_batches(spark, d, "dedup"), ["user_id", "event_type"], path, checkpoint, ["ts", "event_id"])
+    rows = flows.read_sink(spark, path)
+    return rows.groupBy("user_id", "event_type").agg(F.count("*").alias("rows"))
+
+
+@query
+def stream_upsert_batches(spark, d):
+    """The upsert store after several micro-batches and a compaction."""
+    path, checkpoint = _places(spark, "stream-upsert-batches")
+    rows = _in_batches(spark, d, "upsert").select("user_id", "ts", "event_id", "event_type", "value")
+    flows.upsert_flow(rows, ["user_id"], ["ts", "event_id"], path, checkpoint)
+    return flows.read_upsert(spark, path, ["user_id"], ["ts", "event_id"], hide=["ts"])
+
+
+@query
+def stream_state_upsert(spark, d):
+    """Upsert as keyed state: the last row that came out for a user is the user's winner."""
+    path, checkpoint = _places(spark, "stream-state-upsert")
+    rows = _in_batches(spark, d, "state").select("user_id", "ts", "event_id", "event_type", "value")
+    flows.run_flow(flows.state_upsert(rows, ["user_id"], ["ts", "event_id"]), path, checkpoint)
+    winners = spark.read.parquet(path).groupBy("user_id").agg(F.max_by(F.struct("event_id", "event_type", "value"), "batch_id").alias("r"))
+    return winners.select("user_id", "r.event_id", "r.event_type", "r.value")
+
+
+EVENT_PARTS = Partials(
+    ("user_id",),
+    {
+        "events": ("count", "event_id"),
+        "purchases": ("count_if", "event_type = 'purchase'"),
+        "spent": ("sum", "CAST(round(value * 100) AS BIGINT)"),
+        "first_event": ("min", "event_id"),
+        "last_event": ("max", "event_id"),
+    },
+)
+
+
+@query
+def stream_aggregate(spark, d):
+    """Parts of each micro-batch, merged in segments and at the read; a mean is made last."""
+    path, checkpoint = _places(spark, "stream-aggregate")
+    flows.aggregate_flow(_in_batches(spark, d, "aggregate"), EVENT_PARTS.of, EVENT_PARTS.merge, path, checkpoint)
+    return EVENT_PARTS.table(spark, path).read().withColumn("mean_spent", F.round(F.col("spent") / F.col("events"), 6))
+
+
 @query
 def stream_multi_flow(spark, d):
     path, checkpoint = _places(spark, "stream-flows")
@@ -964,6 +1021,24 @@ def _write_raw(spark, d) -> str:
     return root
 
 
+@query
+def late_policies(spark, d):
+    """Claims first, then the policies in two runs: the marts after each run keep pace with what is known."""
+    source, root = _write_raw(spark, d), shared_dir(spark, "late")
+    policy, orders = raw(spark, d, "policy").drop("_source_file", "_loaded_at"), shared_dir(spark, "late-policy")
+    odd = F.substring(F.trim("policy_number"), -1, 1).isin(*"13579")
+    for name in (*pipeline.FIELDS, "customers"):
+        if name != "policy":
+            pipeline.bronze_entity(spark, f"{source}/{name}", root, name, "part-*", MAX_FILES)
+    for n, rows in enumerate((policy.limit(0), policy.filter(odd), policy.filter(~F.coalesce(odd, F.lit(False))))):
+        rows.write.option("header", "true").csv(f"{orders}/{n}")
+        pipeline.bronze_entity(spark, orders, root, "policy", "part-*", MAX_FILES)
+        pipeline.to_silver(spark, root, MAX_FILES)
+        pipeline.to_gold(spark, root, MAX_FILES, F.lit(AS_OF).cast("date"))
+        pipeline.to_marts(spark, root, MAX_FILES)
+    return spark.read.parquet(f"{root}/gold/agg_claim_performance")
+
+
 @query
 def pipeline_stream(spark, d):
     """All layers as streams from files, up to the claim performance mart."""
@@ -973,5 +1048,5 @@ def pipeline_stream(spark, d):
         pipeline.bronze_entity(spark, f"{source}/{name}", root, name, "part-*", MAX_FILES)
     pipeline.to_silver(spark, root, MAX_FILES)
     pipeline.to_gold(spark, root, MAX_FILES, F.lit(AS_OF).cast("date"))
-    pipeline.to_marts(spark, root)
+    pipeline.to_marts(spark, root, MAX_FILES)
     return spark.read.parquet(f"{root}/gold/agg_claim_performance")
