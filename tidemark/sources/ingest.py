@@ -111,7 +111,11 @@ def _distinct(names: Sequence[str]) -> list[str]:
     return out
 
 
-def _by_header(spark: SparkSession, header: str, files: Sequence[str], aliases: Mapping[str, Sequence[str]]) -> DataFrame:
+def read_by_header(spark: SparkSession, header: str, files: Sequence[str]) -> tuple[DataFrame, dict[str, str]]:
+    """Files of one header as text columns, and the column of each name in the header.
+
+    ``_line`` holds a line of more or fewer fields than its header.
+    """
     names = _distinct(next(csv.reader([header])))
     cols = [f"_c{i}" for i in range(len(names))]
     schema = T.StructType([*(T.StructField(n, T.StringType()) for n in cols), T.StructField("_line", T.StringType())])
@@ -125,7 +129,12 @@ def _by_header(spark: SparkSession, header: str, files: Sequence[str], aliases:
     # brackets and braces in a path would be read as a glob
     escaped = [re.sub(r"([\[\]{}*?\\])", r"\\\1", f) for f in files]
     rows = with_lineage(spark.read.schema(schema).options(**options).csv(escaped))
-    place = dict(zip(names, cols, strict=True))
+    return rows, dict(zip(names, cols, strict=True))
+
+
+def _by_header(spark: SparkSession, header: str, files: Sequence[str], aliases: Mapping[str, Sequence[str]]) -> DataFrame:
+    rows, place = read_by_header(spark, header, files)
+    names = list(place)
     known = {n for alias in aliases.values() for n in alias}
     wanted = [
         F.coalesce(*[F.col(place[n]) for n in alias if n in place], F.lit(None).cast("string")).alias(target)

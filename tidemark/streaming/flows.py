@@ -55,6 +55,43 @@ def run_flow(
     return run_step(stream, lambda batch, _: {path: transform(batch)}, checkpoint, wait)
 
 
+def watched_flow(
+    stream: DataFrame,
+    row_rules: rules.Rules,
+    path: str,
+    counts: str,
+    checkpoint: str,
+    transform: Callable[[DataFrame], DataFrame] = lambda df: df,
+    wait: bool = True,
+) -> StreamingQuery:
+    """Warn-only rules on a stream: all rows go to ``path``, and each micro-batch's counts to ``counts``.
+
+    The counts (rule, rows_seen, violations) are taken as the rows are written; only a batch
+    whose rows were written by a run that then failed is measured again. ``read_counts`` adds
+    them up.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = transform(batch)
+        if f"batch_id={batch_id}" in folders(batch.sparkSession, path):
+            found = rules.measure(rows, row_rules)
+        else:
+            observed, seen = rules.observe(rows, row_rules, f"rules-{batch_id}")
+            write_once(observed, path, batch_id)
+            total = seen.get
+            found = batch.sparkSession.createDataFrame(
+                [(n, total["rows_seen"], total[n]) for n in row_rules], "rule string, rows_seen long, violations long"
+            )
+        write_once(found, counts, batch_id)
+
+    return _start(stream, checkpoint, write, wait)
+
+
+def read_counts(spark: SparkSession, counts: str) -> DataFrame:
+    sums = [F.sum(n).alias(n) for n in ("rows_seen", "violations")]
+    return spark.read.parquet(counts).groupBy("rule").agg(*sums)
+
+
 def read_sink(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("batch_id")
 

@@ -736,3 +736,14 @@ CHECKS["pipeline_stream"] = CHECKS["claim_performance"]
 CHECKS["late_policies"] = CHECKS["claim_performance"]
 for _name in ("stream_upsert_batches", "stream_state_upsert"):
     CHECKS[_name] = CHECKS["stream_upsert"]
+CHECKS["infer_kept"] = CHECKS["infer_status"]
+CHECKS["evolving_csv"] = CHECKS["drifting_csv"]
+CHECKS["schema_versions"] = (
+    "SELECT * FROM (VALUES ('CustomerID', CAST(0 AS BIGINT), 'int'), ('Region', 0, 'string'), ('Balance', 0, 'double'), "
+    "('Tier', 2, 'int')) AS t(name, first_batch, type)"
+)
+CHECKS["stream_observed_counts"] = (
+    "SELECT r.rule, count(*) AS rows_seen, count(*) FILTER (CASE r.rule WHEN 'value_floor' THEN coalesce(value < 5, true) "
+    "ELSE coalesce(event_type NOT IN ('view', 'click', 'purchase', 'signup'), true) END) AS violations, count(*) AS rows_kept "
+    "FROM events, (VALUES ('event_type_listed'), ('value_floor')) AS r(rule) GROUP BY r.rule"
+)

@@ -16,7 +16,7 @@ from tidemark.operators.partials import Partials
 from tidemark.operators.specs import IssueSpec
 from tidemark.plans import kpi, marts, silver, star
 from tidemark.session import shared_dir
-from tidemark.sources import ingest, tables
+from tidemark.sources import ingest, schema_log, tables
 from tidemark.streaming import flows, pipeline
 from tidemark.workload import replies
 from tidemark.workload.raw import forget_plans, planned, raw
@@ -729,6 +729,16 @@ def infer_status(spark, d):
     return infer.map_text(asked, "prompt", replies.by_role).drop("prompt")
 
 
+@query
+def infer_kept(spark, d):
+    """Two runs over one store of answers: the first on some of the rows, the second on all of them."""
+    talk = tables.read_table(spark, d, "conversations")
+    asked = talk.select("conv_id", "turn", F.concat_ws(": ", "role", "text").alias("prompt"))
+    fn, path = replies.InBatches(replies.by_role), shared_dir(spark, "answers")
+    infer.map_text_kept(asked.filter("turn > 0"), "prompt", fn, path, slices=2)
+    return infer.map_text_kept(asked, "prompt", fn, path, slices=2).drop("prompt")
+
+
 @query
 def infer_all_statuses(spark, d):
     talk = tables.read_table(spark, d, "conversations").select("conv_id", "turn", "text")
@@ -783,6 +793,36 @@ def drifting_csv(spark, d):
     )
 
 
+def _evolved(spark, d) -> str:
+    """Files of three headers arrive one by one; the second adds no column, the last adds Tier."""
+    root = shared_dir(spark, "evolving")
+    customers = tables.read_table(spark, d, "customer")
+    columns = ("c_custkey", "c_mktsegment", "c_acctbal", "c_nationkey")
+    for n, (segments, header) in enumerate(SEGMENT_HEADERS):
+        rows = customers.filter(F.col("c_mktsegment").isin(*segments))
+        named = rows.select(*[F.col(old).alias(new) for old, new in zip(columns, header)])
+        named.coalesce(1).write.option("header", "true").csv(f"{root}/in/customers_{n}")
+        schema_log.csv_flow(spark, f"{root}/in", "*.csv", f"{root}/table", f"{root}/checkpoint", 1, DRIFT_ALIASES)
+    return f"{root}/table"
+
+
+@query
+def evolving_csv(spark, d):
+    """A column that a later header brings is a column, NULL in older rows, with its own type."""
+    rows = schema_log.read(spark, _evolved(spark, d))
+    return rows.select(
+        F.col("CustomerID").cast("bigint").alias("customer_id"), F.col("Region").alias("region"),
+        F.col("Balance").alias("balance"), F.col("Tier").alias("tier"),
+    )
+
+
+@query
+def schema_versions(spark, d):
+    """What the log holds: the types were found while the rows were written."""
+    columns = schema_log.SchemaLog(spark, _evolved(spark, d)).columns()
+    return tables.typed_rows(spark, columns, "name string, first_batch long, type string")
+
+
 @query
 def csv_groups(spark, d):
     root = _write_drifting(spark, d)
@@ -932,6 +972,16 @@ def _in_batches(spark, d, purpose: str, batches: int = 6):
     return ingest.table_stream(spark, path, max_files=1)
 
 
+@query
+def stream_observed_counts(spark, d):
+    """Warn-only rules on a stream of several micro-batches: every row is kept, and counted as it is written."""
+    path, checkpoint = _places(spark, "stream-counts")
+    counts = path.replace("/table", "/counts")
+    flows.watched_flow(_in_batches(spark, d, "counts"), EVENT_RULES, path, counts, checkpoint)
+    kept = flows.read_sink(spark, path).agg(F.count("*").alias("rows_kept"))
+    return flows.read_counts(spark, counts).join(F.broadcast(kept))      # one row
+
+
 @query
 def stream_dedup_batches(spark, d):
     """Keys that come again in later micro-batches are found by the key index."""
@@ -1023,14 +1073,14 @@ def _write_raw(spark, d) -> str:
 
 @query
 def late_policies(spark, d):
-    """Claims first, then the policies in two runs: the marts after each run keep pace with what is known."""
+    """All claims and half of the policies, then the other half: claims that waited are completed and counted anew."""
     source, root = _write_raw(spark, d), shared_dir(spark, "late")
     policy, orders = raw(spark, d, "policy").drop("_source_file", "_loaded_at"), shared_dir(spark, "late-policy")
     odd = F.substring(F.trim("policy_number"), -1, 1).isin(*"13579")
     for name in (*pipeline.FIELDS, "customers"):
         if name != "policy":
             pipeline.bronze_entity(spark, f"{source}/{name}", root, name, "part-*", MAX_FILES)
-    for n, rows in enumerate((policy.limit(0), policy.filter(odd), policy.filter(~F.coalesce(odd, F.lit(False))))):
+    for n, rows in enumerate((policy.filter(odd), policy.filter(~F.coalesce(odd, F.lit(False))))):
         rows.write.option("header", "true").csv(f"{orders}/{n}")
         pipeline.bronze_entity(spark, orders, root, "policy", "part-*", MAX_FILES)
         pipeline.to_silver(spark, root, MAX_FILES)

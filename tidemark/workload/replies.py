@@ -45,3 +45,19 @@ class OnSecondCall:
             self.asked.add(prompt)
             raise Throttled("slow down")
         return f"ok {prompt}"
+
+
+class InBatches:
+    """A text function as one that takes a list: an exception in place of each reply that failed."""
+
+    def __init__(self, fn):
+        self.fn = fn
+
+    def _one(self, text: str):
+        try:
+            return self.fn(text)
+        except Exception as error:  # noqa: BLE001
+            return error
+
+    def __call__(self, texts: list[str]) -> list:
+        return [self._one(t) for t in texts]
