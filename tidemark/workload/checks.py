@@ -6,6 +6,7 @@ SELECTs with the queries, being their input, and nothing else.
 
 from __future__ import annotations
 
+from tidemark import presets
 from tidemark.workload.raw import TEXTS, check_sql
 
 
@@ -747,3 +748,21 @@ CHECKS["stream_observed_counts"] = (
     "ELSE coalesce(event_type NOT IN ('view', 'click', 'purchase', 'signup'), true) END) AS violations, count(*) AS rows_kept "
     "FROM events, (VALUES ('event_type_listed'), ('value_floor')) AS r(rule) GROUP BY r.rule"
 )
+
+_TFIDF = r"""
+    WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')) AS word FROM documents),
+    c AS (SELECT doc_id, word, count(*) AS n FROM w GROUP BY ALL),
+    m AS (SELECT word, ln((1.0 + (SELECT count(*) FROM documents)::DOUBLE) / (1.0 + count(*)::DOUBLE)) + 1.0 AS idf FROM c GROUP BY word),
+    r AS (SELECT doc_id, word, n * idf AS x FROM c JOIN m USING (word)),
+    d AS (SELECT doc_id, word, x / sqrt(sum(x * x) OVER (PARTITION BY doc_id)) AS weight FROM r)
+"""
+CHECKS["embed_tfidf"] = _TFIDF + "SELECT doc_id, word, round(weight, 6) AS weight FROM d"
+CHECKS["knn_tfidf"] = _TFIDF + r""",
+    qw AS (SELECT item_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')) AS word FROM benchmark),
+    qc AS (SELECT item_id, word, count(*) AS n FROM qw GROUP BY ALL),
+    qr AS (SELECT item_id, word, n * idf AS x FROM qc JOIN m USING (word)),
+    q AS (SELECT item_id, word, x / sqrt(sum(x * x) OVER (PARTITION BY item_id)) AS weight FROM qr),
+    s AS (SELECT q.item_id AS query_id, d.doc_id, sum(q.weight * d.weight) AS score FROM q JOIN d USING (word) GROUP BY ALL)
+    SELECT query_id, doc_id, round(score, 6) AS score,
+           CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, doc_id) AS INTEGER) AS rank
+    FROM s QUALIFY rank <= """ + str(presets.TOP_K)

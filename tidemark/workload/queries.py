@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark import presets
 from tidemark.functions import columns as c
 from tidemark.functions import prompts, text, vectors
-from tidemark.operators import dedup, infer, quarantine, retrieval, risk, rules, skew
+from tidemark.operators import dedup, infer, quarantine, retrieval, risk, rules, skew, tfidf
 from tidemark.operators.partials import Partials
 from tidemark.operators.specs import IssueSpec
 from tidemark.plans import kpi, marts, silver, star
@@ -613,6 +613,23 @@ def embed_hash(spark, d):
     return counts.filter("words > 0").withColumn("words", _double("words"))
 
 
+@query
+def embed_tfidf(spark, d):
+    documents = tables.read_table(spark, d, "documents").select("doc_id", "text")
+    encoded = tfidf.encode(documents, ["doc_id"], "text", tfidf.fit(documents, "text"))
+    return encoded.withColumn("weight", F.round("weight", 6))
+
+
+@query
+def knn_tfidf(spark, d):
+    """The three documents nearest to each benchmark item, by fitted sparse vectors."""
+    documents = tables.read_table(spark, d, "documents").select("doc_id", "text")
+    model = tfidf.fit(documents, "text")
+    asked = tables.read_table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    corpus, questions = (tfidf.encode(t, [i], "text", model) for t, i in ((documents, "doc_id"), (asked, "query_id")))
+    return tfidf.nearest(questions, corpus, presets.TOP_K).withColumn("score", F.round("score", 6))
+
+
 def centroids(spark, d):
     """The mean vector of each label, as queries."""
     places = tables.read_table(spark, d, "embeddings").select(
