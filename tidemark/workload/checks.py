@@ -766,3 +766,31 @@ CHECKS["knn_tfidf"] = _TFIDF + r""",
     SELECT query_id, doc_id, round(score, 6) AS score,
            CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, doc_id) AS INTEGER) AS rank
     FROM s QUALIFY rank <= """ + str(presets.TOP_K)
+CHECKS["kpi_union_figures"] = _sql(
+    " UNION ALL ".join(
+        f"SELECT '{domain}' AS domain_name, figure, value FROM (UNPIVOT (SELECT CAST(COLUMNS(*) AS DOUBLE) FROM ({one})) ON COLUMNS(*) INTO NAME figure VALUE value)"
+        for domain, one in (
+            ("claims_performance", f"SELECT {_claims_kpi} FROM facts"),
+            ("policy_portfolio", f"SELECT {_policy_kpi.format(hits='count(claim_id)')} FROM d_policy d LEFT JOIN facts f ON d.policy_id = f.policy_id"),
+            (
+                "customer_profile",
+                f"SELECT {_customer_kpi.format(share='avg(CASE WHEN claim_id IS NOT NULL THEN 1 ELSE 0 END)')} "
+                "FROM d_customer d LEFT JOIN facts f ON d.customer_id = f.customer_id",
+            ),
+        )
+    ),
+    "facts", "d_policy", "d_customer",
+)
+CHECKS["dq_explain_capped"] = "SELECT CAST(7 AS BIGINT) AS reports"
+CHECKS["glob_class"] = "SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey % 3 < 2"
+CHECKS["overwrite_schema"] = "SELECT n_regionkey, count(*) AS nations FROM nation GROUP BY n_regionkey"
+CHECKS["newest_first"] = (
+    "SELECT row_number() OVER (ORDER BY ts DESC) - 1 AS place, event_id "
+    "FROM (SELECT ts, max(event_id) AS event_id FROM events GROUP BY ts ORDER BY ts DESC LIMIT 50)"
+)
+CHECKS["vector_ops"] = """
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda e: CAST(e AS DOUBLE)) AS x FROM embeddings),
+    n AS (SELECT vec_id, x[1] AS first, sqrt(list_sum(list_transform(x, lambda e: e * e))) AS norm FROM v)
+    SELECT vec_id, CASE WHEN norm > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS length, round(norm, 4) AS norm, round(CASE WHEN norm > 0 THEN first / norm ELSE first END, 6) AS first
+    FROM n
+"""

@@ -303,6 +303,54 @@ def temp_view(spark, d):
     return spark.sql("SELECT user_id, count(*) AS clicks FROM clicks GROUP BY user_id")
 
 
+@query
+def glob_class(spark, d):
+    """A character class in the glob takes both spellings of a name and leaves other files alone."""
+    root = shared_dir(spark, "globs")
+    suppliers = tables.read_table(spark, d, "supplier").select("s_suppkey", "s_name")
+    third = F.pmod("s_suppkey", F.lit(3))
+    for n, name in enumerate(("cars", "Cars", "bars")):
+        folder = f"{root}/{name}"
+        suppliers.filter(third == n).coalesce(1).write.option("header", "true").csv(folder)
+    read = [ingest.read_files(spark, f"{root}/{name}", "csv", "[Pp]art-*.csv") for name in ("cars", "Cars")]
+    none = ingest.read_files(spark, f"{root}/bars", "csv", "[Qq]art-*.csv", "s_suppkey bigint, s_name string")
+    rows = reduce(DataFrame.unionByName, [*read, none])
+    return rows.select(F.col("s_suppkey").cast("bigint").alias("s_suppkey"), "s_name")
+
+
+@query
+def overwrite_schema(spark, d):
+    """A stored table that is written anew with other columns."""
+    name = f"tidemark_overwrite_{shared_dir(spark, 'name')[-32:]}"
+    tables.overwrite_table(tables.read_table(spark, d, "nation"), name)
+    regions = tables.read_table(spark, d, "nation").groupBy("n_regionkey").agg(F.count("*").alias("nations"))
+    tables.overwrite_table(tables.store(regions, shared_dir(spark, "regions")), name)
+    out = tables.store(spark.table(name), shared_dir(spark, "overwritten"))
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
+@query
+def newest_first(spark, d):
+    """The latest 50 entries of a log, with their place in it."""
+    log = tables.read_table(spark, d, "events").select("event_id", "ts")
+    latest = retrieval.newest_first(log.groupBy("ts").agg(F.max("event_id").alias("event_id")), "ts").limit(50)
+    return latest.withColumn("place", F.monotonically_increasing_id()).select("place", "event_id")
+
+
+@query
+def vector_ops(spark, d):
+    """Unit vectors and dot products in expressions."""
+    rows = tables.read_table(spark, d, "embeddings")
+    unit = vectors.normalise(F.col("embedding"))
+    return rows.select(
+        "vec_id",
+        F.round(vectors.dot(unit, unit), 9).alias("length"),
+        F.round(vectors.dot(F.col("embedding"), unit), 4).alias("norm"),
+        F.round(F.get(unit, F.lit(0)), 6).alias("first"),
+    )
+
+
 # ---- dedup and upsert -----------------------------------------------------------------------
 
 
@@ -459,11 +507,28 @@ def kpi_union(spark, d):
     return kpi.union_domains(_kpi_rows(spark, d)).select("domain_name", total.cast("bigint").alias("total"))
 
 
+@query
+def kpi_union_figures(spark, d):
+    """Every figure of all three domains, out of the JSON it travels in."""
+    figures = F.from_json("kpi_json", "map<string,double>")
+    rows = kpi.union_domains(_kpi_rows(spark, d)).select("domain_name", F.explode(figures).alias("figure", "value"))
+    return rows.filter("value IS NOT NULL").withColumn("value", F.round("value", 4))
+
+
 @query
 def kpi_summaries(spark, d):
     return kpi.summaries(_kpi_rows(spark, d), replies.headline).drop("kpi_json", "generation_timestamp")
 
 
+@query
+def dq_explain_capped(spark, d):
+    """A cap on what is explained: how many reports come out, and that each is of an issue in the log."""
+    log = _log(spark, d, "sales")
+    report = quarantine.explain(log, replies.headline, limit=7).select("column_name", "severity")
+    known = log.select("column_name", "severity").distinct()
+    return report.join(known, ["column_name", "severity"], "left_semi").agg(F.count("*").alias("reports"))
+
+
 @query
 def avg_amount_text(spark, d):
     return kpi.average_amount_text(_facts(spark, d))
