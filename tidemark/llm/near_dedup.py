@@ -7,18 +7,19 @@ so that the table sent to the tasks stays bounded. Each text gets consistent wei
 samples; two texts of weighted Jaccard similarity s agree in one sample with probability s.
 Samples make up bands, so at 0.8 two texts meet in some bucket with probability 0.9999.
 
-Texts with the same weighted set are one vertex from then on. In each bucket a few members
-are centres, chosen by hashes that differ from bucket to bucket. Every member is compared with
-every centre: the samples rule out the threshold, or both have the same root (the least vertex
-of the component so far), or the exact weighted Jaccard similarity is computed. Only then the
-centres leave, since they have met the whole bucket. All others stay until their bucket has a
-single root. Those that are left after ``ROUNDS`` rounds go to the next of ``LEVELS``: more
-samples in longer bands, which part texts of middling similarity (a family that shares half of
-its text). In the last level, rounds take twice as many centres each time, up to
-``MOST_CENTRES``, until no bucket has two roots; there is no cap. Components are the classes.
-
-A bucket is left behind with its level, so a pair at exactly 0.8 is lost with a chance of one
-in ten thousand in each level that it reaches: 0.9996 remain if it goes through all four.
+Texts with the same weighted set are one vertex from then on. First, ``ROUNDS`` rounds link
+members of a bucket to centres: each vertex is compared with the centre that most of its samples
+agree with, and the exact weighted Jaccard similarity decides. That makes one component of a
+family of near copies, with a comparison for each member and not for each pair. Buckets whose
+members are all in one component are done. The vertices of all others get more samples in longer
+bands (the second of ``LEVELS``), which part texts of middling similarity. In each bucket that
+still holds two components, every member is then compared with every member of another
+component: samples in blocks of ``BLOCK`` members (the largest component's members only with
+the rest), and each pair that they leave once by its exact similarity. No pair is skipped but by
+its samples, and no rounds go on to convergence. Components of all links are the classes.
+
+A pair at exactly 0.8 is lost with a chance of one in ten thousand by each level's bands and by
+the samples' bound: at least 0.9997 of such links are found.
 
 Defined results: a text of one to four words has one shingle, all its words. A text without
 words is equal only to the same text. Null counts as empty. The class id is the smallest
@@ -40,13 +41,15 @@ from tidemark.llm.common import documents, mixed, shingles, signed, stored, text
 from tidemark.llm.components import components
 
 K, THRESHOLD = 5, 0.8
-#: Bands and samples in a band, level by level: (1 - 0.8 ** samples) ** bands is 0.0001 in each.
-LEVELS = ((13, 3), (50, 8), (103, 11), (323, 16))
-CENTRES, MOST_CENTRES, ROUNDS = 4, 64, 8
-#: Samples of a level that are carried along for comparisons, at most.
-CODES = 1200
+#: Bands and samples in a band: all texts, then those of unsettled buckets. (1 - 0.8 ** samples) ** bands is 0.0001 at most.
+LEVELS = ((25, 5), (50, 8))
+CENTRES, ROUNDS = 4, 2
+#: Members of a bucket that are compared with as many others at once.
+BLOCK = 512
 #: Standard deviations below the expected agreement at which the threshold is ruled out.
 DOUBT = 3.7
+#: Weighted sets that a task keeps while it compares pairs, in shingles.
+KEPT = 1 << 22
 SKETCH = 1 << 17
 IDF_SHARE = 0.3
 _TABLE = 1 << 16
@@ -124,31 +127,27 @@ def frequency_factors(docs: DataFrame) -> np.ndarray:
     return (1 - IDF_SHARE + IDF_SHARE * np.clip(idf, 0, 1)).astype(np.float32)
 
 
-_SIGNATURE = pa.struct([("set_key", pa.int64()), ("set_check", pa.int64()), ("bands", pa.list_(pa.int64())), ("codes", pa.list_(pa.int8()))])
-
-
-def samples_before(level: int) -> int:
-    return sum(b * r for b, r in (LEVELS[min(k, len(LEVELS) - 1)] for k in range(level)))
+_SIGNATURE = pa.struct([("set_key", pa.int64()), ("set_check", pa.int64()), ("bands", pa.list_(pa.int64())), ("codes", pa.binary())])
 
 
 def least_agreement(level: int, threshold: float) -> int:
     """Samples in which two texts at the threshold agree, but for one pair in ten thousand."""
-    n = LEVELS[min(level, len(LEVELS) - 1)]
-    n = min(n[0] * n[1], CODES)
+    bands, rows = LEVELS[level]
+    n = bands * rows
     return max(1, int(threshold * n - DOUBT * (threshold * (1 - threshold) * n) ** 0.5))
 
 
 def signer(factor, level: int):
     """An Arrow function from texts to their set's key, band hashes, and a byte of each sample."""
-    bands, rows = LEVELS[min(level, len(LEVELS) - 1)]
-    before = samples_before(level)
+    bands, rows = LEVELS[level]
+    before = sum(b * r for b, r in LEVELS[:level])
 
     def run(column: pa.Array) -> pa.Array:
         tables = _tables()
         data, offsets = texts(column)
         n = len(column)
         keys, checks = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        buckets, codes = [[]] * n, [[]] * n
+        buckets, codes = [[]] * n, [b""] * n
         for first, last, own, weights, at in weighted(column, factor.value):
             some = np.flatnonzero(np.diff(at))
             if len(some):
@@ -160,17 +159,17 @@ def signer(factor, level: int):
                 key = np.zeros((len(some), bands), np.uint64) + np.arange(before, before + bands, dtype=np.uint64) + np.uint64(1)
                 for k in range(rows):
                     key = mixed(key * _ODD + drawn[:, k::rows])
-                short = (drawn[:, :CODES] >> np.uint64(56)).astype(np.uint8).view(np.int8)
+                short = (drawn >> np.uint64(56)).astype(np.uint8)
                 for i, j in enumerate(some):
-                    buckets[first + j], codes[first + j] = signed(key[i]), short[i]
+                    buckets[first + j], codes[first + j] = signed(key[i]), short[i].tobytes()
             for i in set(range(last - first)) - set(some.tolist()):
                 text = data[offsets[first + i] : offsets[first + i + 1]].tobytes()     # no words: equal only to the same bytes
                 keys[first + i], checks[first + i] = hash_bytes(text, 1), hash_bytes(text, 2)
         return pa.StructArray.from_arrays(
-            [pa.array(keys), pa.array(checks), pa.array(buckets, pa.list_(pa.int64())), pa.array(codes, pa.list_(pa.int8()))], fields=list(_SIGNATURE)
+            [pa.array(keys), pa.array(checks), pa.array(buckets, pa.list_(pa.int64())), pa.array(codes, pa.binary())], fields=list(_SIGNATURE)
         )
 
-    return F.arrow_udf(run, "set_key long, set_check long, bands array<long>, codes array<tinyint>")
+    return F.arrow_udf(run, "set_key long, set_check long, bands array<long>, codes binary")
 
 
 def hash_bytes(text: bytes, seed: int) -> int:
@@ -182,22 +181,28 @@ def hash_bytes(text: bytes, seed: int) -> int:
 def verified(pairs: DataFrame, pool: DataFrame, factor, threshold: float) -> DataFrame:
     """The pairs (id, centre) whose weighted Jaccard similarity reaches the threshold."""
 
-    def run(left: pa.Array, right: pa.Array) -> pa.Array:
-        out, last, other = [], None, None
-        for a, b in zip(left, right, strict=True):
-            if last is None or not last.equals(b):      # pairs of one centre mostly follow each other
-                last, other = b, _one(b, factor.value)
-            own, weights = _one(a, factor.value)
-            _, i, j = np.intersect1d(own, other[0], assume_unique=True, return_indices=True)
-            both = float(np.minimum(weights[i], other[1][j]).sum())
-            out.append(both / max(1e-12, float(weights.sum()) + float(other[1].sum()) - both))
+    def run(ids: pa.Array, centres: pa.Array, left: pa.Array, right: pa.Array) -> pa.Array:
+        out, known, size = [], {}, 0
+        for i, j, a, b in zip(ids.to_pylist(), centres.to_pylist(), left, right, strict=True):
+            for key, text in ((i, a), (j, b)):
+                if key not in known:
+                    if size > KEPT:
+                        known, size = {k: known[k] for k in (i, j) if k in known}, 0
+                    known[key] = _one(text, factor.value)
+                    size += len(known[key][0])
+            (own, weights), (others, theirs) = known[i], known[j]
+            at = np.searchsorted(others, own)
+            at[at == len(others)] = 0
+            same = others[at] == own
+            both = float(np.minimum(weights[same], theirs[at[same]]).sum())
+            out.append(both / max(1e-12, float(weights.sum()) + float(theirs.sum()) - both))
         return pa.array(out, pa.float64())
 
     similarity = F.arrow_udf(run, "double")
     left, right = pool.alias("l"), pool.alias("r")
     with_left = pairs.join(left, F.col("id") == F.col("l.rid")).select("id", "centre", F.col("l.text").alias("a"))
     both = with_left.join(right, F.col("centre") == F.col("r.rid")).select("id", "centre", "a", F.col("r.text").alias("b"))
-    return both.select("id", "centre", similarity("a", "b").alias("similarity")).where(F.col("similarity") >= threshold)
+    return both.select("id", "centre", similarity("id", "centre", "a", "b").alias("similarity")).where(F.col("similarity") >= threshold)
 
 
 def _one(text, factor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -205,37 +210,126 @@ def _one(text, factor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return own, weights
 
 
-def _shared(rows: DataFrame) -> DataFrame:
-    """Rows of buckets with two members or more."""
-    several = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    return rows.join(stored(several, "several"), "bucket", "left_semi")
-
-
 def _tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _centres(met: DataFrame, count: int) -> DataFrame:
-    """Up to ``count`` centres of each bucket."""
-    member = F.struct("id", "codes")
-    first = F.array(*[F.min_by(member, F.xxhash64("id", "bucket", F.lit(j))) for j in range(count)])
-    return stored(met.groupBy("bucket").agg(F.array_distinct(first).alias("centres")), "centres")
-
+def _rooted(rows: DataFrame, roots: DataFrame | None, id: str = "id", root: str = "root") -> DataFrame:
+    """The rows with the root of the component that ``id`` is in: itself, if it has no link."""
+    if roots is None:
+        return rows.withColumn(root, F.col(id))
+    known = roots.select(F.col("id").alias("_of"), F.col("root").alias("_root"))
+    return rows.join(known, F.col(id) == F.col("_of"), "left").withColumn(root, F.coalesce("_root", id)).drop("_of", "_root")
+
+
+def _unsettled(met: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """(bucket, id, root) of the buckets whose members aren't all in one component."""
+    now = _rooted(met.select("bucket", "id"), roots)
+    several = now.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("bucket")
+    return stored(now.join(several, "bucket", "left_semi"), "met")
+
+
+def agreement(a: pa.Array, b: pa.Array) -> pa.Array:
+    """In how many samples two rows agree."""
+    return pa.array([np.count_nonzero(np.frombuffer(x, np.uint8) == np.frombuffer(y, np.uint8)) for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.int32())
+
+
+def _nearest_centres(met: DataFrame, turn: int, codes: DataFrame, least: int, tested: DataFrame | None) -> DataFrame:
+    """Pairs (id, centre) with their roots a, b: for each vertex, the centre that agrees with it most.
+
+    A hash of the id alone picks the centres, so a family has the same ones in all its buckets.
+    """
+    first = F.array(*[F.min_by(F.struct("id", "root"), F.xxhash64("id", F.lit(turn * CENTRES + j))) for j in range(CENTRES)])
+    centres = met.groupBy("bucket").agg(F.array_distinct(first).alias("centres"))
+    met_centres = met.join(centres, "bucket").select("id", F.col("root").alias("a"), F.explode("centres").alias("c"))
+    ends = met_centres.select("id", "a", F.col("c.id").alias("centre"), F.col("c.root").alias("b")).where("a <> b").distinct()
+    if tested is not None:
+        ends = ends.join(tested.unionByName(tested.select(F.col("centre").alias("id"), F.col("id").alias("centre"))), ["id", "centre"], "left_anti")
+    left, right = codes.select("id", F.col("codes").alias("x")), codes.select(F.col("id").alias("centre"), F.col("codes").alias("y"))
+    seen = ends.join(left, "id").join(right, "centre").select("id", "centre", "a", "b", F.arrow_udf(agreement, "int")("x", "y").alias("n")).where(F.col("n") >= least)
+    best = seen.groupBy("id").agg(F.max(F.struct("n", "centre", "a", "b")).alias("m")).select("id", "m.centre", "m.a", "m.b")
+    # two vertices that chose one another are one pair
+    return best.groupBy(F.greatest("id", "centre").alias("id"), F.least("id", "centre").alias("centre")).agg(F.first("a").alias("a"), F.first("b").alias("b"))
+
+
+def _in_blocks(met: DataFrame, codes: DataFrame) -> DataFrame:
+    """Members (bucket, id, root, codes) dealt to pairs of blocks: side 0 is compared with side 1, or all with all if i = j.
+
+    Members of a large bucket's largest component meet the others only.
+    """
+    by_root = met.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    sizes = by_root.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("n"))
+    large = F.col("n") > BLOCK
+    blocks = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
+    sizes = sizes.select(
+        "bucket", F.when(large, F.col("top.root")).alias("main"), F.when(large, blocks(F.col("n") - F.col("top.n"))).otherwise(1).alias("n_rest"),
+        F.when(large, blocks(F.col("top.n"))).otherwise(0).alias("n_main"),
+    )
+    rows = met.join(sizes, "bucket").withColumn("is_main", F.coalesce(F.col("root") == F.col("main"), F.lit(False)))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.when(F.col("is_main"), F.col("n_main")).otherwise(F.col("n_rest"))).cast("int"))
+    upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    place = lambda rest, i, j, side: F.struct(rest.alias("within"), i.alias("i"), j.alias("j"), side.cast("int").alias("side"))
+    own, yes, no = F.col("own"), F.lit(True), F.lit(False)
+    among_rest = F.transform(upto(F.col("n_rest")), lambda k: place(yes, F.least(own, k), F.greatest(own, k), own > k))
+    to_main = F.transform(upto(F.col("n_main")), lambda k: place(no, own, k, no))
+    to_rest = F.transform(upto(F.col("n_rest")), lambda k: place(no, k, own, yes))
+    places = F.when(F.col("is_main"), to_rest).otherwise(F.concat(among_rest, to_main))
+    return rows.select("bucket", "id", "root", F.explode(places).alias("p")).select("bucket", "p.*", "id", "root").join(codes, "id")
+
+
+_BLOCK_KEY = ["bucket", "within", "i", "j"]
+
+
+def _alike(met: DataFrame, codes: DataFrame, least: int) -> DataFrame:
+    """Pairs (id, centre) with their roots a, b, of members with different roots that agree in ``least`` samples."""
+
+    def compare(rows: dict) -> Iterator[tuple[np.ndarray, ...]]:
+        ids, roots, side = rows["id"], rows["root"], rows["side"]
+        codes = rows["codes"]
+        whole = rows["within"][0] and rows["i"][0] == rows["j"][0]
+        left = np.arange(len(ids)) if whole else np.flatnonzero(side == 0)
+        right = left if whole else np.flatnonzero(side == 1)
+        for k, x in enumerate(left):
+            to = right[k + 1 :] if whole else right
+            to = to[roots[to] != roots[x]]
+            if len(to):
+                same = (codes[to] == codes[x]).view(np.uint64)
+                to = to[np.bitwise_count(same).sum(axis=1, dtype=np.int64) >= least]
+            if len(to):
+                here = np.full(len(to), x)
+                up = np.where(ids[to] > ids[x], to, here)
+                down = np.where(ids[to] > ids[x], here, to)
+                yield ids[up], ids[down], roots[up], roots[down]
 
-def _several_roots(met: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """Members of the buckets whose members aren't all in one component."""
-    met = met.select("bucket", "id", "codes")
-    known = met.select("bucket", "id", F.col("id").alias("root")) if roots is None else met.select("bucket", "id").join(roots, "id", "left").select("bucket", F.coalesce("root", "id").alias("root"))
-    several = stored(known.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("bucket"), "several")
-    return stored(met.join(several, "bucket", "left_semi"), "met")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, rest = ["id", "centre", "a", "b"], None
 
+        def out(tables) -> Iterator[pa.RecordBatch]:
+            found = [hit for t in tables for hit in compare(t)]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], names=names)
 
-def _apart(pairs: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """The pairs whose ends have different roots, with these."""
-    if roots is None:
-        return pairs.select("id", "centre", F.col("id").alias("a"), F.col("centre").alias("b"))
-    left, right = (roots.select(F.col("id").alias(c), F.col("root").alias(r)) for c, r in (("id", "a"), ("centre", "b")))
-    return pairs.join(left, "id", "left").join(right, "centre", "left").select("id", "centre", F.coalesce("a", "id").alias("a"), F.coalesce("b", "centre").alias("b")).where("a <> b")
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            now = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in (*_BLOCK_KEY, "side", "id", "root")}
+            data, at = batch.column("codes"), batch.num_rows
+            now["codes"] = np.frombuffer(b"".join(data.to_pylist()), np.uint8).reshape(at, -1)
+            if rest is not None:
+                now = {c: np.concatenate([rest[c], now[c]]) for c in now}
+            new = np.zeros(len(now["id"]), bool)
+            new[0] = True
+            for c in _BLOCK_KEY:
+                new[1:] |= now[c][1:] != now[c][:-1]
+            begins = np.flatnonzero(new)
+            yield from out({c: v[a:b] for c, v in now.items()} for a, b in zip(begins, begins[1:], strict=False))
+            rest = {c: v[begins[-1] :] for c, v in now.items()}       # the last block may go on
+        if rest is not None:
+            yield from out([rest])
+
+    dealt = _in_blocks(met, codes).repartition(_tasks(met.sparkSession), *_BLOCK_KEY).sortWithinPartitions(*_BLOCK_KEY)
+    pairs = dealt.select(*_BLOCK_KEY, "side", "id", "root", "codes").mapInArrow(run, "id long, centre long, a long, b long")
+    return pairs.distinct()
 
 
 def _merged(roots: DataFrame | None, good: DataFrame) -> DataFrame | None:
@@ -250,28 +344,33 @@ def _merged(roots: DataFrame | None, good: DataFrame) -> DataFrame | None:
     return stored(moved.unionByName(new.join(roots.select("id"), "id", "left_anti").select("id", "root")), "roots")
 
 
-def _round(met: DataFrame, count: int, pool: DataFrame, factor, threshold: float, agreement: int, roots: DataFrame | None, tested: DataFrame | None):
-    """Every member against every centre of its bucket: the rest of met, the roots, and the pairs tested."""
-    n_same = lambda c: F.size(F.filter(F.zip_with("codes", c["codes"], lambda a, b: a == b), lambda x: x))
-    options = F.transform("centres", lambda c: F.struct(n_same(c).alias("n"), c["id"].alias("centre")))
-    likely = F.sort_array(F.filter(options, lambda o: (o["n"] >= agreement) & (o["centre"] != F.col("id"))), asc=False)
-    rows = stored(
-        met.join(_centres(met, count), "bucket").select(
-            "bucket", "id", "codes", F.exists("centres", lambda c: c["id"] == F.col("id")).alias("is_centre"), F.transform(likely, lambda o: o["centre"]).alias("likely")
-        ), "chosen",
-    )
-    some = rows.where(F.size("likely") > 0)
-    # the best centre first: for most members, it makes the others ones of the same root
-    for to in (F.col("likely")[0], F.explode("likely")):
-        ends = some.select("id", to.alias("centre")).select(F.greatest("id", "centre").alias("id"), F.least("id", "centre").alias("centre")).distinct()
-        pairs = _apart(ends if tested is None else ends.join(tested, ["id", "centre"], "left_anti"), roots)
-        pairs = stored(pairs, "pairs")
-        if not pairs.isEmpty():
-            good = verified(pairs.select("id", "centre"), pool, factor, threshold).select("id", "centre")
-            roots = _merged(roots, stored(good, "verified").join(pairs, ["id", "centre"]))
-            now = pairs.select("id", "centre")
-            tested = now if tested is None else tested.unionByName(now)
-    return _several_roots(rows.where("not is_centre"), roots), roots, tested
+def _linked(pairs: DataFrame, pool: DataFrame, factor, threshold: float, roots: DataFrame | None) -> DataFrame | None:
+    """The roots after the pairs (with the roots a, b of their ends) that reach the threshold."""
+    if pairs.isEmpty():
+        return roots
+    return _merged(roots, verified(pairs.select("id", "centre"), pool, factor, threshold).join(pairs, ["id", "centre"]))
+
+
+def _components(vertices: DataFrame, factor, threshold: float) -> DataFrame | None:
+    """(id, root) of the vertices (rid, text, bands, codes) that have a link; None if none has."""
+    spark = vertices.sparkSession
+    met = stored(vertices.select(F.col("rid").alias("id"), F.explode("bands").alias("bucket")), "buckets")
+    met = _unsettled(met, None)
+    ids = met.select(F.col("id").alias("rid")).distinct()
+    pool = stored(vertices.select("rid", "text", "codes").join(ids, "rid", "left_semi"), "pool")
+    codes = pool.select(F.col("rid").alias("id"), "codes")
+    roots, tested = None, None
+    for turn in range(ROUNDS):
+        pairs = stored(_nearest_centres(met, turn, codes, least_agreement(0, threshold), tested), "pairs")
+        roots = _linked(pairs, pool, factor, threshold, roots)
+        tested = pairs.select("id", "centre") if tested is None else tested.unionByName(pairs.select("id", "centre"))
+        met = _unsettled(met, roots)
+    # few rows, much work for each: deal them out to all tasks
+    rest = pool.select("rid", "text").join(met.select(F.col("id").alias("rid")).distinct(), "rid", "left_semi").repartition(_tasks(spark), "rid")
+    finer = stored(rest.withColumn("sig", signer(factor, 1)("text")).select(F.col("rid").alias("id"), "sig.bands", "sig.codes"), "finer")
+    met = _unsettled(finer.select("id", F.explode("bands").alias("bucket")), roots)
+    pairs = _alike(met, finer.select("id", "codes"), least_agreement(1, threshold)).join(tested, ["id", "centre"], "left_anti")
+    return _linked(stored(pairs, "pairs"), pool, factor, threshold, roots)
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -286,28 +385,8 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     )
     marked = stored(base.withColumn("sig", signer(factor, 0)("text")).select("row", "rid", "doc_id", "sig.*"), "signatures")
     sets = stored(marked.groupBy("set_key", "set_check").agg(F.min("rid").alias("id")), "sets")
-    vertices = marked.select("rid", "bands").join(sets.select("id"), F.col("rid") == F.col("id"), "left_semi")
-    buckets = stored(vertices.select(F.col("rid").alias("id"), F.explode("bands").alias("bucket")), "buckets")
-    met = stored(_shared(buckets), "met")
-    met_ids = stored(met.select("id").distinct(), "candidates")
-    pool = stored(
-        marked.select("rid", F.coalesce("row.text", F.lit("")).alias("text"), "codes").join(met_ids, F.col("rid") == F.col("id"), "left_semi"), "pool"
-    )
-    met = stored(met.join(pool.select(F.col("rid").alias("id"), "codes"), "id"), "met")
-    met = _several_roots(met, None)
-    roots, tested, level, turn, last = None, None, 0, 0, len(LEVELS) - 1
-    while not met.isEmpty():
-        if turn == ROUNDS and level < last:
-            level, turn, tested = level + 1, 0, None if tested is None else stored(tested, "tested")
-            ids = stored(met.select("id").distinct(), "rest")
-            rest = pool.select("rid", "text").join(ids, F.col("rid") == F.col("id"), "left_semi")
-            # few rows, much work for each: deal them out to all tasks
-            finer = rest.repartition(_tasks(spark), "rid").withColumn("sig", signer(factor, level)("text")).select(F.col("rid").alias("id"), "sig.bands", "sig.codes")
-            met = _several_roots(_shared(stored(finer.select("id", F.explode("bands").alias("bucket"), "codes"), "met")), roots)
-            continue
-        count = min(MOST_CENTRES, CENTRES << max(0, turn - ROUNDS + 1))
-        met, roots, tested = _round(met, count, pool, factor, threshold, least_agreement(level, threshold), roots, tested)
-        turn += 1
+    vertices = marked.select("rid", F.coalesce("row.text", F.lit("")).alias("text"), "bands", "codes").join(sets.select(F.col("id").alias("rid")), "rid", "left_semi")
+    roots = _components(vertices, factor, threshold)
     if roots is None:
         roots = sets.select("id", F.col("id").alias("root")).limit(0)
     by_set = stored(sets.join(roots, "id", "left").select("set_key", "set_check", F.coalesce("root", "id").alias("root")), "set-roots")
