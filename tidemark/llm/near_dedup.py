@@ -42,7 +42,7 @@ from tidemark.llm.components import components
 
 K, THRESHOLD = 5, 0.8
 #: Bands and samples in a band: all texts, then those of unsettled buckets. (1 - 0.8 ** samples) ** bands is 0.0001 at most.
-LEVELS = ((25, 5), (50, 8))
+LEVELS = ((18, 4), (50, 8))
 CENTRES, ROUNDS = 4, 2
 #: Members of a bucket that are compared with as many others at once.
 BLOCK = 512
