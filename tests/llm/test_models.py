@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from helpers import MEDIUM, SMALL, prose
+from personal_lines import LINES
 
 import corpus_pipeline
 from tidemark.llm import decontaminate, html_extract, language_id, license_scan, personal_data, quality
@@ -414,14 +415,55 @@ def test_personal_documents(spark, edge_docs, edge_rows, no_docs):
     assert personal_data.fit(no_docs) is None and personal_data.find(no_docs, None).count() == 0
 
 
+def _labelled(line):
+    out, spans = "", []
+    for m in re.finditer(r"<(\w+)\|(.*?)>|([^<]+|<)", line):
+        if m[1]:
+            spans.append((len(out), personal_data.KINDS.index(m[1]), len(out) + len(m[2])))
+        out += m[2] or m[3]
+    return out, spans
+
+
+def test_model_adds_what_patterns_miss(spark):
+    """Hand-labelled lines; the model has seen none of them."""
+    net = personal_data.fit(spark.read.parquet(f"{MEDIUM}/documents.parquet"))
+    lines = [_labelled(line) for line in LINES]
+    rows = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(lines)], "doc_id long, text string")
+    found = {r["doc_id"]: r for r in personal_data.find(rows, net).collect()}
+    hits = extra = wanted = 0
+    for i, (text, spans) in enumerate(lines):
+        base = set(personal_data.joined(_base(text)).split(","))
+        got = set(found[i]["spans"].split(",")) - base - {""}
+        want = set(personal_data.joined(spans).split(",")) - {""}
+        assert not base & want and len(got) == found[i]["n_added"]
+        hits, extra, wanted = hits + len(got & want), extra + len(got - want), wanted + len(want)
+    assert hits >= 0.75 * wanted and hits >= 9 * extra
+
+
+def test_planted_values():
+    """Planted values are where the spans say, and hold up when written plainly (a card up to its check digit)."""
+    rng = random.Random(4)
+    seen = Counter()
+    for _ in range(2000):
+        text, spans = personal_data.planted(prose(rng, 30), rng)
+        for a, k, b in spans:
+            assert text[a:b].strip() == text[a:b]
+            assert k == 2 or personal_data.plausible((a, k, b), text)
+            seen[k] += 1
+    assert min(seen[k] for k in range(4)) > 200
+    for decoy in ("2024-03-17", "1,234,567.89", "3.12.4", "@name", "(12, 45, 78, 90)", "4111.1111.1111.1112"):
+        assert not any(personal_data.plausible((0, k, len(decoy)), decoy) for k in range(4))
+    assert personal_data.plausible((0, 2, 19), "4111.1111.1111.1111") and not personal_data.plausible((0, 1, 16), "10[.]0[.]0[.]300")
+
+
 def test_windows_cover_triggers():
     rng = random.Random(1)
     for _ in range(300):
-        text = "".join(rng.choice("ab c1@" if rng.random() < 0.2 else "ab c") for _ in range(rng.randint(0, 400)))
+        text = "".join(rng.choice(["a", "b", "1", "@", "(at)"] if rng.random() < 0.2 else "ab c") for _ in range(rng.randint(0, 400)))
         seen = np.zeros(len(text), bool)
         for s in personal_data.windows(text):
             seen[s : s + personal_data.WINDOW] = True
-        for m in re.finditer("[@0-9]", text):
+        for m in re.finditer(r"[@0-9]|\(at\)", text):
             assert seen[max(0, m.start() - personal_data.REACH) : m.end() + personal_data.REACH].all()
 
 

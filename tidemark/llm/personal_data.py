@@ -1,29 +1,37 @@
 """Personal data: fixed patterns, and a character-level bidirectional LSTM with CRF transitions.
 
 The patterns (email, ip, card, phone) give the base spans. The model is trained in numpy
-from labelled spans: windows around digits and at-signs of a bounded sample of documents
-(``SAMPLE`` windows, half of them with a span, each half first in a seeded order), labelled with the base spans. It then reads
-overlapping windows of every text; Viterbi decoding gives tags, and each character takes the
+from labelled spans, to find what the patterns miss: values in other forms (``FORMS``: "name
+(at) host (dot) org", "10[.]0[.]0[.]7", a card in groups parted by dots, two cards side by
+side, a phone number without a plus sign). Three samples, ``SAMPLE`` windows in all, each the
+first in a seeded order, make up the training set: windows of the documents that hold a base
+span (a fifth), windows that hold none (a fifth), and stretches of documents into which seeded values in other
+forms, and look-alikes such as dates, versions and amounts, are planted. In labels a card is
+any number of a card's length, as its check digit can't be seen in character classes.
+
+The model reads overlapping windows of every text; Viterbi decoding gives tags, and each character takes the
 tag of the window in whose middle it lies most, so that one span is never decided twice.
-Model spans that no base span touches are added if the model is sure of them and their kind
-is plausible (an email holds an at-sign, the other kinds enough digits).
+Model spans that no base span touches are added if the model is sure of them and they hold up
+when written plainly: an email or ip matches its pattern then, a card passes the Luhn check, a
+phone number has 9 to 15 digits.
 
-Every kind holds an at-sign or digits. Windows are therefore laid around those characters,
-wherever they occur in the whole text; text further away cannot hold a span.
+Every kind holds digits, an at-sign or a bracketed "at". Windows are therefore laid around
+those, wherever they occur in the whole text; text further away cannot hold a span.
 
 Positions are code points, end exclusive. Matching is leftmost and without overlap per kind.
 
 Defined results: a null or empty text has no spans. Repeated rows are rows of their own. A
-null doc_id is allowed. Extra columns are ignored. Without any labelled span in the sample
-there are base spans only. An empty table gives an empty result.
+null doc_id is allowed. Extra columns are ignored. Where no text holds ``STRETCH`` characters
+and none a base span, there are base spans only. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
 import heapq
+import random
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,9 +43,11 @@ from tidemark.llm.common import documents, stored
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, STEP, REACH = 64, 32, 24
-SAMPLE = 3000
-HIDDEN, EPOCHS, BATCH = 16, 12, 100
-SURE = 0.9
+SAMPLE = 5000
+#: Characters of a document into which values are planted for training.
+STRETCH = 160
+HIDDEN, EPOCHS, BATCH = 24, 12, 100
+SURE = 0.65
 #: Windows that are decoded together.
 DECODE = 1024
 
@@ -45,7 +55,8 @@ _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_TRIGGER = re.compile(r"[@0-9]+")
+_BRACKETED_AT = r"[(\[{] ?at ?[)\]}]"
+_TRIGGER = re.compile(rf"[@0-9]+|{_BRACKETED_AT}", re.I)
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 Span = tuple[int, int, int]     # start, kind, end
@@ -83,13 +94,13 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", done)
 
 
-def base_spans(text: str) -> list[Span]:
-    """The patterns' spans by start, then kind."""
+def base_spans(text: str, check: Callable[[str], bool] = luhn) -> list[Span]:
+    """The patterns' spans by start, then kind. ``check`` decides on a card's digits."""
     out = [(a, 0, b) for a, b in emails(text)]
     out += [(m.start(), 1, m.end()) for m in _IP.finditer(text) if all(_octet(p) for p in m.group().split("."))]
     for m in _CARD.finditer(text):
         digits = _digits(m.group())
-        if 12 <= len(digits) <= 19 and luhn(digits):
+        if 12 <= len(digits) <= 19 and check(digits):
             out.append((m.start(), 2, m.end()))
     for m in _PHONE.finditer(text):
         if 9 <= len(_digits(m.group())) <= 15:
@@ -103,7 +114,7 @@ def joined(spans: list[Span]) -> str:
 
 # --- windows -------------------------------------------------------------------------
 
-_SIGNS = "\n .,@+-()_%:;/\"'=#"
+_SIGNS = "\n .,@+-()_%:;/\"'=#[]{}"
 CLASSES = len(_SIGNS) + 5
 _CLASS = np.full(128, len(_SIGNS) + 4, np.int8)
 for _i, _c in enumerate(_SIGNS):
@@ -201,17 +212,19 @@ class Net:
         g["out"] = both.reshape(-1, 2 * HIDDEN).T @ node.reshape(-1, TAGS)
         g["bias"] = node.sum(axis=(0, 1))
         back = node @ self.p["out"].T
+        marks = np.eye(CLASSES, dtype=np.float32)[codes.ravel()]
         for d, tape, part in (("f", tapes[0], back[:, :, :HIDDEN]), ("b", tapes[1], back[:, :, HIDDEN:])):
             dh, dc = np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32)
+            slopes, befores = np.empty((n, t, 4 * HIDDEN), np.float32), np.empty((n, t, HIDDEN), np.float32)
             for i, gates, new, h, c, bent in reversed(tape):
                 dh = dh + part[:, i]
                 ig, fg, og = gates[:, :HIDDEN], gates[:, HIDDEN : 2 * HIDDEN], gates[:, 2 * HIDDEN :]
                 dc = dc + dh * og * (1 - bent**2)
                 dz = np.concatenate([dc * new * ig * (1 - ig), dc * c * fg * (1 - fg), dh * bent * og * (1 - og), dc * ig * (1 - new**2)], axis=1)
-                np.add.at(g[f"x{d}"], codes[:, i], dz)
-                g[f"h{d}"] += h.T @ dz
-                g[f"b{d}"] += dz.sum(axis=0)
+                slopes[:, i], befores[:, i] = dz, h
                 dh, dc = dz @ self.p[f"h{d}"].T, dc * fg
+            flat = slopes.reshape(-1, 4 * HIDDEN)
+            g[f"x{d}"], g[f"h{d}"], g[f"b{d}"] = marks.T @ flat, befores.reshape(-1, HIDDEN).T @ flat, flat.sum(axis=0)
         return float((total - gold).mean()), {k: v / n for k, v in g.items()}
 
     def decode(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -312,10 +325,33 @@ def reconciled(text: str, starts: list[int], tags: np.ndarray, sure: np.ndarray)
     return out
 
 
+_PLAIN_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+_WRITTEN = (
+    (re.compile(rf"\s*(?:{_BRACKETED_AT}|@)\s*", re.I), "@"),
+    (re.compile(r"\s*(?:[(\[{] ?(?:dot|\.) ?[)\]}]|\.)\s*", re.I), "."),
+)
+_CARD_SIGNS = frozenset("0123456789 -./_\u00a0\u2009\u202f")
+_PHONE_SIGNS = frozenset("0123456789 -./()+\u00a0\u2009\u202f")
+
+
+def plainly(value: str) -> str:
+    """An address with its at-signs and dots as such."""
+    for form, sign in _WRITTEN:
+        value = form.sub(sign, value)
+    return value
+
+
 def plausible(span: Span, text: str) -> bool:
     a, kind, b = span
-    digits = sum("0" <= c <= "9" for c in text[a:b])
-    return {0: "@" in text[a:b], 1: 4 <= digits <= 12 and text.count(".", a, b) == 3, 2: 12 <= digits <= 19, 3: 7 <= digits <= 15}[kind]
+    value = text[a:b]
+    digits = _digits(value)
+    if kind == 0:
+        return bool(_PLAIN_EMAIL.fullmatch(plainly(value)))
+    if kind == 1:
+        return bool(_IP.fullmatch(plainly(value))) and all(_octet(p) for p in plainly(value).split("."))
+    if kind == 2:
+        return 12 <= len(digits) <= 19 and luhn(digits) and _CARD_SIGNS.issuperset(value)
+    return 9 <= len(digits) <= 15 and _PHONE_SIGNS.issuperset(value)
 
 
 def added(text: str, base: list[Span], found: list[tuple[Span, float]]) -> list[Span]:
@@ -329,6 +365,64 @@ def added(text: str, base: list[Span], found: list[tuple[Span, float]]) -> list[
     return out
 
 
+# --- planted values --------------------------------------------------------------------
+
+def _number(rng: random.Random, n: int) -> str:
+    return "".join(rng.choices("0123456789", k=n))
+
+
+def _name(rng: random.Random) -> str:
+    return "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9)))
+
+
+_ATS = ("@", "@ ", " @ ", " @", "(at)", " (at) ", "[at]", " [at] ", " {at} ")
+_DOTS = (".", ".", "[.]", " [.] ", "[dot]", " [dot] ", "(dot)", " (dot) ", " {dot} ")
+#: Forms that the patterns miss, by kind: n a name, 9 a digit, o one to three digits. A bar parts two values.
+FORMS = (
+    tuple(f"{name}{at}n{dot}n{more}" for name in ("n", "n.n", "n_n", "n9") for at in _ATS for dot in _DOTS for more in ("", f"{dot}n") if (at, dot) != ("@", ".")),
+    ("o[.]o[.]o[.]o", "o.o.o[.]o", "o[.]o.o.o", "o(.)o(.)o(.)o", "o . o . o . o", "o. o. o. o", "o [.] o [.] o [.] o", "o[dot]o[dot]o[dot]o"),
+    ("9999.9999.9999.9999", "9999/9999/9999/9999", "9999_9999_9999_9999", "9999  9999  9999  9999", "9999 - 9999 - 9999 - 9999", "9999.999999.99999",
+     "9999999999999999 | 9999999999999999", "9999999999999999 | 9999999999999999", "9999 9999 9999 9999 | 9999 9999 9999 9999", "9999-9999-9999-9999 | 9999-9999-9999-9999"),
+    ("(999) 999-9999", "(999)999-9999", "999-999-9999", "999.999.9999", "999-9999-9999", "9 (999) 999-9999", "9-999-999-9999", "0099 99 9999 9999", "0099 999 9999999",
+     "+ 9 999 999 9999", "+ 99 99 9999 9999", "+9/999/999-9999", "+99/99/9999/9999"),
+)
+#: What looks like them and is none.
+DECOYS = (
+    "9999-99-99", "99/99/9999", "99.99.9999", "9999-99-99 99:99", "9999-99-99T99:99:99", "99:99:99", "9.9.9", "9.99.9", "o.o.o", "o.o", "9,999,999.99", "99,999,999",
+    "99.999.999,99", "9999999", "99999999999", "#99999", "@n", "@n9", "@n.n", "999-9-99-999999-9", "9999-9999", "99-99", "(99) n", "(9999)", "99 999", "9 999 999", "9-9",
+    "99.9%", "n9", "n_9", "9999 9999", "99 99 99", "n (at) n", "n @ n", "9 + 9 = 99", "(o, o, o, o)", "[o, o, o]", "o o o o", "9999 n 9999", "99 x 99 x 99",
+)
+
+
+def filled(form: str, rng: random.Random) -> str:
+    out = []
+    for part in re.findall(r"dot|at|[no9]|[^no9]", form):
+        out.append(_name(rng) if part == "n" else str(rng.randint(0, 255)) if part == "o" else _number(rng, 1) if part == "9" else part)
+    return "".join(out)
+
+
+def planted(stretch: str, rng: random.Random) -> tuple[str, list[Span]]:
+    """The stretch with two things put between its words, and the spans of the values among them."""
+    gaps = [m.start() for m in re.finditer(r" ", stretch)] or [len(stretch)]
+    places = sorted(rng.choices(gaps, k=2))
+    out, spans, before = "", [], 0
+    for place in places:
+        out += stretch[before:place] + " "
+        before = place
+        if rng.random() < 0.35:
+            out += filled(rng.choice(DECOYS), rng)
+        else:
+            kind = rng.randrange(len(KINDS))
+            for i, value in enumerate(rng.choice(FORMS[kind]).split("|")):
+                value = filled(value.strip(), rng)
+                out += " " * (i > 0) + value
+                spans.append((len(out) - len(value), kind, len(out)))
+        out += rng.choice(("", "", ",", ".", ";", ")"))
+    out += stretch[before:]
+    own = [(a, k, b) for a, k, b in base_spans(out, bool) if all(b <= x or a >= y for x, _, y in spans)]
+    return out, sorted(spans + own)
+
+
 # --- Spark ---------------------------------------------------------------------------
 
 def _with_trigger(docs: DataFrame) -> DataFrame:
@@ -336,30 +430,39 @@ def _with_trigger(docs: DataFrame) -> DataFrame:
 
 
 def training_windows(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Classes and gold tags of SAMPLE windows, half of them with a base span."""
+    """Classes and gold tags of SAMPLE windows: a fifth each without and with a base span, the others of planted stretches."""
 
-    half = SAMPLE // 2
+    shares = (SAMPLE // 5, SAMPLE // 5, SAMPLE * 3 // 5)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             drawn: tuple[list, list] = ([], [])
+            whole = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                if len(text) >= STRETCH:
+                    whole.append((hashlib.md5(f"pii-2:{doc_id}:{len(text)}".encode()).hexdigest(), text))
                 starts = windows(text)
                 if not starts:
                     continue
-                codes, tags = window_codes(text, starts), gold_tags(base_spans(text), starts)
+                codes, tags = window_codes(text, starts), gold_tags(base_spans(text, bool), starts)
                 for s, c, t in zip(starts, codes, tags, strict=True):
                     key = hashlib.md5(f"pii-1:{doc_id}:{s}".encode()).hexdigest()
                     drawn[int(t.any())].append((key, c.tobytes(), t.tobytes()))
-            rows = [(k, *x) for k in (0, 1) for x in heapq.nsmallest(half, drawn[k])]     # the first of all are among the first of each batch
+            rows = [(k, *x) for k in (0, 1) for x in heapq.nsmallest(shares[k], drawn[k])]     # the first of all are among the first of each batch
+            for key, text in heapq.nsmallest(shares[2], whole):
+                rng = random.Random(key)
+                begin = rng.randint(0, len(text) - STRETCH)
+                text, spans = planted(text[begin : begin + STRETCH], rng)
+                starts = windows(text)
+                rows += [(2, f"{key}:{s}", c.tobytes(), t.tobytes()) for s, c, t in zip(starts, window_codes(text, starts), gold_tags(spans, starts), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.string(), pa.binary(), pa.binary()))],
                 names=["spans", "draw", "codes", "tags"],
             )
 
     found = stored(_with_trigger(docs).mapInArrow(run, "spans int, draw string, codes binary, tags binary"), "pii-windows")
-    first = [found.where(F.col("spans") == k).orderBy("draw", "codes").limit(half) for k in (0, 1)]
-    picked = first[0].unionByName(first[1]).toArrow().sort_by([("draw", "ascending"), ("codes", "ascending")])
+    first = [found.where(F.col("spans") == k).orderBy("draw", "codes").limit(n) for k, n in enumerate(shares)]
+    picked = first[0].unionByName(first[1]).unionByName(first[2]).toArrow().sort_by([("draw", "ascending"), ("codes", "ascending")])
     shape = (len(picked), WINDOW)
     return tuple(np.frombuffer(b"".join(picked[c].to_pylist()), np.int8).reshape(shape) for c in ("codes", "tags"))
 
