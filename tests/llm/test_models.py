@@ -350,6 +350,22 @@ def test_style_tree_and_articles(spark):
     assert "lonely" in got[300]
 
 
+def test_labels_stay_with_their_text(spark):
+    """Headings, captions and table headers that all pages of a host share belong to the text that they name."""
+    rng = random.Random(22)
+    rows, want = [], {}
+    for i in range(12):
+        a, b, c, d = (f"{x}{i} {prose(rng, 25)}" for x in "abcd")
+        table = f"<table><caption>Prices</caption><tr><th>Item</th><th>Price</th></tr><tr><td>{c}</td><td>{i}7</td></tr></table>"
+        box = "<div class=box><h3>About the <i>author</i></h3><p>Writes for us</p></div>"
+        figure = f"<figure><img src=x><figcaption>Photo: Acme</figcaption></figure><p>{d}</p><h2>Sources</h2>"
+        rows.append((i, "https://labels.example/", f"<body><article><h1>Title {a}</h1><h2>Background</h2><p>{a}</p>{box}<h2>Method <b>and</b><br>data</h2><p>{b}</p>{table}{figure}</article><div>Imprint</div></body>"))
+        blocks = [f"Title {a}", "Background", a, "Method and data", b, "Prices", "Item", "Price", c, f"{i}7", "Photo: Acme", d, "Sources"]
+        want[i] = "\n\n".join(" ".join(x.split()) for x in blocks)
+    got = {r["page_id"]: r["text"] for r in html_extract.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == want
+
+
 @pytest.mark.parametrize(("page", "text"), [
     ("<div class='page has-sidebar'><article><p>a text</p></article></div>", "a text"),
     ("<div class='content-sidebar-wrap'><article><p>a text</p></article><div class=sidebar>s</div></div>", "a text"),

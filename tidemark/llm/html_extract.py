@@ -10,7 +10,9 @@ pages, whose importance is below ``LOW``, is removed from each page with its bra
 a node below it is important. Pages with the same HTML count once, so that copies of an
 article don't make it look like a menu.
 
-The article or main element is a prior. Inside it, blocks go only below ``LOW_MAIN``. Outside
+The article or main element is a prior. Inside it, blocks go only below ``LOW_MAIN``, and a
+heading, caption or table header that pages share ("Background", "Price") goes or stays with the
+first text after it that is none, or, at the element's end, with the last one before. Outside
 it, what the tree knows nothing of goes, if the element holds ``PRIOR`` of the text; branches
 with a node whose content reaches ``HIGH`` stay.
 
@@ -79,6 +81,8 @@ _NAME = re.compile(
 #: Words before a name that make it a remark on the layout.
 _REMARK = re.compile(r"(?:^|(?<=\s))(?:has|have|with|without|no|not|hide|hides|show|shows|is)[_-]\S*", re.I)
 _MAIN = frozenset(("article", "main"))
+#: Elements that say what the text beside them is.
+_LABELS = frozenset("h1 h2 h3 h4 h5 h6 hgroup caption figcaption legend summary th thead dt".split())
 
 
 @dataclass
@@ -258,14 +262,32 @@ def extract(page: str, low: frozenset[int], high: frozenset[int] = frozenset(),
             node = node.up
         return node.path in high        # text of the body itself
 
+    def label(node: Node) -> bool:
+        while node.up and node.main and node.tag not in _MAIN:
+            if node.tag in _LABELS:
+                return True
+            node = node.up
+        return False
+
     decided: dict[int, bool] = {}
-    kept = []
-    for p in pieces:
-        key = id(p[0])
+    labels: dict[int, bool] = {}
+    for node, _, _ in pieces:
+        key = id(node)
         if key not in decided:
-            decided[key] = p[0].keep and stays(p[0])
-        if decided[key]:
-            kept.append(p)
+            decided[key], labels[key] = node.keep and stays(node), label(node)
+    marks = [decided[id(node)] for node, _, _ in pieces]
+    told = [False] * len(pieces)
+    for order in (range(len(pieces) - 1, -1, -1), range(len(pieces))):
+        beside = None       # whether the nearest text that is no label stays: first the one after, then the one before
+        for i in order:
+            node, _, text = pieces[i]
+            if not node.main:
+                beside = None
+            elif not labels[id(node)]:
+                beside = marks[i] if node.keep and text.strip() else beside
+            elif node.keep and not decided[id(node)] and beside is not None and not told[i]:
+                marks[i], told[i] = beside, True
+    kept = [p for p, mark in zip(pieces, marks, strict=True) if mark]
     return "\n\n".join(b for b in blocks(kept) if b)
 
 
