@@ -97,3 +97,12 @@ def test_count_per_key_equals_the_window(spark):
     assert got.columns == want.columns
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     assert "Window" not in plan_of(got)
+
+
+def test_the_right_side_is_never_broadcast_whole(spark, tmp_path):
+    """Repeated values compress so well that files of many keys look small enough to send."""
+    right = spark.range(20_000).selectExpr("id AS k", "'same' AS v")
+    right.write.parquet(str(tmp_path / "right"))
+    joined = skew.left_join_unique(spark.range(30_000).selectExpr("id AS k"), spark.read.parquet(str(tmp_path / "right")), ["k"])
+    assert joined.filter("v IS NOT NULL").count() == 20_000
+    assert "SortMergeJoin" in plan_of(joined) and "BroadcastHashJoin" not in plan_of(joined)
