@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -128,6 +129,29 @@ def test_knn_in_blocks_equals_one_scan(spark):
     assert {(h.query_id, h.id, h["rank"]) for h in hits.collect()} == brute(scores, 4)
 
 
+def test_knn_blocks_share_scans(spark, monkeypatch):
+    """Jobs grow with the numbers in the queries, not with the blocks that they are multiplied in."""
+    q, c, scores = vector_frames(spark, n_queries=40)
+    stored = []
+    monkeypatch.setattr(retrieval.tables, "store", lambda df, path, keep=retrieval.tables.store: stored.append(path) or keep(df, path))
+    hits = retrieval.knn(q, c, 4, block_queries=2)
+    assert {(h.query_id, h.id, h["rank"]) for h in hits.collect()} == brute(scores, 4) and not stored
+    monkeypatch.setattr(retrieval, "BLOCK_VALUES", 20 * len(q.first().embedding))
+    hits = retrieval.knn(q, c, 4, block_queries=2)
+    assert {(h.query_id, h.id, h["rank"]) for h in hits.collect()} == brute(scores, 4) and len(stored) == 5
+
+
+def test_knn_beyond_one_matrix(spark, monkeypatch):
+    """Rows and pairs in several pieces, many of them equal: the ids settle it."""
+    q, c, scores = vector_frames(spark)
+    for name, n in (("ROWS_AT_ONCE", 7), ("SCORES_AT_ONCE", 21), ("PAIRS_AT_ONCE", 5)):
+        monkeypatch.setattr(retrieval, name, n)
+    batches = np.array_split(c.toPandas(), 3)
+    rows = q.toPandas()
+    got = pd.concat(retrieval._scan(rows["query_id"].tolist(), retrieval._unit(np.stack(rows["embedding"])), iter(batches), "id", "embedding", ["part"], 4))
+    assert {(r.query_id, r.id) for r in got.itertuples()} == {(a, b) for a, b, _ in brute(scores, 4)}
+
+
 @pytest.mark.parametrize("block", [1, 10])
 def test_repeated_ids_are_rows_of_their_own(spark, block):
     c = spark.createDataFrame([(1, [1.0, 0.0], "a"), (1, [1.0, 0.0], "b"), (2, [0.0, 1.0], "c")], "id long, embedding array<double>, part string")
