@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 
 from tidemark import presets
 from tidemark.plans import kpi, marts, silver, star
+from tidemark.session import split_wide_steps
+from tidemark.workload.queries import QUERIES
+from tidemark.workload.raw import raw
 
 CLAIM_COLUMNS = (
     "ClaimID", "PolicyID", "Claim_Logged_On", "Claim_Processed_On", "Claim_Rejected", "incident_date", "incident_state",
@@ -228,3 +231,18 @@ def test_claim_performance_matches_the_plain_joins(spark):
 
 def test_presets_hold_the_published_weights():
     assert sum(w for _, w, _, _ in presets.RISK_RULES) == 100
+
+
+def test_wide_cleaning_steps_stay_under_the_jit_limit(spark):
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.unset(limit)
+    split_wide_steps(spark)
+    assert spark.conf.get(limit) == "8000"
+    spark.conf.set(limit, "9000")
+    split_wide_steps(spark)
+    assert spark.conf.get(limit) == "9000"      # a limit of the user's own stays
+    spark.conf.unset(limit)
+    for name in ("risk_features", "kpi_policy", "issues_claims"):
+        spark.conf.unset(limit)
+        QUERIES[name](spark, "/root/testdata/sf0.001")
+        assert spark.conf.get(limit) == "8000"

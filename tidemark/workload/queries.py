@@ -15,7 +15,7 @@ from tidemark.operators import dedup, infer, quarantine, retrieval, risk, rules,
 from tidemark.operators.partials import Partials
 from tidemark.operators.specs import IssueSpec
 from tidemark.plans import kpi, marts, silver, star
-from tidemark.session import shared_dir
+from tidemark.session import shared_dir, split_wide_steps
 from tidemark.sources import ingest, schema_log, tables
 from tidemark.streaming import flows, pipeline
 from tidemark.workload import replies
@@ -27,14 +27,20 @@ QUERIES: dict[str, Query] = {}
 AS_OF = "2001-09-01"      # day on which listings are aged
 
 
-def query(fn: Query) -> Query:
-    """Register ``fn``. Every call builds its plans anew; only within a call are they shared."""
+def _fresh(fn: Query) -> Query:
+    """Every call builds its plans anew; only within a call are they shared."""
 
-    def fresh(spark: SparkSession, folder: str) -> DataFrame:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
         forget_plans()
+        split_wide_steps(spark)
         return fn(spark, folder)
 
-    QUERIES[fn.__name__] = fresh
+    return run
+
+
+def query(fn: Query) -> Query:
+    """Register ``fn``."""
+    QUERIES[fn.__name__] = _fresh(fn)
     return fn
 
 
@@ -250,7 +256,6 @@ def _log(spark, d, name):
 
 def _issues(name: str) -> Query:
     def run(spark, d):
-        forget_plans()
         key = ENTITIES[name][3]
         return _log(spark, d, name).select(
             "table_name",
@@ -260,7 +265,7 @@ def _issues(name: str) -> Query:
             F.get_json_object("affected_record", f"$.{key}").alias("record_key"),
         )
 
-    return run
+    return _fresh(run)
 
 
 for _name in ENTITIES:
@@ -469,11 +474,11 @@ def kpi_claims(spark, d):
 
 
 def _kpi_policy(exact: bool) -> Query:
-    return lambda spark, d: _rounded(kpi.policy(_dim_policy(spark, d), _facts(spark, d), exact))
+    return _fresh(lambda spark, d: _rounded(kpi.policy(_dim_policy(spark, d), _facts(spark, d), exact)))
 
 
 def _kpi_customer(exact: bool) -> Query:
-    return lambda spark, d: _rounded(kpi.customer(_dim_customer(spark, d), _facts(spark, d), exact))
+    return _fresh(lambda spark, d: _rounded(kpi.customer(_dim_customer(spark, d), _facts(spark, d), exact)))
 
 
 QUERIES["kpi_policy"] = _kpi_policy(False)
