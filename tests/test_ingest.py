@@ -170,3 +170,16 @@ def test_overwrite_may_change_the_schema(spark, tmp_path):
     assert tables.as_view(spark.range(4), "four").count() == 4
     stored = tables.store(spark.range(5).withColumn("x", F.lit(1.5)), str(tmp_path / "s"))
     assert stored.count() == 5 and dict(stored.dtypes)["x"] == "double"
+
+
+def test_fields_of_a_json_line_are_read_once(spark, tmp_path):
+    """The names that fit are found once per line, not once per field of the line."""
+    lines = ['{"a":"1","b":"x"}', '{"a":"no","b":"x"}', '{"a":null,"b":null,"c":null}', '{"b":"y","c":{"d":[1]},"e":2}', "[1]", "7", '{"a":"2"', "{}"]
+    (tmp_path / "lines.txt").write_text("\n".join(lines))
+    rows = ingest.json_rescue(spark, str(tmp_path), "*.txt", "a int, b string")
+    got = [(r.a, r.b, r[ingest.RESCUED]) for r in rows.collect()]
+    want = [(1, "x", None), (None, "x", '{"a":"no"}'), (None, None, None), (None, "y", '{"c":{"d":[1]},"e":2}'),
+            (None, None, "[1]"), (None, None, "7"), (None, None, '{"a":"2"'), (None, None, None)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_variant_get") == 3      # a, b and the map of all fields
