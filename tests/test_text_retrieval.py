@@ -141,6 +141,17 @@ def test_knn_blocks_share_scans(spark, monkeypatch):
     assert {(h.query_id, h.id, h["rank"]) for h in hits.collect()} == brute(scores, 4) and len(stored) == 5
 
 
+@pytest.mark.parametrize("values", [4_000_000, 12])
+def test_rows_of_one_query_id_share_its_hits(spark, monkeypatch, values):
+    """However queries are dealt, an id has k hits in all."""
+    monkeypatch.setattr(retrieval, "BLOCK_VALUES", values)
+    c = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(9)], "id long, embedding array<double>")
+    q = spark.createDataFrame([(i % 3, [1.0, 2.0]) for i in range(24)], "query_id long, embedding array<double>")
+    hits = retrieval.knn(q, c, 2, block_queries=3).collect()
+    assert sorted((h.query_id, h["rank"]) for h in hits) == [(i, r) for i in range(3) for r in (1, 2)]
+    assert {h.id for h in hits} == {2}
+
+
 def test_knn_beyond_one_matrix(spark, monkeypatch):
     """Rows and pairs in several pieces, many of them equal: the ids settle it."""
     q, c, scores = vector_frames(spark)
