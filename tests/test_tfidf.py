@@ -57,3 +57,15 @@ def test_no_python_in_the_plan(model):
     df, fitted = model
     plan = tfidf.encode(df, ["id"], "text", fitted)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_words_are_counted_where_their_text_lies(spark):
+    """What travels to count words is the texts, not a row per word."""
+    df = spark.createDataFrame([(1, "a b a"), (2, "b"), (1, "a c"), (None, "c"), (None, "c c"), (3, None)], "doc_id long, text string")
+    counted = tfidf.counts(df, ["doc_id"], "text")
+    got = sorted(((r.doc_id, r.word, r.n) for r in counted.collect()), key=str)
+    assert got == sorted([(1, "a", 3), (1, "b", 1), (1, "c", 1), (2, "b", 1), (None, "c", 3)], key=str)
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("RepartitionByExpression")      # the words come after the shuffle
+    physical = counted._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert physical.count("Exchange hashpartitioning") == 1

@@ -23,8 +23,13 @@ def words(text: Column | str) -> Column:
 
 
 def counts(df: DataFrame, ids: Sequence[str], text_col: str) -> DataFrame:
-    """How often each word occurs in each row: ids, word, n. Rows of the same ids are one text."""
-    split = df.select(*ids, F.explode(words(text_col)).alias("word"))
+    """How often each word occurs in each row: ids, word, n. Rows of the same ids are one text.
+
+    Whole texts go to their ids' partition, where their words are counted: a text is several
+    times smaller than the rows of its words.
+    """
+    texts = df.select(*ids, F.col(text_col).alias("_text")).repartition(*ids)
+    split = texts.select(*ids, F.explode(words("_text")).alias("word"))
     return split.groupBy(*ids, "word").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -42,7 +47,8 @@ def encode(df: DataFrame, ids: Sequence[str], text_col: str, model: DataFrame) -
     A word that is in every text is a hot key of the join with the model; ``skew`` spreads it.
     """
     found = counts(df, ids, text_col)
-    known = skew.left_join_unique(found, model.select("word", F.col("weight").alias("_idf")), ["word"])
+    each = df.select(F.explode(F.array_distinct(words(text_col))).alias("word"))
+    known = skew.left_join_unique(found, model.select("word", F.col("weight").alias("_idf")), ["word"], each)
     raw = known.filter("_idf IS NOT NULL").withColumn("_w", F.col("n") * F.col("_idf"))
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(*ids)))     # over one text's words
     return raw.select(*ids, "word", (F.col("_w") / norm).alias("weight"))
