@@ -287,6 +287,29 @@ def test_lcs():
         assert decontaminate.lcs(masks, len(a), b) == table[-1, -1]
 
 
+@pytest.mark.parametrize("cells", [64, decontaminate.CELLS])
+def test_shares_of_many_candidates_are_those_of_each(monkeypatch, cells):
+    """Items of one to several masks of 64 words, all surroundings at once, against one at a time."""
+    monkeypatch.setattr(decontaminate, "CELLS", cells)
+    rng = random.Random(23)
+    vocabulary = prose(rng, 60).split()
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(n)) for n in (1, 7, 63, 64, 65, 128, 129, 300)] + [""]
+    space = np.random.default_rng(1).normal(size=(decontaminate.DIMS, 8)).astype(np.float32)
+    queries = decontaminate.Queries(list(range(len(texts))), texts, space, np.ones(decontaminate.DIMS, np.float32))
+    (_, _, _, text), = words(pa.array([" ".join(rng.choice(vocabulary) for _ in range(900)) + " " + texts[5]]))
+    cases = [(i, lo, min(len(text), lo + rng.choice([5, 80, 200, 700]))) for i in range(8) for lo in rng.sample(range(900), 20)] + [(5, 890, len(text))]
+    items, lo, hi = (np.array(c) for c in zip(*cases, strict=True))
+    got = queries.shares(items, text, decontaminate.buckets(text), lo, hi)
+    for (item, a, b), share in zip(cases, got, strict=True):
+        own, near = queries.words[item], text[a:b].tolist()
+        masks = {}
+        for k, w in enumerate(own):
+            masks[w] = masks.get(w, 0) | 1 << k
+        enough = sum(w in masks for w in near) >= decontaminate.LCS_ANSWER * len(own)
+        assert share == (decontaminate.lcs(masks, len(own), near) / len(own) if enough else 0)
+    assert got[-1] == 1
+
+
 # --- pages ---
 
 
