@@ -186,6 +186,36 @@ def test_one_pair_joins_two_large_families(spark, monkeypatch):
     assert {r["class_id"] for r in apart} == {0, 100}
 
 
+def test_pairs_just_below_the_threshold_make_no_rows(spark, monkeypatch):
+    """Hundreds of texts of 0.7 to 0.8: a member meets the others in blocks, and no table has a row for each pair."""
+    sizes = {}
+
+    def counted(df, purpose):
+        out = stored(df, purpose)
+        sizes[purpose] = max(sizes.get(purpose, 0), out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup, "stored", counted)
+    rng, rows = random.Random(12), []
+    base = prose(rng, 400).split()
+    for i in range(400):
+        words = list(base)
+        for k in rng.sample(range(400), 4):
+            words[k] = f"own{i}x{k}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = near_dedup.classes(docs).collect()
+    factor = near_dedup.frequency_factors(docs)
+    sets, root = [near_dedup._one(t, factor) for _, t in rows], list(range(400))
+    for i in range(400):        # brute force
+        for j in range(i):
+            if root[i] != root[j] and near_dedup.jaccard(sets[i], sets[j]) >= near_dedup.THRESHOLD:
+                root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
+    assert {r["doc_id"]: r["class_id"] for r in got} == dict(enumerate(root))
+    bands = near_dedup.LEVELS[1][0]
+    assert max(sizes.values()) <= 400 * bands < 400 * 399 / 4, sizes
+
+
 def test_levels_have_the_claimed_recall():
     assert all((1 - 0.8**rows) ** bands <= 1.05e-4 for bands, rows in near_dedup.LEVELS)
 

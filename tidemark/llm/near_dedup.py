@@ -15,8 +15,12 @@ members are all in one component are done. The vertices of all others get more s
 bands (the second of ``LEVELS``), which part texts of middling similarity. In each bucket that
 still holds two components, every member is then compared with every member of another
 component: samples in blocks of ``BLOCK`` members (the largest component's members only with
-the rest), and each pair that they leave once by its exact similarity. No pair is skipped but by
-its samples, and no rounds go on to convergence. Components of all links are the classes.
+the rest), each pair in the first bucket that it shares. Members that have a pair left by its
+samples meet again in their blocks with their texts, and the exact similarity of these pairs
+decides, those that agree most first. A pair whose ends earlier pairs of the block have linked
+says nothing new; all others are compared, and a block gives no more links than it has
+members. So no pair makes a row of its own, none is skipped but by its samples, and no rounds
+go on to convergence. Components of all links are the classes.
 
 A pair at exactly 0.8 is lost with a chance of one in ten thousand by each level's bands and by
 the samples' bound: at least 0.9997 of such links are found.
@@ -44,8 +48,8 @@ K, THRESHOLD = 5, 0.8
 #: Bands and samples in a band: all texts, then those of unsettled buckets. (1 - 0.8 ** samples) ** bands is 0.0001 at most.
 LEVELS = ((18, 4), (50, 8))
 CENTRES, ROUNDS = 4, 2
-#: Members of a bucket that are compared with as many others at once.
-BLOCK = 512
+#: Members of a bucket, and bytes of their texts, that are compared with as many others at once.
+BLOCK, BLOCK_BYTES = 512, 1 << 24
 #: Standard deviations below the expected agreement at which the threshold is ruled out.
 DOUBT = 3.7
 #: Weighted sets that a task keeps while it compares pairs, in shingles.
@@ -138,7 +142,10 @@ def least_agreement(level: int, threshold: float) -> int:
 
 
 def signer(factor, level: int):
-    """An Arrow function from texts to their set's key, band hashes, and a byte of each sample."""
+    """An Arrow function from texts to their set's key, band hashes, and a byte of each sample.
+
+    Beyond the first level bands are made of these bytes, which show a pair's first common band.
+    """
     bands, rows = LEVELS[level]
     before = sum(b * r for b, r in LEVELS[:level])
 
@@ -157,9 +164,9 @@ def signer(factor, level: int):
                 checks[first + some] = signed(mixed(np.add.reduceat(mixed(tagged ^ _ODD), starts)))
                 drawn = samples(own, weights, np.append(starts, at[-1]), range(before, before + bands * rows), tables)
                 key = np.zeros((len(some), bands), np.uint64) + np.arange(before, before + bands, dtype=np.uint64) + np.uint64(1)
-                for k in range(rows):
-                    key = mixed(key * _ODD + drawn[:, k::rows])
                 short = (drawn >> np.uint64(56)).astype(np.uint8)
+                for k in range(rows):
+                    key = mixed(key * _ODD + (short.astype(np.uint64) if level else drawn)[:, k::rows])
                 for i, j in enumerate(some):
                     buckets[first + j], codes[first + j] = signed(key[i]), short[i].tobytes()
             for i in set(range(last - first)) - set(some.tolist()):
@@ -188,14 +195,9 @@ def verified(pairs: DataFrame, pool: DataFrame, factor, threshold: float) -> Dat
                 if key not in known:
                     if size > KEPT:
                         known, size = {k: known[k] for k in (i, j) if k in known}, 0
-                    known[key] = _one(text, factor.value)
+                    known[key] = _one(text.as_py(), factor.value)
                     size += len(known[key][0])
-            (own, weights), (others, theirs) = known[i], known[j]
-            at = np.searchsorted(others, own)
-            at[at == len(others)] = 0
-            same = others[at] == own
-            both = float(np.minimum(weights[same], theirs[at[same]]).sum())
-            out.append(both / max(1e-12, float(weights.sum()) + float(theirs.sum()) - both))
+            out.append(jaccard(known[i], known[j]))
         return pa.array(out, pa.float64())
 
     similarity = F.arrow_udf(run, "double")
@@ -205,11 +207,24 @@ def verified(pairs: DataFrame, pool: DataFrame, factor, threshold: float) -> Dat
     return both.select("id", "centre", similarity("id", "centre", "a", "b").alias("similarity")).where(F.col("similarity") >= threshold)
 
 
-def _one(text, factor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    _, _, own, weights, _ = next(weighted(pa.array([text.as_py()], pa.large_string()), factor))
+Set = tuple[np.ndarray, np.ndarray]
+
+
+def _one(text: str, factor: np.ndarray) -> Set:
+    _, _, own, weights, _ = next(weighted(pa.array([text], pa.large_string()), factor))
     return own, weights
 
 
+def jaccard(left: Set, right: Set) -> float:
+    """Weighted Jaccard similarity of two texts' shingles (sorted) with their weights."""
+    (own, weights), (others, theirs) = left, right
+    at = np.searchsorted(others, own)
+    at[at == len(others)] = 0
+    same = others[at] == own
+    both = float(np.minimum(weights[same], theirs[at[same]]).sum())
+    return both / max(1e-12, float(weights.sum()) + float(theirs.sum()) - both)
+
+
 def _tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -223,8 +238,8 @@ def _rooted(rows: DataFrame, roots: DataFrame | None, id: str = "id", root: str
 
 
 def _unsettled(met: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """(bucket, id, root) of the buckets whose members aren't all in one component."""
-    now = _rooted(met.select("bucket", "id"), roots)
+    """(bucket, id, root, and what else met has) of the buckets whose members aren't all in one component."""
+    now = _rooted(met.select([c for c in met.columns if c != "root"]), roots)
     several = now.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("bucket")
     return stored(now.join(several, "bucket", "left_semi"), "met")
 
@@ -252,18 +267,19 @@ def _nearest_centres(met: DataFrame, turn: int, codes: DataFrame, least: int, te
     return best.groupBy(F.greatest("id", "centre").alias("id"), F.least("id", "centre").alias("centre")).agg(F.first("a").alias("a"), F.first("b").alias("b"))
 
 
-def _in_blocks(met: DataFrame, codes: DataFrame) -> DataFrame:
-    """Members (bucket, id, root, codes) dealt to pairs of blocks: side 0 is compared with side 1, or all with all if i = j.
+def _in_blocks(met: DataFrame) -> DataFrame:
+    """Members (bucket, band, id, root) dealt to pairs of blocks: side 0 is compared with side 1, or all with all if i = j.
 
     Members of a large bucket's largest component meet the others only.
     """
-    by_root = met.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-    sizes = by_root.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("n"))
-    large = F.col("n") > BLOCK
-    blocks = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
+    by_root = met.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+    sizes = by_root.groupBy("bucket").agg(F.max(F.struct("n", "root", "bytes")).alias("top"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
+    large = (F.col("n") > BLOCK) | (F.col("bytes") > BLOCK_BYTES)
+    blocks = lambda n, size: F.greatest(F.ceil(n / F.lit(BLOCK)), F.ceil(size / F.lit(BLOCK_BYTES))).cast("int")
+    rest = blocks(F.col("n") - F.col("top.n"), F.col("bytes") - F.col("top.bytes"))
     sizes = sizes.select(
-        "bucket", F.when(large, F.col("top.root")).alias("main"), F.when(large, blocks(F.col("n") - F.col("top.n"))).otherwise(1).alias("n_rest"),
-        F.when(large, blocks(F.col("top.n"))).otherwise(0).alias("n_main"),
+        "bucket", F.when(large, F.col("top.root")).alias("main"), F.when(large, rest).otherwise(1).alias("n_rest"),
+        F.when(large, blocks(F.col("top.n"), F.col("top.bytes"))).otherwise(0).alias("n_main"),
     )
     rows = met.join(sizes, "bucket").withColumn("is_main", F.coalesce(F.col("root") == F.col("main"), F.lit(False)))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.when(F.col("is_main"), F.col("n_main")).otherwise(F.col("n_rest"))).cast("int"))
@@ -274,62 +290,110 @@ def _in_blocks(met: DataFrame, codes: DataFrame) -> DataFrame:
     to_main = F.transform(upto(F.col("n_main")), lambda k: place(no, own, k, no))
     to_rest = F.transform(upto(F.col("n_rest")), lambda k: place(no, k, own, yes))
     places = F.when(F.col("is_main"), to_rest).otherwise(F.concat(among_rest, to_main))
-    return rows.select("bucket", "id", "root", F.explode(places).alias("p")).select("bucket", "p.*", "id", "root").join(codes, "id")
+    return rows.select("bucket", "band", "id", "root", F.explode(places).alias("p")).select("bucket", "band", "p.*", "id", "root")
 
 
 _BLOCK_KEY = ["bucket", "within", "i", "j"]
-
-
-def _alike(met: DataFrame, codes: DataFrame, least: int) -> DataFrame:
-    """Pairs (id, centre) with their roots a, b, of members with different roots that agree in ``least`` samples."""
-
-    def compare(rows: dict) -> Iterator[tuple[np.ndarray, ...]]:
-        ids, roots, side = rows["id"], rows["root"], rows["side"]
-        codes = rows["codes"]
-        whole = rows["within"][0] and rows["i"][0] == rows["j"][0]
-        left = np.arange(len(ids)) if whole else np.flatnonzero(side == 0)
-        right = left if whole else np.flatnonzero(side == 1)
-        for k, x in enumerate(left):
-            to = right[k + 1 :] if whole else right
-            to = to[roots[to] != roots[x]]
-            if len(to):
-                same = (codes[to] == codes[x]).view(np.uint64)
-                to = to[np.bitwise_count(same).sum(axis=1, dtype=np.int64) >= least]
-            if len(to):
-                here = np.full(len(to), x)
-                up = np.where(ids[to] > ids[x], to, here)
-                down = np.where(ids[to] > ids[x], here, to)
-                yield ids[up], ids[down], roots[up], roots[down]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, rest = ["id", "centre", "a", "b"], None
-
-        def out(tables) -> Iterator[pa.RecordBatch]:
-            found = [hit for t in tables for hit in compare(t)]
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], names=names)
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            now = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in (*_BLOCK_KEY, "side", "id", "root")}
-            data, at = batch.column("codes"), batch.num_rows
-            now["codes"] = np.frombuffer(b"".join(data.to_pylist()), np.uint8).reshape(at, -1)
-            if rest is not None:
-                now = {c: np.concatenate([rest[c], now[c]]) for c in now}
-            new = np.zeros(len(now["id"]), bool)
-            new[0] = True
-            for c in _BLOCK_KEY:
-                new[1:] |= now[c][1:] != now[c][:-1]
-            begins = np.flatnonzero(new)
-            yield from out({c: v[a:b] for c, v in now.items()} for a, b in zip(begins, begins[1:], strict=False))
-            rest = {c: v[begins[-1] :] for c, v in now.items()}       # the last block may go on
+_MEMBER = [*_BLOCK_KEY, "side", "band", "id", "root"]
+Block = dict[str, np.ndarray]
+
+
+def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
+    """Block after block out of rows that are sorted by block."""
+    rest = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        now = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names if c != "codes"}
+        now["codes"] = np.frombuffer(b"".join(batch.column("codes").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
         if rest is not None:
-            yield from out([rest])
-
-    dealt = _in_blocks(met, codes).repartition(_tasks(met.sparkSession), *_BLOCK_KEY).sortWithinPartitions(*_BLOCK_KEY)
-    pairs = dealt.select(*_BLOCK_KEY, "side", "id", "root", "codes").mapInArrow(run, "id long, centre long, a long, b long")
-    return pairs.distinct()
+            now = {c: np.concatenate([rest[c], now[c]]) for c in now}
+        new = np.zeros(len(now["id"]), bool)
+        new[0] = True
+        for c in _BLOCK_KEY:
+            new[1:] |= now[c][1:] != now[c][:-1]
+        begins = np.flatnonzero(new)
+        for a, b in zip(begins, begins[1:], strict=False):
+            yield {c: v[a:b] for c, v in now.items()}
+        rest = {c: v[begins[-1] :] for c, v in now.items()}       # the last block may go on
+    if rest is not None:
+        yield rest
+
+
+def _candidates(block: Block, least: int, rows: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Member by member, the others with another root that agree in ``least`` samples, and in how many.
+
+    A pair that shares several buckets counts in that of its first band.
+    """
+    roots, side, codes, band = block["root"], block["side"], block["codes"], block["band"][0]
+    whole = block["within"][0] and block["i"][0] == block["j"][0]
+    left = np.arange(len(roots)) if whole else np.flatnonzero(side == 0)
+    right = left if whole else np.flatnonzero(side == 1)
+    for k, x in enumerate(left):
+        to = right[k + 1 :] if whole else right
+        to = to[roots[to] != roots[x]]
+        if len(to):
+            same = codes[to] == codes[x]
+            n = np.bitwise_count(same.view(np.uint64)).sum(axis=1, dtype=np.int64)
+            enough = np.flatnonzero(n >= least)
+            here = enough[same[enough].reshape(len(enough), codes.shape[1] // rows, rows).all(axis=2).argmax(axis=1) == band]
+            if len(here):
+                yield int(x), to[here], n[here]
+
+
+def _links(block: Block, factor: np.ndarray, threshold: float, least: int, rows: int) -> Iterator[tuple[int, int]]:
+    """Pairs of roots that link all components of the block which similar members link, directly or by others."""
+    found = [(np.full(len(to), x), to, n) for x, to, n in _candidates(block, least, rows)]
+    if not found:
+        return
+    x, y, n = (np.concatenate(c) for c in zip(*found, strict=True))
+    order = np.argsort(-n, kind="stable")
+    sets: dict[int, Set] = {}
+    parent: dict[int, int] = {}
+
+    def top(root: int) -> int:
+        while (up := parent.get(root, root)) != root:
+            parent[root] = root = parent.get(up, up)
+        return root
+
+    roots = block["root"].tolist()
+    for i, j in zip(x[order].tolist(), y[order].tolist(), strict=True):
+        a, b = top(roots[i]), top(roots[j])
+        if a == b:
+            continue
+        for k in (i, j):
+            if k not in sets:
+                sets[k] = _one(block["text"][k], factor)
+        if jaccard(sets[i], sets[j]) >= threshold:
+            parent[max(a, b)] = min(a, b)
+            yield roots[i], roots[j]
+
+
+def _alike(met: DataFrame, finer: DataFrame, factor, threshold: float) -> DataFrame:
+    """(a, b): pairs of roots that link all components with similar members (bucket, band, id, root) in one bucket."""
+    least, rows = least_agreement(1, threshold), LEVELS[1][1]
+
+    def involved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _whole_blocks(batches):
+            some = np.zeros(len(block["id"]), bool)
+            for x, to, _ in _candidates(block, least, rows):
+                some[x] = some[to] = True
+            if some.any():
+                yield pa.RecordBatch.from_arrays([pa.array(block[c][some]) for c in _MEMBER], names=_MEMBER)
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _whole_blocks(batches):
+            pairs = list(_links(block, factor.value, threshold, least, rows))
+            if pairs:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*pairs, strict=True)], names=["a", "b"])
+
+    def dealt(members: DataFrame, columns: list[str]) -> DataFrame:
+        rows = members.join(finer.select("id", *columns), "id").repartition(_tasks(met.sparkSession), *_BLOCK_KEY)
+        return rows.sortWithinPartitions(*_BLOCK_KEY).select(*_MEMBER, *columns)
+
+    schema = "bucket long, within boolean, i int, j int, side int, band int, id long, root long"
+    some = stored(dealt(_in_blocks(met), ["codes"]).mapInArrow(involved, schema), "involved")
+    return dealt(some, ["codes", "text"]).mapInArrow(linked, "a long, b long")
 
 
 def _merged(roots: DataFrame | None, good: DataFrame) -> DataFrame | None:
@@ -367,10 +431,9 @@ def _components(vertices: DataFrame, factor, threshold: float) -> DataFrame | No
         met = _unsettled(met, roots)
     # few rows, much work for each: deal them out to all tasks
     rest = pool.select("rid", "text").join(met.select(F.col("id").alias("rid")).distinct(), "rid", "left_semi").repartition(_tasks(spark), "rid")
-    finer = stored(rest.withColumn("sig", signer(factor, 1)("text")).select(F.col("rid").alias("id"), "sig.bands", "sig.codes"), "finer")
-    met = _unsettled(finer.select("id", F.explode("bands").alias("bucket")), roots)
-    pairs = _alike(met, finer.select("id", "codes"), least_agreement(1, threshold)).join(tested, ["id", "centre"], "left_anti")
-    return _linked(stored(pairs, "pairs"), pool, factor, threshold, roots)
+    finer = stored(rest.withColumn("sig", signer(factor, 1)("text")).select(F.col("rid").alias("id"), "text", "sig.bands", "sig.codes"), "finer")
+    met = _unsettled(finer.select("id", F.octet_length("text").alias("size"), F.posexplode("bands").alias("band", "bucket")), roots)
+    return _merged(roots, _alike(met, finer, factor, threshold))
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
