@@ -2,6 +2,7 @@
 
 import math
 import random
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -112,3 +113,34 @@ def test_upsert_store_and_state_equal_batch(spark, tmp_path):
     ).trigger(availableNow=True).start().awaitTermination()
     last = {r["k"]: r for r in seen}
     assert sorted(map(str, last.values())) == want
+
+
+def test_state_upsert_holds_many_keys_in_few_state_rows(spark, tmp_path):
+    """Ids beyond 2**53 beside null ones, null and tied sequences, times in another zone: each row that comes out beats the one before."""
+    ddl, rng, rows = "k long, name string, at timestamp, n long, v double", random.Random(5), []
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for n in range(4):
+            part = [
+                (rng.choice([None, 2**60 + rng.randint(0, 300), rng.randint(0, 300)]), rng.choice(["a", None]), rng.choice([None, datetime(2024, 7, 1, 12, rng.randint(0, 9))]), rng.randint(0, 3), rng.choice([None, 1.5, -2.0]))
+                for _ in range(500)
+            ]
+            rows += part
+            spark.createDataFrame(part, ddl).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(ddl).option("maxFilesPerTrigger", "1").parquet(str(tmp_path / "in"))
+        seen = []
+        query = flows.state_upsert(stream, ["k", "name"], ["at", "n"], buckets=16).writeStream.foreachBatch(lambda df, _: seen.extend(df.collect()))
+        query = query.option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+        query.awaitTermination()
+        want = dedup.latest_by_key(spark.createDataFrame(rows, ddl), ["k", "name"], ["at", "n"]).collect()
+        assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 16
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    rank = lambda r: tuple((x is not None, x) if x is not None else (False,) for x in (r["at"], r["n"], r["v"]))
+    last = {}
+    for r in seen:
+        key = (r["k"], r["name"])
+        assert key not in last or rank(r) > rank(last[key])
+        last[key] = r
+    assert sorted(map(str, last.values())) == sorted(map(str, want))
