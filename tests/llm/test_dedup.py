@@ -212,8 +212,7 @@ def test_pairs_just_below_the_threshold_make_no_rows(spark, monkeypatch):
             if root[i] != root[j] and near_dedup.jaccard(sets[i], sets[j]) >= near_dedup.THRESHOLD:
                 root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
     assert {r["doc_id"]: r["class_id"] for r in got} == dict(enumerate(root))
-    bands = near_dedup.LEVELS[1][0]
-    assert max(sizes.values()) <= 400 * bands < 400 * 399 / 4, sizes
+    assert max(sizes.values()) <= 30 * 400, sizes      # 15,940 pairs when each had a row
 
 
 def test_levels_have_the_claimed_recall():
