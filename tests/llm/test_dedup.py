@@ -96,6 +96,44 @@ def test_deduplicated_keeps_columns(edge_docs, edge_rows):
     assert sorted(r["text"] or "" for r in got.collect()) == sorted({r[1] or "" for r in edge_rows})
 
 
+def _moved(df, capsys):
+    """For each exchange of the plan, whether it moves texts."""
+    df.explain("formatted")
+    return [bool(re.search(r"\b(row|_extract_text|text)#", c)) for c in re.findall(r"\) Exchange\n(?:Input \[\d+\]|Arguments)[^\[]*\[(.*)\]", capsys.readouterr().out)]
+
+
+def test_whole_rows_move_once(spark, capsys):
+    """Rows that stay are dealt out once, also if some repeat id and text; and those come once."""
+    rows = [(i, f"text {i % 50}", "en") for i in range(100)] + [(7, "twin", "en"), (7, "twin", "de"), (None, "none", "en"), (None, "none", "en")]
+    docs = stored(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "rows")
+    repeats, plain = docs, docs.where("text like 'text%'")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = exact_dedup.deduplicated(plain)
+        assert sum(_moved(got, capsys)) == 1
+        assert sorted(r["doc_id"] for r in got.collect()) == list(range(50, 100))
+        got = sorted((r["doc_id"] or -1, r["text"]) for r in exact_dedup.deduplicated(repeats).collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert got == sorted([(i, f"text {i % 50}") for i in range(50, 100)] + [(7, "twin"), (-1, "none")])
+
+
+def test_whole_rows_stay_where_few_near_copies_go(spark, capsys):
+    rng = random.Random(12)
+    rows = [(i, prose(rng, 12)) for i in range(3000)]
+    rows += [(4000 + i, rows[i][1]) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8k")
+    try:
+        got = near_dedup.representatives(docs)
+        assert not any(_moved(got, capsys))
+        assert sorted(r["doc_id"] for r in got.collect()) == list(range(3000))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def _shingles(text):
     words = WORD.findall(text.translate(LOW))
     return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else {text}

@@ -15,7 +15,7 @@ from personal_lines import LINES
 
 import corpus_pipeline
 from tidemark.llm import decontaminate, html_extract, language_id, license_scan, personal_data, quality
-from tidemark.llm.common import words
+from tidemark.llm.common import stored, words
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOW = {i: i + 32 for i in range(65, 91)}
@@ -230,6 +230,26 @@ def test_decontamination_edges(spark, edge_docs, edge_rows, no_docs):
     assert decontaminate.contaminated(no_docs, items).count() == 0
 
 
+def test_products_are_summed_before_the_driver(spark, monkeypatch):
+    """The driver takes one matrix, not one of each task, and it is A'A of the passages."""
+    rng = random.Random(3)
+    lines = [prose(rng, rng.randint(1, 100)) for _ in range(60)] + [None, ""]
+    docs = stored(spark.createDataFrame([(t,) for t in lines], "text string").repartition(decontaminate.PARTS), "products")
+    idf = np.linspace(1, 2, decontaminate.DIMS).astype(np.float32)
+    basis = np.random.default_rng(1).normal(size=(decontaminate.DIMS, 5))
+    passages = []
+    for _, _, begins, hashes in words(pa.array(lines, pa.string())):
+        own = decontaminate.buckets(hashes)
+        for a, b in zip(begins, begins[1:], strict=False):
+            passages += [np.bincount(own[i : min(i + decontaminate.WINDOW, b)], minlength=decontaminate.DIMS) * idf for i in range(a, b, decontaminate.WINDOW)]
+    a = np.array(passages, np.float64)
+    taken, plain = [], type(docs).toArrow
+    monkeypatch.setattr(type(docs), "toArrow", lambda self: taken.append(plain(self)) or taken[-1])
+    np.testing.assert_allclose(decontaminate._products(docs, basis, idf, True), a.T @ (a @ basis), rtol=1e-4, atol=1e-2)
+    np.testing.assert_allclose(decontaminate._products(docs, basis, idf, False), (a @ basis).T @ (a @ basis), rtol=1e-4, atol=1e-2)
+    assert len(taken) == 2 and all(t.nbytes < 2 * 8 * 5 * n for t, n in zip(taken, (decontaminate.DIMS, 200), strict=True))
+
+
 def test_many_short_words_in_several_rows():
     """A slice with many words is still its rows."""
     rows = pa.array(["1 2 3 " * 8000, "4 5 6 " * 8000, "7 8 9 " * 8000])

@@ -124,23 +124,27 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, with all their columns."""
-    stays = exact_groups(docs).where("kept").select("doc_id", F.col("text_sha256").alias("sha"))
+    """The rows of docs that stay, with all their columns.
+
+    What stays, and whether several rows share its doc_id and text, is settled before whole rows move: they move once.
+    """
+    marks = exact_groups(docs).select("doc_id", F.unhex("text_sha256").alias("sha"), "kept")
+    stays = stored(marks.groupBy("doc_id", "sha").agg(F.count("*").alias("n"), F.max("kept").alias("kept")).where("kept").drop("kept"), "stays")
     rows = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),
         docs["doc_id"].cast("long").alias("id"),
-        F.sha2(F.coalesce(docs["text"], F.lit("")), 256).alias("text_sha"),
+        F.unhex(F.sha2(F.coalesce(docs["text"], F.lit("")), 256)).alias("text_sha"),
     )
-    kept = rows.join(stays, rows["id"].eqNullSafe(stays["doc_id"]) & (rows["text_sha"] == stays["sha"]), "left_semi")
-    return one_per_identity(kept).select("row.*")
 
+    def among(some: DataFrame) -> DataFrame:
+        return rows.join(some, rows["id"].eqNullSafe(some["doc_id"]) & (rows["text_sha"] == some["sha"]), "left_semi")
 
-def one_per_identity(rows: DataFrame) -> DataFrame:
-    """Rows that repeat both id and text_sha give one. Only those that repeat are grouped."""
-    many = rows.groupBy("id", "text_sha").count().where("count > 1").select(F.col("id").alias("i"), F.col("text_sha").alias("s"))
-    same = rows["id"].eqNullSafe(many["i"]) & (rows["text_sha"] == many["s"])
-    single = rows.join(many, same, "left_anti")
-    return single.unionByName(rows.join(many, same, "left_semi").dropDuplicates(["id", "text_sha"]))
+    single = among(stays.where("n = 1"))
+    # stored, so that Spark knows how few they are and leaves all other rows where they are
+    many = stored(stays.where("n > 1"), "repeated-rows")
+    if many.isEmpty():
+        return single.select("row.*")
+    return single.unionByName(among(many).dropDuplicates(["id", "text_sha"])).select("row.*")
 
 
 ORACLES = {

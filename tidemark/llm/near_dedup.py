@@ -415,13 +415,14 @@ def _linked(pairs: DataFrame, pool: DataFrame, factor, threshold: float, roots:
     return _merged(roots, verified(pairs.select("id", "centre"), pool, factor, threshold).join(pairs, ["id", "centre"]))
 
 
-def _components(vertices: DataFrame, factor, threshold: float) -> DataFrame | None:
-    """(id, root) of the vertices (rid, text, bands, codes) that have a link; None if none has."""
-    spark = vertices.sparkSession
+def _components(marked: DataFrame, sets: DataFrame, factor, threshold: float) -> DataFrame | None:
+    """(id, root) of the vertices (rows of marked with an id in sets) that have a link; None if none has."""
+    spark = marked.sparkSession
+    vertices = marked.select("rid", "bands").join(sets.select(F.col("id").alias("rid")), "rid", "left_semi")
     met = stored(vertices.select(F.col("rid").alias("id"), F.explode("bands").alias("bucket")), "buckets")
     met = _unsettled(met, None)
-    ids = met.select(F.col("id").alias("rid")).distinct()
-    pool = stored(vertices.select("rid", "text", "codes").join(ids, "rid", "left_semi"), "pool")
+    ids = stored(met.select(F.col("id").alias("rid")).distinct(), "unsettled")      # stored: its size decides how texts are found
+    pool = stored(marked.select("rid", F.coalesce("row.text", F.lit("")).alias("text"), "codes").join(ids, "rid", "left_semi"), "pool")
     codes = pool.select(F.col("rid").alias("id"), "codes")
     roots, tested = None, None
     for turn in range(ROUNDS):
@@ -436,8 +437,8 @@ def _components(vertices: DataFrame, factor, threshold: float) -> DataFrame | No
     return _merged(roots, _alike(met, finer, factor, threshold))
 
 
-def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per row of docs: ``row`` (all its columns), rid, doc_id, class_id, class_size, kept."""
+def _decided(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """The rows of docs with their number (row, rid, doc_id, and more), and rid, class_id, class_size, kept of each."""
     spark = docs.sparkSession
     factor = spark.sparkContext.broadcast(frequency_factors(docs))      # SKETCH numbers
     base = docs.select(
@@ -448,8 +449,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     )
     marked = stored(base.withColumn("sig", signer(factor, 0)("text")).select("row", "rid", "doc_id", "sig.*"), "signatures")
     sets = stored(marked.groupBy("set_key", "set_check").agg(F.min("rid").alias("id")), "sets")
-    vertices = marked.select("rid", F.coalesce("row.text", F.lit("")).alias("text"), "bands", "codes").join(sets.select(F.col("id").alias("rid")), "rid", "left_semi")
-    roots = _components(vertices, factor, threshold)
+    roots = _components(marked, sets, factor, threshold)
     if roots is None:
         roots = sets.select("id", F.col("id").alias("root")).limit(0)
     by_set = stored(sets.join(roots, "id", "left").select("set_key", "set_check", F.coalesce("root", "id").alias("root")), "set-roots")
@@ -459,7 +459,13 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     decided = rooted.join(groups, "root").select(
         "rid", F.col("first.doc_id").alias("class_id"), "class_size", (F.col("rid") == F.col("first.rid")).alias("kept")
     )
-    return marked.select("row", "rid", "doc_id").join(stored(decided, "decided"), "rid")
+    return marked, stored(decided, "decided")
+
+
+def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """One row per row of docs: ``row`` (all its columns), rid, doc_id, class_id, class_size, kept."""
+    marked, decided = _decided(docs, threshold)
+    return marked.select("row", "rid", "doc_id").join(decided, "rid")
 
 
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -469,7 +475,9 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def representatives(docs: DataFrame) -> DataFrame:
     """One row of each class, with all columns of docs."""
-    return classes(docs).where("kept").select("row.*")
+    marked, decided = _decided(docs, THRESHOLD)
+    gone = stored(decided.where("not kept").select("rid"), "gone")      # stored: if they are few, whole rows stay where they are
+    return marked.select("row", "rid").join(gone, "rid", "left_anti").select("row.*")
 
 
 ORACLES: dict[str, str] = {}
