@@ -1,3 +1,4 @@
+import re
 import time
 
 import pytest
@@ -91,6 +92,16 @@ def test_claims_per_policy(spark):
     assert {k: r.policy_claim_count for k, r in rows.items()} == {"a": 2, "b": 2, "x": 2, "y": 2, "z": 1}
 
 
+def test_counting_moves_the_claims_columns_only(spark, capsys):
+    """What is added to the claims is added after the join that counts them, and stands before the count."""
+    claims = spark.createDataFrame([claim("a")], DDL)
+    df = risk.features(claims)
+    assert df.columns[-1] == "policy_claim_count"
+    df.explain("formatted")
+    moved = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", capsys.readouterr().out)
+    assert moved and not [c for c in moved if re.search("severity_norm|total_loss_amount|complexity_points", c)]
+
+
 def test_tier_edges(spark):
     df = spark.createDataFrame([(100.0,), (70.0,), (69.99,), (45.0,), (25.0,), (24.99,), (None,)], "s double")
     got = [r[0] for r in df.select(risk.tier(F.col("s"))).collect()]

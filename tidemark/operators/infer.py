@@ -43,7 +43,7 @@ def _ask(fn: Callable[[str], str], text: str, retries: int, backoff: float) -> t
 
 
 def _is_structured(reply: Column) -> Column:
-    return F.trim(reply).rlike(r"^[\[{]")
+    return F.substring(F.trim(reply), 1, 1).isin("[", "{")
 
 
 def reply_text(reply: Column) -> Column:

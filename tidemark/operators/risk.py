@@ -58,7 +58,9 @@ def _flag(cond: Column) -> Column:
 
 def features(claims: DataFrame, policy_key: str = "PolicyID", sketch_of: DataFrame | None = None) -> DataFrame:
     """Normalised columns, day spans, losses, complexity points, mismatch flags, claims per policy."""
-    df = normalise(claims, CLAIM_TEXTS, CLAIM_INTS, CLAIM_AMOUNTS)
+    # counted first: the columns added below need not travel to that join
+    counted = skew.count_per_key(claims, [policy_key], "policy_claim_count", sketch_of)
+    df = normalise(counted, CLAIM_TEXTS, CLAIM_INTS, CLAIM_AMOUNTS)
     zero = F.lit(0)
     losses = {
         f"{kind}_loss": F.coalesce(F.col(f"{kind}_amount"), F.lit(0.0)) for kind in ("injury", "property", "vehicle")
@@ -94,7 +96,7 @@ def features(claims: DataFrame, policy_key: str = "PolicyID", sketch_of: DataFra
             "complexity_points": points,
         }
     )
-    return skew.count_per_key(df, [policy_key], "policy_claim_count", sketch_of)
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c != "policy_claim_count"], "policy_claim_count")
 
 
 def apply_rules(df: DataFrame, risk_rules: Sequence[tuple] = presets.RISK_RULES) -> DataFrame:
