@@ -257,6 +257,21 @@ def test_levels_have_the_claimed_recall():
     assert all((1 - 0.8**rows) ** bands <= 1.05e-4 for bands, rows in near_dedup.LEVELS)
 
 
+def test_agreement_is_counted_once(spark):
+    """A task of the step that counts how far centres agree needs one Python worker, and pairs below the bound go."""
+    rng = np.random.default_rng(2)
+    codes = {i: rng.integers(0, 3, 72, np.uint8) for i in range(6)}
+    met = spark.createDataFrame([(b, i, i) for b in (1, 2) for i in codes], "bucket long, id long, root long")
+    held = spark.createDataFrame([(i, bytearray(c.tobytes())) for i, c in codes.items()], "id long, codes binary")
+    agree = {(i, j): int((codes[i] == codes[j]).sum()) for i in codes for j in codes if i != j}
+    least = sorted(agree.values())[len(agree) // 2]
+    found = near_dedup._nearest_centres(met, 0, held, least, None)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall("ArrowEvalPython|MapInArrow", plan)) == 1
+    got = [tuple(r) for r in found.select("id", "centre", "a", "b").collect()]
+    assert got and all(agree[i, j] >= least and {a, b} == {i, j} and i > j for i, j, a, b in got)
+
+
 def test_weighted_samples_estimate_similarity():
     rng = np.random.default_rng(2)
     own = rng.integers(0, 1 << 63, 400, dtype=np.uint64)

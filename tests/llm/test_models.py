@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -250,6 +251,24 @@ def test_products_are_summed_before_the_driver(spark, monkeypatch):
     assert len(taken) == 2 and all(t.nbytes < 2 * 8 * 5 * n for t, n in zip(taken, (decontaminate.DIMS, 200), strict=True))
 
 
+def test_group_sums_gather_few_rows():
+    """The same sums to the last bit as of all rows at once, in a small part of their memory."""
+    rng = np.random.default_rng(4)
+    table = rng.normal(size=(500, 64)).astype(np.float32)
+    rows = rng.integers(0, 500, 60_000)
+    sizes = np.append(rng.integers(1, 40, 1500), 3 * decontaminate.ROWS)
+    starts = np.append(0, np.cumsum(sizes[rng.permutation(len(sizes))])[:-1])
+    starts = starts[starts < len(rows)]
+    want = np.add.reduceat(table[rows], starts, axis=0)
+    tracemalloc.start()
+    got = decontaminate.group_sums(table, rows, starts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(got, want) and got.dtype == want.dtype
+    most = max(decontaminate.ROWS, int(np.diff(np.append(starts, len(rows))).max()))
+    assert peak < 1.5 * (most * 64 * 4 + got.nbytes) < table[rows].nbytes
+
+
 def test_many_short_words_in_several_rows():
     """A slice with many words is still its rows."""
     rows = pa.array(["1 2 3 " * 8000, "4 5 6 " * 8000, "7 8 9 " * 8000])

@@ -38,6 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -260,8 +261,17 @@ def _nearest_centres(met: DataFrame, turn: int, codes: DataFrame, least: int, te
     ends = met_centres.select("id", "a", F.col("c.id").alias("centre"), F.col("c.root").alias("b")).where("a <> b").distinct()
     if tested is not None:
         ends = ends.join(tested.unionByName(tested.select(F.col("centre").alias("id"), F.col("id").alias("centre"))), ["id", "centre"], "left_anti")
+
+    def agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = agreement(batch.column("x"), batch.column("y"))
+            out = pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "centre", "a", "b")), n], names=["id", "centre", "a", "b", "n"])
+            yield out.filter(pc.greater_equal(n, least))
+
     left, right = codes.select("id", F.col("codes").alias("x")), codes.select(F.col("id").alias("centre"), F.col("codes").alias("y"))
-    seen = ends.join(left, "id").join(right, "centre").select("id", "centre", "a", "b", F.arrow_udf(agreement, "int")("x", "y").alias("n")).where(F.col("n") >= least)
+    both = ends.join(left, "id").join(right, "centre").select("id", "centre", "a", "b", "x", "y")
+    # as a column, the count would be made by the filter and again behind it, by two Python workers for each task
+    seen = both.mapInArrow(agreeing, "id long, centre long, a long, b long, n int")
     best = seen.groupBy("id").agg(F.max(F.struct("n", "centre", "a", "b")).alias("m")).select("id", "m.centre", "m.a", "m.b")
     # two vertices that chose one another are one pair
     return best.groupBy(F.greatest("id", "centre").alias("id"), F.least("id", "centre").alias("centre")).agg(F.first("a").alias("a"), F.first("b").alias("b"))
