@@ -251,6 +251,40 @@ def test_products_are_summed_before_the_driver(spark, monkeypatch):
     assert len(taken) == 2 and all(t.nbytes < 2 * 8 * 5 * n for t, n in zip(taken, (decontaminate.DIMS, 200), strict=True))
 
 
+def test_latent_space_is_fitted_on_all_documents(spark):
+    """Over the passages of all documents, those without an id as well, the projected ones have singular values of 1."""
+    rng = random.Random(8)
+    vocabulary = [f"word{i}" for i in range(30)]
+    lines = [" ".join(rng.choices(vocabulary, k=5)) for _ in range(30_000)]
+    docs = spark.createDataFrame([(None if i % 3 == 0 else i, t) for i, t in enumerate(lines)], "doc_id long, text string").repartition(4)
+    items = spark.createDataFrame([(1, vocabulary[0])], "item_id long, text string")
+    (_, _, _, hashes), = words(pa.array([" ".join(vocabulary)]))
+    own = decontaminate.buckets(hashes)
+    assert len(set(own)) == len(own)
+    counts = np.array([[t.split().count(w) for w in vocabulary] for t in lines])
+    projected = counts @ decontaminate.latent_space(docs, items, np.ones(decontaminate.DIMS, np.float32))[own]
+    gram = projected.T @ projected
+    assert np.sort(np.linalg.eigvalsh(gram))[-len(own) :] == pytest.approx(np.ones(len(own)), abs=0.02)
+
+
+def test_passages_of_texts_and_parts_of_long_ones(monkeypatch):
+    """Texts share a chunk, a long one is cut at its passages; nothing is lost."""
+    rng = random.Random(2)
+    monkeypatch.setattr(decontaminate, "ROWS", 4)
+    lines = [prose(rng, n) for n in (3, 40, 41, 90, 1000)] + [None, ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["text"])
+    got, sizes = [], []
+    for own, begins in decontaminate._passages(iter([batch, batch])):
+        sizes.append(len(own))
+        got += [tuple(x.tolist()) for x in np.split(own, begins[1:])]
+    want = []
+    for _, _, begins, hashes in words(batch.column(0)):
+        own = decontaminate.buckets(hashes).tolist()
+        want += [tuple(own[i : min(i + 40, b)]) for a, b in zip(begins, begins[1:], strict=False) for i in range(a, b, 40)]
+    assert got == want * 2
+    assert list(decontaminate._passages(iter([batch.slice(5)]))) == []
+
+
 def test_group_sums_gather_few_rows():
     """The same sums to the last bit as of all rows at once, in a small part of their memory."""
     rng = np.random.default_rng(4)
@@ -269,6 +303,15 @@ def test_group_sums_gather_few_rows():
     assert peak < 1.5 * (most * 64 * 4 + got.nbytes) < table[rows].nbytes
 
 
+def test_many_sums_agree_with_group_sums():
+    rng = np.random.default_rng(6)
+    table = rng.normal(size=(300, 7))
+    for sizes in ([1], [5], [3 * decontaminate.ROWS, 2, 2], rng.integers(1, 41, 3000), rng.zipf(1.3, 2000).clip(max=9000)):
+        sizes = rng.permutation(sizes)
+        rows, starts = rng.integers(0, 300, sizes.sum()), np.cumsum(sizes) - sizes
+        np.testing.assert_allclose(decontaminate.many_sums(table, rows, starts), decontaminate.group_sums(table, rows, starts), atol=1e-9)
+
+
 def test_many_short_words_in_several_rows():
     """A slice with many words is still its rows."""
     rows = pa.array(["1 2 3 " * 8000, "4 5 6 " * 8000, "7 8 9 " * 8000])
