@@ -267,6 +267,20 @@ def test_latent_space_is_fitted_on_all_documents(spark):
     assert np.sort(np.linalg.eigvalsh(gram))[-len(own) :] == pytest.approx(np.ones(len(own)), abs=0.02)
 
 
+def test_latent_space_sends_few_matrices(spark, monkeypatch):
+    """However many files there are, the tasks of the fit follow the passages."""
+    docs = spark.range(200).selectExpr("id AS doc_id", "concat('some words ', id) AS text").repartition(60)
+    items = spark.createDataFrame([(1, "some words")], "item_id long, text string")
+    seen, plain = [], decontaminate._products
+    monkeypatch.setattr(decontaminate, "_products", lambda texts, *a: seen.append(texts.rdd.getNumPartitions()) or plain(texts, *a))
+    idf, passages = decontaminate.passage_frequencies(docs)
+    assert passages == 200
+    decontaminate.latent_space(docs, items, idf, passages)
+    monkeypatch.setattr(decontaminate, "SHARE", 10)
+    decontaminate.latent_space(docs, items, idf, passages)
+    assert seen == [16, 16, 20, 20]
+
+
 def test_passages_of_texts_and_parts_of_long_ones(monkeypatch):
     """Texts share a chunk, a long one is cut at its passages; nothing is lost."""
     rng = random.Random(2)
