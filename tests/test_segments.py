@@ -33,6 +33,24 @@ def test_live_segments_stay_few_and_hold_every_batch(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t")).select("batch_id").distinct().count() == 20
 
 
+def test_a_folder_in_parts_appears_whole_and_compressed(spark, tmp_path):
+    at = tmp_path / "t"
+    draft = sg.Draft(spark, str(at), "batch_id=0")
+    for n in range(3):
+        draft.add(spark.range(n, n + 1).toDF("v"))
+        assert sg.folders(spark, str(at)) == [] or sg.folders(spark, str(at)) == ["_draft-0"]
+    draft.finish()
+    assert sorted(r.v for r in spark.read.parquet(str(at)).collect()) == [0, 1, 2]
+    assert all(".zstd." in f.name for f in (at / "batch_id=0").glob("part-*"))
+    # what a failed run left of a draft isn't kept, and a complete folder is left alone
+    sg.Draft(spark, str(at), "batch_id=1").add(spark.range(5).toDF("v"))
+    sg.Draft(spark, str(at), "batch_id=1").add(spark.range(2).toDF("v")).finish()
+    sg.Draft(spark, str(at), "batch_id=1").add(spark.range(9).toDF("v")).finish()
+    assert spark.read.parquet(str(at)).count() == 5
+    sg.drop_folder(spark, str(at))
+    assert not at.exists()
+
+
 def test_nothing_to_read(spark, tmp_path):
     assert sg.Segments(spark, str(tmp_path / "none"), lambda df: df).read() is None
 

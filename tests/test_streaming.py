@@ -252,6 +252,64 @@ def test_late_policies_complete_their_claims(spark, tmp_path):
     assert facts.count() == facts.select("claim_id").distinct().count() == 5
 
 
+def test_late_policies_in_slices(spark, tmp_path, monkeypatch):
+    """Claims looked up and completed in slices: the rows that one slice gives, copies of a claim once, in as many folders."""
+    import json
+
+    def state(name, size):
+        monkeypatch.setattr(flows, "SLICE", size)
+        raw, root = str(tmp_path / name / "raw"), str(tmp_path / name / "out")
+        write_raw(spark, raw)
+        with open(f"{raw}/claims_2.json", "w") as f:
+            for i in range(60):
+                more = {"vehicle": "-1"} if i % 7 == 0 else {"injury": str(i)}
+                f.write(json.dumps({"ClaimID": f"d{i % 50}", "PolicyID": f"p{i % 3}", **CLAIM, **more}) + "\n")
+            f.write(json.dumps({"PolicyID": "p1", **CLAIM}) + "\n")
+        pipeline.run(spark, raw, root, 5, F.lit("2024-06-01").cast("date"))
+        with open(f"{raw}/policy_2.csv", "w") as f:
+            f.write(",".join(pipeline.FIELDS["policy"]) + "\np2,u2,k1,2020-03-03,oh,250,5,10.5,0\n")
+        pipeline.run(spark, raw, root, 5, F.lit("2024-06-01").cast("date"))
+        claims, issues = pipeline.claims(spark, root).drop("_loaded_at", "_source_file"), pipeline.issues(spark, root)
+        flow_folders = [sorted(p.name for p in (tmp_path / name / "out" / at).iterdir() if not p.name.startswith("_") and p.is_dir()) for at in (
+            "silver/claims/flow=fresh", "silver/claims/flow=repaired", "silver/claims_waiting", "dq_issues/flow=claims")]
+        times = [c for c, kind in issues.dtypes if kind in ("timestamp", "timestamp_ntz")]
+        return claims, issues.groupBy(*[c for c in issues.columns if c not in times and "Claim" not in c and c in ("rule", "severity", "entity")]).count(), issues.count(), flow_folders
+
+    whole, cut = state("whole", 1 << 21), state("cut", 25)
+    assert same(whole[0], cut[0]) and same(whole[1], cut[1])
+    assert whole[2:] == cut[2:]
+    assert cut[0].count() == cut[0].select("ClaimID").distinct().count() > 40
+
+
+def test_a_flow_leaves_no_shuffle_files(spark, parts):
+    """Nor do the rows that a micro-batch persisted and let go."""
+    import gc
+    import time
+
+    stream, batch, root = parts
+    status = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+
+    def shuffles():
+        return status.shuffleStatuses().size()
+
+    def step(rows, _):
+        kept = dedup.dedup_first(rows, ["user"]).persist()
+        kept.count()
+        kept.unpersist()
+        return {f"{root}/t": dedup.dedup_first(rows, ["user", "kind"])}
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    time.sleep(2)
+    before = shuffles()
+    flows.run_step(stream, step, f"{root}/ck")
+    for _ in range(20):
+        if shuffles() <= before:
+            break
+        time.sleep(0.5)
+    assert shuffles() <= before
+
+
 def test_aggregate_flow_equals_recompute(spark, parts):
     stream, batch, root = parts
     how = Partials(("user",), {"n": ("count", "1"), "v": ("sum", "value"), "lo": ("min", "seq"), "hi": ("max", "value"), "x": ("count_if", "kind = 'x'")})
